@@ -25,11 +25,12 @@ def metadata_columns(layer_name: str | None = None) -> dict[str, Column]:
         "load_date": F.current_date(),
         "load_run_id": F.concat(F.lit("run_"), F.current_timestamp().cast("string")),
         "source_file": F.input_file_name(),
+        "layer_name": F.lit(layer_name),
         "processed_at": F.current_timestamp(),
         "record_id": F.monotonically_increasing_id(),
     }
-    if layer_name:
-        columns["layer_name"] = F.lit(layer_name)
+    if not layer_name:
+        del columns["layer_name"]
     return columns
 
 
@@ -85,8 +86,11 @@ def rename_columns_to_uppercase(df: DataFrame) -> DataFrame:
 
 
 def rename_columns_by_mapping(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    """Rename ``{old: new}``; names the table lacks are ignored."""
-    return df.withColumnsRenamed(dict(mapping))
+    """Rename ``{old: new}`` in order; names the table lacks are ignored."""
+    names = list(df.columns)
+    for old, new in mapping.items():
+        names = [new if n == old else n for n in names]
+    return df.toDF(*names)
 
 
 def add_custom_columns(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
@@ -111,7 +115,7 @@ def fill_nulls(df: DataFrame, fill_values: Mapping[str, Any]) -> DataFrame:
 
 def drop_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Drop columns; names the table lacks are ignored."""
-    return df.drop(*columns)
+    return df.drop(*[c for c in columns if c in df.columns])
 
 
 def select_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -13,18 +13,13 @@ from functools import reduce
 from operator import and_
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import DataType, StructType
 
 Rules = Mapping[str, Mapping[str, Any]]
 BusinessRule = str | tuple[str, str] | Mapping[str, str]
 
-REPORT_SCHEMA = (
-    "column_name string, rule string, rule_limit string, "
-    "observed double, violations long, passed boolean"
-)
-
 
 def _applicable(df: DataFrame, rules: Rules) -> dict[str, Mapping[str, Any]]:
     """The rules whose column exists and that are given as a dict."""
@@ -33,6 +28,15 @@ def _applicable(df: DataFrame, rules: Rules) -> dict[str, Mapping[str, Any]]:
     }
 
 
+def declared_type(text: str) -> DataType:
+    """The type a DDL name such as ``double`` stands for."""
+    return StructType.fromDDL(f"v {text}")["v"].dataType
+
+
+def _forbids_nulls(rule: Mapping[str, Any]) -> bool:
+    return not rule.get("nulls_allowed", True)
+
+
 # --- row flag --------------------------------------------------------------
 
 
@@ -45,7 +49,7 @@ def quality_condition(df: DataFrame, rules: Rules) -> Column:
     terms = [F.lit(True)]
     for name, rule in _applicable(df, rules).items():
         value = F.col(f"`{name}`")
-        if rule.get("nulls_allowed") is False:
+        if _forbids_nulls(rule):
             terms.append(value.isNotNull())
         if "min_value" in rule:
             terms.append(value >= rule["min_value"])
@@ -114,22 +118,23 @@ class Expectations:
         df: DataFrame,
         rules: Rules | None = None,
         business_rules: Sequence[BusinessRule] = (),
+        table_lines: bool = True,
     ):
         self._metrics: dict[str, Column] = {"row_count": F.count(F.lit(1))}
         rows = F.col("row_count")
         none = F.lit(None).cast("double")
         zero = F.lit(0).cast("long")
-        self._lines: list[Column] = [
-            self._line("*", "row_count", None, rows, zero, F.lit(True)),
-            self._line("*", "column_count", None, F.lit(len(df.columns)), zero, F.lit(True)),
-        ]
+        self._lines: list[Column] = []
+        if table_lines:
+            self._add("*", "row_count", None, rows, zero, F.lit(True))
+            self._add("*", "column_count", None, F.lit(len(df.columns)), zero, F.lit(True))
         types = {f.name: f.dataType for f in df.schema.fields}
         for name, rule in _applicable(df, rules or {}).items():
             value = F.col(f"`{name}`")
 
-            if rule.get("nulls_allowed") is False:
+            if _forbids_nulls(rule):
                 n = self._count(value.isNull())
-                self._add(name, "nulls_allowed", False, n, n, n == 0)
+                self._add(name, "nulls_allowed", "false", n, n, n == 0)
 
             if "max_nulls_percent" in rule:
                 limit = float(rule["max_nulls_percent"])
@@ -148,13 +153,9 @@ class Expectations:
                     self._add(name, key, float(rule[key]), seen, n, n == 0)
 
             if "data_type" in rule:
-                right = types[name] == _parse_datatype_string(rule["data_type"])
-                self._lines.append(
-                    self._line(
-                        name, "data_type", rule["data_type"], none,
-                        zero if right else rows, F.lit(right),
-                    )
-                )
+                right = types[name] == declared_type(rule["data_type"])
+                broken = zero if right else rows
+                self._add(name, "data_type", rule["data_type"], none, broken, F.lit(right))
         for i, rule in enumerate(business_rules, start=1):
             n = self._count(~business_condition(rule))
             self._add(f"rule_{i}", "business_rule", rule_text(rule), none, n, n == 0)
@@ -168,18 +169,16 @@ class Expectations:
         return self._metric(F.count_if(condition))
 
     def _add(self, name, rule, limit, observed, violations, passed) -> None:
-        self._lines.append(self._line(name, rule, limit, observed, violations, passed))
-
-    @staticmethod
-    def _line(name, rule, limit, observed, violations, passed) -> Column:
-        text = None if limit is None else str(limit).lower() if isinstance(limit, bool) else str(limit)
-        return F.struct(
-            F.lit(name).alias("column_name"),
-            F.lit(rule).alias("rule"),
-            F.lit(text).cast("string").alias("rule_limit"),
-            observed.cast("double").alias("observed"),
-            violations.cast("long").alias("violations"),
-            passed.alias("passed"),
+        text = None if limit is None else str(limit)
+        self._lines.append(
+            F.struct(
+                F.lit(name).alias("column_name"),
+                F.lit(rule).alias("rule"),
+                F.lit(text).cast("string").alias("rule_limit"),
+                observed.cast("double").alias("observed"),
+                violations.cast("long").alias("violations"),
+                passed.alias("passed"),
+            )
         )
 
     @property
@@ -189,6 +188,13 @@ class Expectations:
     def report(self, metric_row: DataFrame) -> DataFrame:
         return metric_row.select(F.explode(F.array(*self._lines)).alias("line")).select("line.*")
 
+    def report_observed(self, spark: SparkSession, values: Mapping[str, Any]) -> DataFrame:
+        """The report on figures that were observed during a write."""
+        row = spark.range(1).select(
+            *[F.lit(values.get(n, 0 if n == "row_count" else None)).alias(n) for n in self._metrics]
+        )
+        return self.report(row)
+
 
 def quality_report(
     df: DataFrame,
