@@ -103,7 +103,7 @@ def add_custom_columns(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
             extended = df.withColumn(name, F.expr(expression))
             extended.schema  # forces analysis on every kind of session
         except (AnalysisException, ParseException) as error:
-            log.warning("column %s skipped: %s", name, error)
+            log.warning("column %s skipped: %s", name, str(error).splitlines()[0])
         else:
             df = extended
     return df

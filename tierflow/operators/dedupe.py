@@ -15,28 +15,39 @@ from pyspark.sql import functions as F
 def remove_duplicates(
     df: DataFrame,
     subset: Sequence[str] | None = None,
-    order_by: Sequence[Column] | None = None,
+    order_by: Sequence[Column | str] | None = None,
+    keep: str = "first",
 ) -> DataFrame:
     """Keep one row per distinct row, or per distinct value of ``subset``.
 
     Which row of a group survives is arbitrary unless ``order_by`` is given;
-    then it is the one with the least ordering values. Rows that tie on those
-    are told apart by their other columns, so the survivor never depends on
-    how the table is split up. A window with ``row_number`` would say the same
-    but send every copy of a key to one task.
+    then it is the first or the last in that order. Rows that tie on it are
+    told apart by their other columns, so the survivor never depends on how the
+    table is split up. A window with ``row_number`` would say the same but send
+    every copy of a key to one task.
     """
-    if not subset:
+    if keep not in ("first", "last"):
+        raise ValueError(f"keep must be first or last, not {keep}")
+    others = [c for c in df.columns if c not in (subset or ())]
+    if not subset or not others:
         return df.dropDuplicates()
     if not order_by:
         return df.dropDuplicates(list(subset))
-    others = [c for c in df.columns if c not in subset]
-    if not others:
-        return df.dropDuplicates()
-    ranked = F.struct(
-        *[c.alias(f"_order{i}") for i, c in enumerate(order_by)], *others
-    )
+    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    ranked = F.struct(*[c.alias(f"_order{i}") for i, c in enumerate(order)], *others)
+    pick = F.min if keep == "first" else F.max
     return (
         df.groupBy(*subset)
-        .agg(F.min(ranked).alias("_kept"))
+        .agg(pick(ranked).alias("_kept"))
         .select(*[c if c in subset else F.col("_kept")[c].alias(c) for c in df.columns])
     )
+
+
+def duplicate_counts(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
+    """Rows before and after duplicate removal, and rows removed, in one pass."""
+    groups = df.groupBy(*(subset or df.columns)).agg(F.count(F.lit(1)).alias("_copies"))
+    return groups.agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("source_count"),
+        F.count(F.lit(1)).alias("target_count"),
+        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("removed_count"),
+    )

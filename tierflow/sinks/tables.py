@@ -95,6 +95,21 @@ def save_table(
     writer.saveAsTable(name)
 
 
+def replace_partitions(df: DataFrame, table: str) -> None:
+    """Overwrite just the partitions of a stored table that ``df`` has rows for.
+
+    ``df`` may read from the table itself.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, "dynamic")
+    try:
+        columns = df.sparkSession.table(table).columns
+        df.select(*columns).write.insertInto(table, overwrite=True)
+    finally:
+        conf.set(key, before)
+
+
 def table_provider(spark: SparkSession, name: str) -> str:
     """The format a table is stored in."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()

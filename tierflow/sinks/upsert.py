@@ -24,6 +24,7 @@ from tierflow.operators.dedupe import remove_duplicates
 from tierflow.sinks.tables import (
     partition_columns,
     rebalance,
+    replace_partitions,
     save_table,
     table_exists,
     table_provider,
@@ -119,14 +120,14 @@ def upsert(
     partition_by: Sequence[str] = (),
     file_format: str = "parquet",
     root: str | None = None,
-    dedupe_source_on: Sequence[Column] | None = None,
+    dedupe_source_on: Sequence[Column | str] | None = None,
     source_is_stored: bool = False,
     keys_are_unique: bool = False,
 ) -> None:
     """Merge ``df`` into ``table`` on equal ``keys``; create the table if absent.
 
     Two source rows with one key are an error, as it would be unclear which one
-    to keep. ``dedupe_source_on`` gives an ordering by which one is kept
+    to keep. With ``dedupe_source_on`` the last one in that order is kept
     instead; ``keys_are_unique`` skips the check where the source is known to
     be right, as after grouping by the keys.
 
@@ -135,9 +136,9 @@ def upsert(
     """
     if dedupe_source_on:
         keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
-        df = remove_duplicates(df.where(keyed), keys, dedupe_source_on).unionByName(
-            df.where(~keyed)
-        )
+        df = remove_duplicates(
+            df.where(keyed), keys, dedupe_source_on, keep="last"
+        ).unionByName(df.where(~keyed))
         keys_are_unique = True
     with nullcontext(df) if source_is_stored else staged(df, "upsert-source") as source:
         if not keys_are_unique:
@@ -167,12 +168,7 @@ def _merge(spark: SparkSession, source: DataFrame, table: str, keys: Sequence[st
     if partitions:
         target = target.where(touched_partitions(source, partitions))
         merged = merge_rows(target, source, keys)
-        (
-            rebalance(merged, partitions)
-            .select(*target.columns)
-            .write.option("partitionOverwriteMode", "dynamic")
-            .insertInto(table, overwrite=True)
-        )
+        replace_partitions(rebalance(merged, partitions), table)
     else:
         # A whole table cannot be overwritten while it is being read.
         with staged(merge_rows(target, source, keys), "upsert-result") as merged:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tierflow.sinks.tables import save_table, table_exists
+from tierflow.sinks.tables import replace_partitions, save_table, table_exists
 from tierflow.sinks.upsert import upsert
 from tierflow.sources.files import check_format
 from tierflow.staging import work_folder
@@ -50,7 +50,7 @@ def ingest_new_files(
     options: Mapping[str, Any] | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     keys: Sequence[str] | None = None,
-    dedupe_source_on: Sequence[Column] | None = None,
+    dedupe_source_on: Sequence[Column | str] | None = None,
     partition_by: Sequence[str] = (),
     root: str | None = None,
     checkpoint: str | None = None,
@@ -93,11 +93,7 @@ def _replace_batch(
 ) -> None:
     spark = df.sparkSession
     df = df.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long"))
-    if not table_exists(spark, table):
+    if table_exists(spark, table):
+        replace_partitions(df, table)
+    else:
         save_table(df, table, partitions=[BATCH_COLUMN, *partition_by], root=root)
-        return
-    (
-        df.select(*spark.table(table).columns)
-        .write.option("partitionOverwriteMode", "dynamic")
-        .insertInto(table, overwrite=True)
-    )
