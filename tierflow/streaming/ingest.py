@@ -82,6 +82,10 @@ def ingest_new_files(
         .start()
     )
     query.awaitTermination()
+    # Batches are written by a session of their own; this one may have listed
+    # the files of the table before.
+    if table_exists(spark, table):
+        spark.catalog.refreshTable(table)
 
 
 def _replace_batch(
