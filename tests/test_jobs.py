@@ -83,6 +83,11 @@ def test_duplicate_readings_stop_the_job(spark, database, turbine_files, tmp_pat
             spark, turbine_files, DAY, DAY + timedelta(days=12), outputs, schema=CSV_SCHEMA
         )
     assert not spark.catalog.tableExists(outputs.cleaned)
+    turbine.run_turbines(
+        spark, turbine_files, DAY, DAY + timedelta(days=12), outputs,
+        schema=CSV_SCHEMA, dedupe_source_on=["power_output"],
+    )
+    assert spark.table(outputs.cleaned).count() == 2 * 12 * 24
 
 
 # --- layered job -----------------------------------------------------------
@@ -241,7 +246,7 @@ def test_ingest_upserts_only_new_files(spark, database, tmp_path):
     def run():
         ingest_new_files(
             spark, str(inbox), name, INGEST_SCHEMA, options={"header": True},
-            keys=["id", "day"], partition_by=["day"], dedupe_source_on=["v"],
+            keys=["id", "day"], partition_by=["day"], dedupe_source_on=[F.col("v").desc()],
             transform=lambda df: (seen.append(df.count()), df)[1],
         )
         return rows(spark.table(name), "id", "v")

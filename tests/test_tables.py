@@ -155,7 +155,7 @@ def test_duplicate_source_keys(spark, database):
     with pytest.raises(ValueError, match="share one key"):
         ups.upsert(spark, twice, name, ["id"], ["p"])
     assert rows(spark.table(name), "id", "v", "p") == TARGET
-    ups.upsert(spark, twice, name, ["id"], ["p"], dedupe_source_on=["v"])
+    ups.upsert(spark, twice, name, ["id"], ["p"], dedupe_source_on=[F.col("v").desc()])
     assert rows(spark.table(name), "id", "v") == [(1, "a"), (2, "b"), (3, "y")]
 
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,13 +106,20 @@ def _is_slot(
 ) -> Column:
     """Whether a reading falls on a slot of its entity.
 
-    The plain range is the part a file scan can push down. An entity that is
-    null never equals itself, so its readings match no slot.
+    The plain range is the part a file scan can push down; past the hour, a
+    slot agrees with the start. An entity that is null never equals itself, so
+    its readings match no slot.
     """
     data_type = _time_type(readings, series)
     time = F.col(series.time)
     first, last = _bounds(start, end, data_type)
-    exact = _slot_time(_hours_since(time, first, data_type), first, data_type) == time
+    if data_type == "timestamp":
+        exact = (F.unix_micros(time) - F.unix_micros(first)) % 3_600_000_000 == 0
+    else:
+        second = F.lit(Decimal(start.second) + Decimal(start.microsecond).scaleb(-6))
+        exact = (F.minute(time) == start.minute) & (
+            F.extract(F.lit("SECOND"), time) == second
+        )
     return time.between(first, last) & exact & F.col(series.entity).isNotNull()
 
 
@@ -171,6 +179,50 @@ def on_grid(
     )
 
 
+def _presence(
+    readings: DataFrame, start: datetime, end: datetime, series: Series
+) -> DataFrame:
+    """Per entity and block: bitmap of the slots with a reading, and their number.
+
+    Entities whose readings all lie off the grid keep a row, with no block.
+    """
+    data_type = _time_type(readings, series)
+    slot = _hours_since(F.col(series.time), _literal(start, data_type), data_type)
+    return (
+        readings.select(
+            series.entity,
+            F.when(_is_slot(readings, start, end, series), slot).alias("slot"),
+        )
+        .groupBy(series.entity, F.expr(f"slot div {BLOCK}").alias("block"))
+        .agg(
+            F.bit_or(F.expr(f"shiftleft(1L, int(slot % {BLOCK}))")).alias("present"),
+            F.count("slot").alias("readings"),
+        )
+    )
+
+
+def shared_slots(
+    readings: DataFrame, start: Instant, end: Instant, series: Series = TURBINES
+) -> DataFrame:
+    """Entities, and when a block begins in which readings share a slot.
+
+    A block with more readings than slots used has copies. This needs no
+    shuffle of the readings' keys.
+    """
+    first, last = _window(start, end)
+    data_type = _time_type(readings, series)
+    return (
+        _presence(readings, first, last, series)
+        .where(F.col("readings") > F.bit_count("present"))
+        .select(
+            series.entity,
+            _slot_time(
+                F.col("block") * BLOCK, _literal(first, data_type), data_type
+            ).alias(series.time),
+        )
+    )
+
+
 def missing_slots(
     readings: DataFrame, start: Instant, end: Instant, series: Series = TURBINES
 ) -> DataFrame:
@@ -179,19 +231,7 @@ def missing_slots(
     data_type = _time_type(readings, series)
     entity, start_at = F.col(series.entity), _literal(first, data_type)
     count = F.size(_slot_times(first, last, data_type)).cast("long")
-
-    # Entities whose readings all lie off the grid keep a row, with no block.
-    seen = (
-        readings.select(
-            entity,
-            F.when(
-                _is_slot(readings, first, last, series),
-                _hours_since(F.col(series.time), start_at, data_type),
-            ).alias("slot"),
-        )
-        .groupBy(entity, F.expr(f"slot div {BLOCK}").alias("block"))
-        .agg(F.bit_or(F.expr(f"shiftleft(1L, int(slot % {BLOCK}))")).alias("present"))
-    )
+    seen = _presence(readings, first, last, series).drop("readings")
 
     # One row per entity holding its blocks: bounded by the days of the window.
     per_entity = (

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -18,11 +19,14 @@ from tierflow.operators.timeseries import (
     on_grid,
     process,
     replace_outliers,
+    shared_slots,
 )
 from tierflow.sinks.upsert import upsert
 from tierflow.sources.files import load_window
 from tierflow.staging import staged
 
+Order = Sequence[Column | str] | None
+
 
 @dataclass(frozen=True)
 class Outputs:
@@ -49,7 +53,8 @@ def _store_readings(
     table: str,
     outputs: Outputs,
     series: Series,
-    keys_are_unique: bool = False,
+    keys_are_unique: bool,
+    dedupe_source_on: Order,
 ) -> None:
     """Upsert rows keyed by entity and time, in one partition per day."""
     upsert(
@@ -62,6 +67,7 @@ def _store_readings(
         root=outputs.root,
         source_is_stored=True,
         keys_are_unique=keys_are_unique,
+        dedupe_source_on=dedupe_source_on,
     )
 
 
@@ -70,10 +76,17 @@ def output_cleaned(
     scored: DataFrame,
     outputs: Outputs = Outputs(),
     series: Series = TURBINES,
+    keys_are_unique: bool = False,
+    dedupe_source_on: Order = None,
 ) -> DataFrame:
-    """Upsert the readings with outliers replaced, and return them."""
+    """Upsert the readings with outliers replaced, and return them.
+
+    ``scored`` is read several times here and below; give a stored table.
+    """
     cleaned = replace_outliers(scored, series)
-    _store_readings(spark, cleaned, outputs.cleaned, outputs, series)
+    _store_readings(
+        spark, cleaned, outputs.cleaned, outputs, series, keys_are_unique, dedupe_source_on
+    )
     return cleaned
 
 
@@ -83,11 +96,12 @@ def output_anomalies(
     outputs: Outputs = Outputs(),
     series: Series = TURBINES,
     keys_are_unique: bool = False,
+    dedupe_source_on: Order = None,
 ) -> None:
     """Upsert the anomalous readings."""
     _store_readings(
         spark, find_anomalies(scored, series), outputs.anomalies, outputs, series,
-        keys_are_unique,
+        keys_are_unique, dedupe_source_on,
     )
 
 
@@ -117,20 +131,30 @@ def run_outputs(
     end: Instant,
     outputs: Outputs = Outputs(),
     series: Series = TURBINES,
+    dedupe_source_on: Order = None,
 ) -> None:
     """Score stored readings and bring all three tables up to date.
 
+    Several readings on one slot are an error before anything is written,
+    unless ``dedupe_source_on`` says by which order one of them is stored.
+
     The profile is staged so that the join with it is planned on its real
     size, and the scored table because three outputs read it, some of them
     more than once.
     """
+    if not dedupe_source_on:
+        shared = shared_slots(readings, start, end, series).limit(1).collect()
+        if shared:
+            raise ValueError(f"several readings share one key: {shared[0].asDict()}")
+    unique = not dedupe_source_on
     profile = hourly_profile(on_grid(readings, start, end, series), series)
     with staged(profile, "profile") as stored_profile:
         scored = process(readings, start, end, series, stored_profile)
         with staged(scored, "scored") as stored:
-            cleaned = output_cleaned(spark, stored, outputs, series)
-            # A subset of the rows just checked.
-            output_anomalies(spark, stored, outputs, series, keys_are_unique=True)
+            cleaned = output_cleaned(
+                spark, stored, outputs, series, unique, dedupe_source_on
+            )
+            output_anomalies(spark, stored, outputs, series, unique, dedupe_source_on)
             output_statistics(spark, cleaned, outputs, series)
 
 
@@ -142,6 +166,7 @@ def run_turbines(
     outputs: Outputs = Outputs(),
     series: Series = TURBINES,
     schema: StructType | str | None = None,
+    dedupe_source_on: Order = None,
 ) -> None:
     """Load CSV readings of a window and bring all three tables up to date.
 
@@ -149,4 +174,4 @@ def run_turbines(
     """
     loaded = load_window(spark, path, start, end, schema, series.time)
     with staged(loaded.select(*series.columns), "readings") as readings:
-        run_outputs(spark, readings, start, end, outputs, series)
+        run_outputs(spark, readings, start, end, outputs, series, dedupe_source_on)

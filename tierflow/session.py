@@ -14,6 +14,11 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Files are smaller than the rows in them. Counting them at four times their
+    # size makes the broadcast limit one on memory; the limit suits executors
+    # of a few GB.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.csv.filterPushdown.enabled": "true",
 }

@@ -110,15 +110,18 @@ def replace_partitions(df: DataFrame, table: str) -> None:
         conf.set(key, before)
 
 
-def table_provider(spark: SparkSession, name: str) -> str:
-    """The format a table is stored in."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
-    details = {r["col_name"]: r["data_type"] for r in rows}
-    return details.get("Provider", "").lower()
-
-
-def partition_columns(spark: SparkSession, name: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+def stored_as(spark: SparkSession, name: str) -> tuple[str, list[str]]:
+    """The format a table is stored in, and its partition columns."""
+    provider, partitions, listed = "", [], False
+    for column, value, _ in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect():
+        if column == "# Partition Information":
+            listed = True
+        elif listed and not column.startswith("#"):
+            listed = bool(column)
+            partitions += [column] if column else []
+        elif column == "Provider":
+            provider = value.lower()
+    return provider, partitions
 
 
 def publish_view(

@@ -22,12 +22,11 @@ from pyspark.sql import functions as F
 
 from tierflow.operators.dedupe import remove_duplicates
 from tierflow.sinks.tables import (
-    partition_columns,
     rebalance,
     replace_partitions,
     save_table,
+    stored_as,
     table_exists,
-    table_provider,
 )
 from tierflow.staging import staged
 
@@ -127,7 +126,7 @@ def upsert(
     """Merge ``df`` into ``table`` on equal ``keys``; create the table if absent.
 
     Two source rows with one key are an error, as it would be unclear which one
-    to keep. With ``dedupe_source_on`` the last one in that order is kept
+    to keep. With ``dedupe_source_on`` the first one in that order is kept
     instead; ``keys_are_unique`` skips the check where the source is known to
     be right, as after grouping by the keys.
 
@@ -136,10 +135,10 @@ def upsert(
     """
     if dedupe_source_on:
         keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
-        df = remove_duplicates(
-            df.where(keyed), keys, dedupe_source_on, keep="last"
-        ).unionByName(df.where(~keyed))
-        keys_are_unique = True
+        df = remove_duplicates(df.where(keyed), keys, dedupe_source_on).unionByName(
+            df.where(~keyed)
+        )
+        keys_are_unique, source_is_stored = True, False
     with nullcontext(df) if source_is_stored else staged(df, "upsert-source") as source:
         if not keys_are_unique:
             check_unique(source, keys)
@@ -153,7 +152,7 @@ def upsert(
 
 
 def _merge(spark: SparkSession, source: DataFrame, table: str, keys: Sequence[str]) -> None:
-    provider = table_provider(spark, table)
+    provider, partitions = stored_as(spark, table)
     if provider not in FILE_PROVIDERS:
         view = f"upsert_source_{uuid.uuid4().hex}"
         source.createOrReplaceTempView(view)
@@ -164,7 +163,6 @@ def _merge(spark: SparkSession, source: DataFrame, table: str, keys: Sequence[st
         return
 
     target = spark.table(table)
-    partitions = partition_columns(spark, table)
     if partitions:
         target = target.where(touched_partitions(source, partitions))
         merged = merge_rows(target, source, keys)
