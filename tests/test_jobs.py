@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tierflow.operators import timeseries as ts
+from tierflow.operators.observe import Watch
 from tierflow.plans import layers, turbine
 from tierflow.plans.specs import turbine_specs
 from tierflow.streaming.ingest import ingest_new_files
@@ -147,6 +148,9 @@ def test_layers_with_the_turbine_specs(spark, database, layer_files):
     assert rows(audit, "layer", "source_count", "target_count", "status") == [
         ("BRONZE", 5, 5, "SUCCESS"), ("GOLD", 4, 2, "SUCCESS"), ("SILVER", 5, 4, "SUCCESS")]
 
+    assert rows(stored.select(F.regexp_extract("source_file", "[^/]*$", 0)).distinct()) == [
+        ("a.csv",)]
+
     # Running it all again replaces the tables.
     again = layers.run_layers(spark, *specs(database, layer_files))
     assert [r.target_count for r in again] == [5, 4, 2]
@@ -218,7 +222,7 @@ def test_a_layer_is_one_write_job(spark, database, layer_files):
         "power_output double, temperature double"
     )
     scan = layers.bronze_scan(spark, bronze)
-    watch = layers.Watch.rows(scan)
+    watch = Watch.rows(scan)
     context = spark.sparkContext
     context.setJobGroup("bronze-write", "")
     try:
@@ -229,6 +233,23 @@ def test_a_layer_is_one_write_job(spark, database, layer_files):
     assert len(context.statusTracker().getJobIdsForGroup("bronze-write")) == 1
 
 
+@pytest.mark.parametrize("keys", [None, ["timestamp", "turbine_id"]])
+def test_incremental_bronze(spark, database, tmp_path, keys):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    write_readings(inbox, "day1.csv", 1, 1)
+    bronze, _, _ = specs(database, str(inbox))
+    bronze["source"] |= {"incremental": True, "schema": CSV_SCHEMA, "options": {"header": True}}
+    bronze["transform"]["time_column"] = "timestamp"
+    bronze["destination"]["keys"] = keys
+    assert layers.run_bronze(spark, bronze).target_count == 23
+    assert layers.run_bronze(spark, bronze).target_count == 0
+    # The first day comes again with the second.
+    write_readings(inbox, "day2.csv", 1, 2)
+    assert layers.run_bronze(spark, bronze).target_count == 47
+    assert spark.table(f"{database}.bronze_turbines").count() == (47 if keys else 70)
+
+
 # --- incremental ingest ----------------------------------------------------
 
 INGEST_SCHEMA = "id int, v string, day date"
@@ -277,3 +298,14 @@ def test_ingest_without_keys_appends_and_a_repeated_batch_replaces_itself(
     assert run(checkpoint) == [1, 2]
     # A lost checkpoint makes batch 0 hold both files; it replaces batch 0.
     assert run(str(tmp_path / "fresh")) == [1, 2, 2]
+
+
+def test_ingest_keeps_columns_that_appear_later(spark, database, tmp_path):
+    inbox, name = tmp_path / "in", f"{database}.t"
+    for file, schema, line in (
+        ("1.csv", "id int, v string", "1,a"), ("2.csv", "id int, v string, w int", "2,b,5")
+    ):
+        inbox.mkdir(exist_ok=True)
+        (inbox / file).write_text(line + "\n")
+        ingest_new_files(spark, str(inbox), name, schema)
+    assert rows(spark.table(name), "id", "v", "w") == [(1, "a", None), (2, "b", 5)]

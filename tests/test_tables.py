@@ -181,3 +181,25 @@ def test_staged_files_are_removed(spark, database):
     before = set(root.glob("upsert-*"))
     ups.upsert(spark, keyed(spark, TARGET), f"{database}.t", ["id"], ["p"])
     assert set(root.glob("upsert-*")) == before
+
+
+def test_work_folder_is_the_configured_one(spark):
+    assert new_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_hot_partition_is_written_by_several_tasks(spark, database):
+    """Two thirds of the rows share one partition; AQE splits it while writing."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    try:
+        df = spark.range(0, 300_000, numPartitions=8).select(
+            "id", F.when(F.col("id") % 3 == 0, F.col("id") % 5).otherwise(7).alias("p")
+        )
+        ups.upsert(spark, df, f"{database}.t", ["id"], ["p"])
+        ups.upsert(spark, df.where("p = 7"), f"{database}.t", ["id"], ["p"])
+    finally:
+        spark.conf.set(key, before)
+    assert spark.table(f"{database}.t").count() == 300_000
+    hot = [f for f in files(spark, f"{database}.t") if f.startswith("p=7/")]
+    assert len(hot) > 2

@@ -15,7 +15,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.audit import Audit
@@ -28,9 +28,11 @@ from tierflow.operators.columns import (
 )
 from tierflow.operators.dedupe import remove_duplicates
 from tierflow.operators.metrics import add_grain, add_report_metadata, calculate_metrics
+from tierflow.operators.observe import Watch
 from tierflow.operators.quality import Expectations, add_rule_results
 from tierflow.sinks.tables import derive_partitions, publish_view, rebalance, save_table
 from tierflow.sources.files import scan_files, scan_table
+from tierflow.streaming.ingest import ingest_new_files
 
 log = logging.getLogger(__name__)
 
@@ -48,26 +50,6 @@ class LayerResult:
     view: str | None = None
 
 
-class Watch:
-    """Aggregates observed while a table is written."""
-
-    def __init__(self, df: DataFrame, metrics: list[Column]):
-        self._observation = Observation()
-        self.df = df.observe(self._observation, *metrics)
-
-    @classmethod
-    def rows(cls, df: DataFrame) -> Watch:
-        return cls(df, [F.count(F.lit(1)).alias("row_count")])
-
-    @property
-    def values(self) -> dict[str, Any]:
-        return self._observation.get
-
-    @property
-    def row_count(self) -> int:
-        return self.values.get("row_count", 0)
-
-
 @contextmanager
 def _recorded(spark: SparkSession, layer: str, spec: Spec) -> Iterator[Audit]:
     audit = Audit(spark, layer, spec.get("audit"))
@@ -149,10 +131,38 @@ def bronze_transform(df: DataFrame, spec: Spec) -> DataFrame:
     return df
 
 
+def _ingest_increment(spark: SparkSession, spec: Spec) -> int:
+    source, destination = spec["source"], spec["destination"]
+    table, partitions = _destination(spec), destination.get("partitions") or []
+    time_column = spec.get("transform", {}).get("time_column", "load_timestamp")
+    _ensure_database(spark, table)
+    return ingest_new_files(
+        spark,
+        source["path"],
+        table,
+        source["schema"],
+        source.get("format", "csv"),
+        source.get("options"),
+        lambda df: derive_partitions(bronze_transform(df, spec), partitions, time_column),
+        destination.get("keys"),
+        partition_by=partitions,
+        root=destination.get("root"),
+        checkpoint=source.get("checkpoint"),
+    )
+
+
 def run_bronze(spark: SparkSession, spec: Spec) -> LayerResult:
-    """Ingest files into the bronze table."""
+    """Ingest files into the bronze table.
+
+    With ``source.incremental`` only files not ingested before are read. Their
+    rows are upserted if ``destination.keys`` is given and added otherwise.
+    """
     with _recorded(spark, "BRONZE", spec) as audit:
         transform = spec.get("transform", {})
+        if spec["source"].get("incremental"):
+            ingested = _ingest_increment(spark, spec)
+            audit.log_run(ingested, ingested)
+            return LayerResult(_destination(spec), ingested, ingested)
         scan = bronze_scan(spark, spec)
         shuffles = transform.get("remove_duplicates") or spec["destination"].get("rebalance")
         watched = None if shuffles else Watch.rows(scan)

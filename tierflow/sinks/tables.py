@@ -50,7 +50,7 @@ def rebalance(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partitions) if partitions else df
 
 
-def _align_with_existing(df: DataFrame, name: str, add_columns: bool) -> DataFrame:
+def align_with_table(df: DataFrame, name: str, add_columns: bool) -> DataFrame:
     """Give ``df`` the columns of the stored table, nulls where it lacks them.
 
     With ``add_columns`` the stored table first gains the columns only ``df``
@@ -84,7 +84,7 @@ def save_table(
     spark = df.sparkSession
     exists = table_exists(spark, name)
     if exists and merge_schema:
-        df = _align_with_existing(df, name, add_columns=mode == "append")
+        df = align_with_table(df, name, add_columns=mode == "append")
     writer = df.write.format(file_format).mode(mode)
     if file_format == "delta" and merge_schema:
         writer = writer.option("mergeSchema", "true")

@@ -15,10 +15,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tierflow.sinks.tables import replace_partitions, save_table, table_exists
+from tierflow.operators.observe import Watch
+from tierflow.sinks.tables import (
+    align_with_table,
+    replace_partitions,
+    save_table,
+    table_exists,
+)
 from tierflow.sinks.upsert import upsert
 from tierflow.sources.files import check_format
-from tierflow.staging import work_folder
+from tierflow.staging import staged, work_folder
 
 BATCH_COLUMN = "ingest_batch"
 
@@ -55,24 +61,28 @@ def ingest_new_files(
     root: str | None = None,
     checkpoint: str | None = None,
     max_files_per_batch: int | None = None,
-) -> None:
+) -> int:
     """Bring ``table`` up to date with the files not ingested before.
 
-    With ``keys`` rows are upserted; late or re-delivered rows replace what is
+    Returns the number of rows ingested. With ``keys`` rows are upserted; late or re-delivered rows replace what is
     stored. Without, they are added, with ``ingest_batch`` as first partition
     column.
     """
     checkpoint = checkpoint or f"{work_folder(spark)}/tierflow/ingest/{table}"
 
+    ingested: list[int] = []
+
     def write(batch: DataFrame, batch_id: int) -> None:
         df = transform(batch) if transform else batch
-        if keys:
+        if not keys:
+            ingested.append(_replace_batch(df, table, batch_id, partition_by, root))
+            return
+        with staged(df, "ingest-batch") as stored:
+            ingested.append(stored.count())
             upsert(
-                batch.sparkSession, df, table, keys, partition_by,
-                root=root, dedupe_source_on=dedupe_source_on,
+                batch.sparkSession, stored, table, keys, partition_by,
+                root=root, dedupe_source_on=dedupe_source_on, source_is_stored=True,
             )
-        else:
-            _replace_batch(df, table, batch_id, partition_by, root)
 
     stream = stream_files(spark, path, schema, file_format, options, max_files_per_batch)
     query = (
@@ -86,6 +96,7 @@ def ingest_new_files(
     # the files of the table before.
     if table_exists(spark, table):
         spark.catalog.refreshTable(table)
+    return sum(ingested)
 
 
 def _replace_batch(
@@ -94,10 +105,12 @@ def _replace_batch(
     batch_id: int,
     partition_by: Sequence[str],
     root: str | None,
-) -> None:
-    spark = df.sparkSession
+) -> int:
     df = df.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long"))
-    if table_exists(spark, table):
-        replace_partitions(df, table)
+    exists = table_exists(df.sparkSession, table)
+    watch = Watch.rows(align_with_table(df, table, add_columns=True) if exists else df)
+    if exists:
+        replace_partitions(watch.df, table)
     else:
-        save_table(df, table, partitions=[BATCH_COLUMN, *partition_by], root=root)
+        save_table(watch.df, table, partitions=[BATCH_COLUMN, *partition_by], root=root)
+    return watch.row_count
