@@ -316,11 +316,12 @@ def impute(
     reading add nothing to a mean or a deviation. Pass ``profile`` to use one
     that is already stored.
     """
+    placed = on_grid(readings, start, end, series)
     if profile is None:
-        profile = settled(
-            hourly_profile(on_grid(readings, start, end, series), series), "profile"
-        )
-    completed = complete_grid(readings, start, end, series)
+        profile = settled(hourly_profile(placed, series), "profile")
+    completed = placed.unionByName(
+        missing_slots(readings, start, end, series), allowMissingColumns=True
+    )
     return fill_from_profile(attach_profile(completed, profile, series), series)
 
 
