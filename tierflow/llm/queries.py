@@ -49,3 +49,6 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+STAGES = []
