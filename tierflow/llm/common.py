@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from itertools import repeat
 
 import numpy as np
@@ -80,6 +82,16 @@ def segment_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return total[ends] - total[ends - counts]
 
 
+@contextmanager
+def collector_paused() -> Iterator[None]:
+    """Many small objects without cycles are made inside: nothing to look for."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 class Memory:
     """Numbers the pieces of texts; what is known of a piece is worked out once.
 
@@ -103,7 +115,8 @@ class Memory:
             new = list(dict.fromkeys(unknown))
             first = len(self.index)
             self.index.update(zip(new, range(first, first + len(new))))
-            self.learn(new)
+            with collector_paused():
+                self.learn(new)
             found[missing] = [self.index[p] for p in unknown]
         return found
 
@@ -144,8 +157,11 @@ class Sequences:
 
     def extend(self, sequences: list) -> None:
         lengths = np.fromiter(map(len, sequences), np.int64, len(sequences))
+        self.extend_flat([x for s in sequences for x in s], lengths)
+
+    def extend_flat(self, values, lengths: np.ndarray) -> None:
         self.ends.extend(np.cumsum(lengths) + self.values.size)
-        self.values.extend([x for s in sequences for x in s])
+        self.values.extend(values)
 
     def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The sequences of these numbers one after another, and their lengths."""

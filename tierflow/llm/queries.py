@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierflow.llm.byte_bpe import decode_bytes, encode_bytes
 from tierflow.llm.common import crc_of_id, table
+from tierflow.llm.decontaminate import find_contamination
 from tierflow.llm.language_id import fit_languages, identify_languages
 from tierflow.llm.simhash import near_duplicates
+from tierflow.llm.token_file import read_token_file, write_token_file
+from tierflow.staging import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +33,19 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer's file lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def split_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def held_out(folds: int, fold: int):
     return F.pmod(crc_of_id(), F.lit(folds)) == fold
 
@@ -41,6 +58,27 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
 
 
+@query("op3_token_file")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    path = new_path(spark, "tokens")
+    write_token_file(docs, path, tokenizer_path("word_bpe_49k.json"), end_id=2)
+    return read_token_file(spark, path)
+
+
+@query("op4_byte_bpe")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    ranks = tokenizer_path("byte_bpe_50k.tiktoken")
+    encoded = encode_bytes(docs, ranks, split_pattern()).select("doc_id", "ids", "n_tokens")
+    return decode_bytes(encoded, ranks).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded_bytes", 256).alias("decoded_sha256"),
+    )
+
+
 @query("op5_simhash")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     classes = near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
@@ -51,4 +89,59 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Words of an item in order, all windows of ten, and the words of the texts that
+# lie in an occurrence of a window.
+CONTAMINATION_SQL = r"""
+WITH item_words AS (
+  SELECT item_id, i, words[i] AS word, len(words) AS n
+  FROM (SELECT item_id, unnest(range(1, len(words) + 1)) AS i, words FROM (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark))
+), docs AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), windows AS (
+  SELECT item_id, least(n, 10) AS width, string_agg(word, ' ' ORDER BY j) AS win FROM (
+    SELECT a.item_id, a.i, a.n, b.i AS j, b.word FROM item_words a JOIN item_words b
+    ON a.item_id = b.item_id AND b.i BETWEEN a.i AND a.i + least(a.n, 10) - 1
+    WHERE a.i <= greatest(a.n - 9, 1))
+  GROUP BY item_id, i, n
+), widths AS (SELECT DISTINCT width FROM windows
+), spots AS (
+  SELECT doc_id, p, width, array_to_string(words[p : p + width - 1], ' ') AS win FROM (
+    SELECT doc_id, words, width, unnest(range(1, len(words) - width + 2)) AS p
+    FROM docs, widths WHERE len(words) >= width)
+), hits AS (
+  SELECT s.doc_id, s.p, s.width, w.item_id FROM spots s JOIN windows w USING (width, win)
+), marked AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit FROM (
+    SELECT doc_id, unnest(range(p, p + width)) AS q FROM hits) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (
+    SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(len(words), 0) AS BIGINT) AS n_words,
+  coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN marked USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
+@query("op10_decontamination", CONTAMINATION_SQL)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = find_contamination(docs, table(spark, folder, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda x: x.cast("string")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 STAGES = []
