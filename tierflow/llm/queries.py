@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.llm.byte_bpe import decode_bytes, encode_bytes
+from tierflow.llm.chat_format import digest_conversations, format_conversations
 from tierflow.llm.common import crc_of_id, table
 from tierflow.llm.decontaminate import find_contamination
 from tierflow.llm.language_id import fit_languages, identify_languages
+from tierflow.llm.quality import fit_quality, score_quality
 from tierflow.llm.simhash import near_duplicates
 from tierflow.llm.token_file import read_token_file, write_token_file
 from tierflow.staging import new_path
@@ -58,6 +60,47 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
 
 
+# The length of the formatted string follows from the template: control strings
+# around each turn, and a backslash for each one escaped within.
+CHAT_SQL = r"""
+WITH every AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), spoken AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM every
+), sized AS (
+  SELECT *, length(text) + len(regexp_extract_all(text,
+      '<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<<ROLE>>|<</ROLE>>|\\'))
+    + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 4
+      ELSE 21 + length(role) END AS chars
+  FROM spoken
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))
+    AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+    FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(3 + sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+@query("op2_chat_format", CHAT_SQL)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)],
+        "conv_id long, turn long, role string, text string",
+    )
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    ranks, pattern = tokenizer_path("byte_bpe_50k.tiktoken"), split_pattern()
+    return digest_conversations(
+        format_conversations(turns.unionByName(probe), ranks, pattern), ranks, pattern
+    )
+
+
 @query("op3_token_file")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -88,6 +131,15 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
         "component_id",
     )
 
+@query("op7_quality")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    model = fit_quality(docs, labels.where(~held_out(3, 1)))
+    return score_quality(docs, model).select(
+        "doc_id", held_out(3, 1).alias("held_out"), "score", "predicted"
+    )
+
 
 # Words of an item in order, all windows of ten, and the words of the texts that
 # lie in an occurrence of a window.
