@@ -261,7 +261,7 @@ def write_token_file(
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     dealt.select("doc_id", "text").mapInArrow(
         _blocks(lambda: word_encoder(tokenizer), end_id, block_ids), BLOCK
-    ).write.parquet(path)
+    ).write.option("compression", "zstd").parquet(path)
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
