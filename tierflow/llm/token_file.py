@@ -264,53 +264,60 @@ def write_token_file(
     ).write.option("compression", "zstd").parquet(path)
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for k in range(batch.num_rows):
-            row = {c: batch.column(c)[k] for c in batch.schema.names}
-            bounds = EliasFano(row["bounds"].as_buffer()).values()
-            width = row["width"].as_py()
-            ids = np.frombuffer(row["ids"].as_buffer(), f"<u{width}").astype("<u4")
-            data = memoryview(ids).cast("B")
-            crcs = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(bounds[:-1], bounds[1:])]
-            base = row["base"].as_py() + row["first"].as_py()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    row["doc_ids"].values,
-                    pa.array(base + bounds[:-1], pa.int64()),
-                    pa.array(np.diff(bounds), pa.int64()),
-                    pa.array(crcs, pa.int64()),
-                ],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
-
-
-def shard_bases(spark: SparkSession, path: str) -> DataFrame:
-    """Per shard, the ids of all shards before it: one number per written partition."""
+def _unpack(bases: dict[int, int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = {c: batch.column(c)[k] for c in batch.schema.names}
+                bounds = EliasFano(row["bounds"].as_buffer()).values()
+                width = row["width"].as_py()
+                ids = np.frombuffer(row["ids"].as_buffer(), f"<u{width}").astype("<u4")
+                data = memoryview(ids).cast("B")
+                crcs = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(bounds[:-1], bounds[1:])]
+                base = bases[row["shard"].as_py()] + row["first"].as_py()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        row["doc_ids"].values,
+                        pa.array(base + bounds[:-1], pa.int64()),
+                        pa.array(np.diff(bounds), pa.int64()),
+                        pa.array(crcs, pa.int64()),
+                    ],
+                    names=["doc_id", "start", "n_tokens", "ids_crc32"],
+                )
+
+    return run
+
+
+def shard_bases(spark: SparkSession, path: str) -> dict[int, int]:
+    """Per shard the ids of all shards before it: one number per written partition."""
     totals = spark.read.schema(BLOCK).parquet(path).groupBy("shard").agg(F.sum("n_ids").alias("n"))
-    rows, base = [], 0
+    bases, base = {}, 0
     for r in sorted(totals.collect()):
-        rows.append((r.shard, base))
+        bases[r.shard] = base
         base += r.n
-    return spark.createDataFrame(rows, "shard long, base long")
+    return bases
 
 
 def read_token_file(spark: SparkSession, path: str) -> DataFrame:
     """Per document of a token file: ``doc_id``, ``start``, ``n_tokens``, ``ids_crc32``.
 
     ``start`` counts the ids of all documents before it; the checksum is over the
-    ids, the end id included, as little-endian unsigned 32-bit numbers.
+    ids, the end id included, as little-endian unsigned 32-bit numbers. Blocks are
+    read where they lie, without a shuffle.
     """
-    blocks = spark.read.schema(BLOCK).parquet(path).join(shard_bases(spark, path), "shard")
-    return blocks.select("base", "first", "width", "doc_ids", "bounds", "ids").mapInArrow(
-        _unpack, "doc_id long, start long, n_tokens long, ids_crc32 long"
+    blocks = spark.read.schema(BLOCK).parquet(path)
+    return blocks.select("shard", "first", "width", "doc_ids", "bounds", "ids").mapInArrow(
+        _unpack(shard_bases(spark, path)), "doc_id long, start long, n_tokens long, ids_crc32 long"
     )
 
 
 def token_range(spark: SparkSession, path: str, start: int, stop: int) -> np.ndarray:
     """Ids ``start`` to ``stop`` of the whole file; reads only the blocks that hold them."""
-    blocks = spark.read.schema(BLOCK).parquet(path).join(shard_bases(spark, path), "shard")
-    at = F.col("base") + F.col("first")
+    bases = shard_bases(spark, path)
+    wanted = [s for s, base in bases.items() if base < stop]
+    blocks = spark.read.schema(BLOCK).parquet(path).where(F.col("shard").isin(wanted))
+    base = F.create_map(*[F.lit(x) for s in wanted for x in (s, bases[s])])[F.col("shard")] if wanted else F.lit(0)
+    at = base + F.col("first")
     rows = blocks.where((at < stop) & (at + F.col("n_ids") > start)).select(at.alias("at"), "width", "ids")
     found = []
     for r in sorted(rows.collect(), key=lambda r: r["at"]):
