@@ -39,7 +39,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Encodes one match of the split pattern, given as bytes."""
 
-    def __init__(self, ranks: dict[bytes, int], max_transitions: int = 1_000_000):
+    def __init__(self, ranks: dict[bytes, int], max_transitions: int = 400_000):
         self.ranks = ranks
         self.bytes = {r: t for t, r in ranks.items()}
         self.child: dict[int, int] = {}
@@ -67,7 +67,8 @@ class Transducer:
         # and all others follow from it, so its token is settled.
         begin = ((0, START, ROOT),)
         self.states, self.known = [begin], {begin: 0}
-        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
+        self.steps: dict[int, int] = {}
+        self.settled: dict[int, tuple[int, ...]] = {}
         self.rests: dict[int, tuple[int, ...]] = {}
 
     def merged(self, text: bytes) -> list[int]:
@@ -95,7 +96,8 @@ class Transducer:
             self.pairs[pair] = self.merged(self.bytes[last] + self.bytes[token]) == [last, token]
         return self.pairs[pair]
 
-    def build(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def build(self, state: int, byte: int) -> int:
+        """The next state, times two, plus one if tokens are settled on the way."""
         moved, candidates = [], []
         child, accepts, inner = self.child, self.accepts, self.inner
         for back, last, node in self.states[state]:
@@ -139,7 +141,9 @@ class Transducer:
         if target is None:
             target = self.known[key] = len(self.states)
             self.states.append(key)
-        step = self.steps[state << 8 | byte] = target, settled
+        step = self.steps[state << 8 | byte] = target << 1 | bool(settled)
+        if settled:
+            self.settled[state << 8 | byte] = settled
         return step
 
     def rest(self, state: int) -> tuple[int, ...]:
@@ -161,12 +165,13 @@ class Transducer:
             self.reset()
         state, out, get = 0, [], self.steps.get
         for byte in match:
-            step = get(state << 8 | byte)
+            key = state << 8 | byte
+            step = get(key)
             if step is None:
                 step = self.build(state, byte)
-            state = step[0]
-            if step[1]:
-                out += step[1]
+            if step & 1:
+                out += self.settled[key]
+            state = step >> 1
         rest = self.rests.get(state)
         return out + list(self.rest(state) if rest is None else rest)
 
@@ -188,8 +193,8 @@ class ByteEncoder:
         self.transducer = Transducer(read_ranks(path))
         self.pattern = regex.compile(pattern)
         self.ids, self.match_ids = Sequences(), Sequences()
-        self.chunks = Memory(self.learn, self.ids.clear, 400_000)
-        self.matches = Memory(self.learn_matches, self.match_ids.clear, 400_000)
+        self.chunks = Memory(self.learn, self.ids.clear, 250_000)
+        self.matches = Memory(self.learn_matches, self.match_ids.clear, 300_000)
 
     def learn_matches(self, matches: list[str]) -> None:
         encode = self.transducer.encode

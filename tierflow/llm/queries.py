@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierflow.llm.ann_tree import nearest_neighbours
 from tierflow.llm.byte_bpe import decode_bytes, encode_bytes
 from tierflow.llm.chat_format import digest_conversations, format_conversations
 from tierflow.llm.common import crc_of_id, table
@@ -15,6 +16,7 @@ from tierflow.llm.language_id import fit_languages, identify_languages
 from tierflow.llm.quality import fit_quality, score_quality
 from tierflow.llm.simhash import near_duplicates
 from tierflow.llm.token_file import read_token_file, write_token_file
+from tierflow.llm.url_rules import ListedRule, judge_urls, listed_verdict, mine_rules, url_host, url_path
 from tierflow.staging import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,6 +133,11 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
         "component_id",
     )
 
+@query("op6_nearest_neighbours")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest_neighbours(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
 @query("op7_quality")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -141,6 +148,25 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# The listed rules.
+URL_RULES = [
+    ListedRule.parse("allow org/"),
+    ListedRule.parse("block example.org/es/"),
+    ListedRule.parse("block example.org/en/1"),
+    ListedRule.parse("allow com/fr/"),
+    ListedRule.parse("block com/de/"),
+]
+
+
+@query("op9_url_filter")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    # The list labels the URLs it covers; what they have in common is mined for the rest.
+    decided = listed_verdict(URL_RULES, url_host(F.col("url")), url_path(F.col("url")))
+    rules = mine_rules(pages.select("url", decided["verdict"].alias("label")))
+    return judge_urls(pages, URL_RULES, rules).drop("url")
+
+
 # Words of an item in order, all windows of ten, and the words of the texts that
 # lie in an occurrence of a window.
 CONTAMINATION_SQL = r"""
