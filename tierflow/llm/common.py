@@ -74,6 +74,25 @@ def append(
     return df.mapInArrow(run, schema)
 
 
+def keep_where(
+    docs: DataFrame,
+    added: list[str],
+    extend: Callable[[DataFrame, str], DataFrame],
+    condition: str,
+    text: str = "text",
+) -> DataFrame:
+    """Rows that satisfy ``condition`` on what ``extend`` adds, with their own columns.
+
+    Where a column of ``docs`` has the name of an added one, the rows travel as a
+    single struct, so that nothing of theirs is replaced.
+    """
+    if not {c.lower() for c in docs.columns} & {c.lower() for c in added}:
+        return extend(docs, text).where(condition).select(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    packed = docs.select(whole.alias("__whole"), F.col(text).alias("__text"))
+    return extend(packed, "__text").where(condition).select("__whole.*")
+
+
 def segment_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Sums of consecutive runs of ``values``; a run may be empty."""
     total = np.zeros((len(values) + 1, *values.shape[1:]), dtype=values.dtype)

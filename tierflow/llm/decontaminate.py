@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.llm.common import append, octets
+from tierflow.llm.common import append, keep_where, octets
 from tierflow.staging import stage
 
 WINDOW = 10
@@ -333,12 +333,10 @@ def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """Documents without a hit word, with all their columns; nothing is shuffled."""
-    columns, flag = docs.columns, f"{FIELDS.names[1]}"
-    clash = [c for c in columns if c.lower() in FIELDS.names]
-    carried = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("whole"), F.col(text).alias("text")
-    ) if clash else docs
     for key, items in _named_blocks(benchmark, block_bytes):
-        searched = _search_block(carried, items, "text" if clash else text, key)
-        carried = searched.where(F.col(flag) == 0).drop(*FIELDS.names)
-    return carried.select("whole.*") if clash else carried
+
+        def search(rows: DataFrame, column: str, items=items, key=key) -> DataFrame:
+            return _search_block(rows, items, column, key)
+
+        docs = keep_where(docs, FIELDS.names, search, "n_hit = 0", text)
+    return docs

@@ -22,7 +22,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.llm.common import Memory, Rows, append, segment_sums, share, slices, strings
+from tierflow.llm.common import (
+    Memory,
+    Rows,
+    append,
+    keep_where,
+    segment_sums,
+    share,
+    slices,
+    strings,
+)
 from tierflow.staging import stage
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -205,3 +214,16 @@ def identify_languages(docs: DataFrame, model: LanguageModel, text: str = "text"
         return _scorers[key]
 
     return append(docs, FIELDS, make, text)
+
+
+def keep_identified(
+    docs: DataFrame, model: LanguageModel, min_score: float = 0.5, text: str = "text"
+) -> DataFrame:
+    """Documents whose language is determined with ``min_score`` at least."""
+    return keep_where(
+        docs,
+        FIELDS.names,
+        lambda rows, column: identify_languages(rows, model, column),
+        f"lang_pred <> '{UNDETERMINED}' AND score >= {min_score}",
+        text,
+    )

@@ -21,7 +21,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.llm.common import Memory, Rows, append, octets, segment_sums, share, slices
+from tierflow.llm.common import (
+    Memory,
+    Rows,
+    append,
+    keep_where,
+    octets,
+    segment_sums,
+    share,
+    slices,
+)
 
 BUCKETS = 1 << 16
 FOLLOWS, SEEN = BUCKETS, BUCKETS + 1
@@ -227,3 +236,14 @@ def score_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> D
         return _scorers[key]
 
     return append(docs, FIELDS, make, text)
+
+
+def keep_good(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
+    """Documents that the classifier predicts label 1 for."""
+    return keep_where(
+        docs,
+        FIELDS.names,
+        lambda rows, column: score_quality(rows, model, column),
+        "predicted = 1",
+        text,
+    )

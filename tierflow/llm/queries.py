@@ -12,6 +12,7 @@ from tierflow.llm.byte_bpe import decode_bytes, encode_bytes
 from tierflow.llm.chat_format import digest_conversations, format_conversations
 from tierflow.llm.common import crc_of_id, table
 from tierflow.llm.decontaminate import find_contamination
+from tierflow.llm.html_text import extract_text
 from tierflow.llm.language_id import fit_languages, identify_languages
 from tierflow.llm.quality import fit_quality, score_quality
 from tierflow.llm.simhash import near_duplicates
@@ -148,6 +149,12 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op8_html_text")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "html")
+    return extract_text(pages).select("page_id", "text")
+
+
 # The listed rules.
 URL_RULES = [
     ListedRule.parse("allow org/"),
@@ -220,6 +227,3 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
-
-
-STAGES = []
