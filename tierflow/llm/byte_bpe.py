@@ -39,7 +39,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Encodes one match of the split pattern, given as bytes."""
 
-    def __init__(self, ranks: dict[bytes, int], max_transitions: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], max_transitions: int = 300_000):
         self.ranks = ranks
         self.bytes = {r: t for t, r in ranks.items()}
         self.child: dict[int, int] = {}
@@ -58,7 +58,7 @@ class Transducer:
             self.accepts[node] = rank
         self.lengths = {r: len(t) for r, t in self.bytes.items()}
         self.max_transitions = max_transitions
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.proper: dict[int, bool] = {}
         self.reset()
 
@@ -71,30 +71,45 @@ class Transducer:
         self.settled: dict[int, tuple[int, ...]] = {}
         self.rests: dict[int, tuple[int, ...]] = {}
 
-    def merged(self, text: bytes) -> list[int]:
-        """Encoding by merging the pair of lowest rank, leftmost first."""
-        parts, ranks = [text[i : i + 1] for i in range(len(text))], self.ranks
-        while len(parts) > 1:
-            pairs = [ranks.get(a + b) for a, b in zip(parts, parts[1:])]
-            found = [r for r in pairs if r is not None]
-            if not found:
+    def merges(self, text: bytes, cut: int = 0) -> list[bytes] | None:
+        """Parts of a text after all merges, the lowest rank and leftmost first.
+
+        None as soon as a merge crosses ``cut``.
+        """
+        get, none = self.ranks.get, len(self.accepts) + len(self.ranks)
+        parts = [text[i : i + 1] for i in range(len(text))]
+        pairs = [get(text[i : i + 2], none) for i in range(len(text) - 1)]
+        while pairs:
+            least = min(pairs)
+            if least == none:
                 break
-            i = pairs.index(min(found))
+            i = pairs.index(least)
+            if i + 1 == cut:
+                return None
+            cut -= i < cut
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return [ranks[p] for p in parts]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = get(parts[i - 1] + parts[i], none)
+            if i < len(pairs):
+                pairs[i] = get(parts[i] + parts[i + 1], none)
+        return parts
 
     def fits(self, last: int, token: int) -> bool:
         """Whether ``token`` may follow ``last``, or begin a text."""
         if last == START:
             if token not in self.proper:
-                self.proper[token] = self.merged(self.bytes[token]) == [token]
+                self.proper[token] = len(self.merges(self.bytes[token])) == 1
             return self.proper[token]
-        pair = last, token
-        if pair not in self.pairs:
+        pair = last << 32 | token
+        fits = self.pairs.get(pair)
+        if fits is None:
             if len(self.pairs) > self.max_transitions:
                 self.pairs.clear()
-            self.pairs[pair] = self.merged(self.bytes[last] + self.bytes[token]) == [last, token]
-        return self.pairs[pair]
+            first = self.bytes[last]
+            fits = self.merges(first + self.bytes[token], len(first)) == [first, self.bytes[token]]
+            self.pairs[pair] = fits
+        return fits
 
     def build(self, state: int, byte: int) -> int:
         """The next state, times two, plus one if tokens are settled on the way."""
@@ -193,8 +208,8 @@ class ByteEncoder:
         self.transducer = Transducer(read_ranks(path))
         self.pattern = regex.compile(pattern)
         self.ids, self.match_ids = Sequences(), Sequences()
-        self.chunks = Memory(self.learn, self.ids.clear, 250_000)
-        self.matches = Memory(self.learn_matches, self.match_ids.clear, 300_000)
+        self.chunks = Memory(self.learn, self.ids.clear, 200_000)
+        self.matches = Memory(self.learn_matches, self.match_ids.clear, 250_000)
 
     def learn_matches(self, matches: list[str]) -> None:
         encode = self.transducer.encode
@@ -339,6 +354,12 @@ DECODED = T.StructType(
 )
 
 
+def _packed(encoder: ByteEncoder, column: pa.Array) -> tuple[list[bytes], np.ndarray]:
+    values, counts = encoder.encode(octets(column))
+    data, ends = values.astype("<u4"), np.cumsum(counts)
+    return [data[e - n : e].tobytes() for e, n in zip(ends, counts)], counts
+
+
 def encode_bytes(docs: DataFrame, ranks: str, pattern: str, text: str = "text") -> DataFrame:
     """Add ``ids`` (little-endian unsigned 32-bit numbers) and ``n_tokens``.
 
@@ -347,21 +368,38 @@ def encode_bytes(docs: DataFrame, ranks: str, pattern: str, text: str = "text")
     pass; repeated rows keep their rows, nothing is shuffled.
     """
 
-    def make():
+    def make() -> Callable[[pa.Array], list[pa.Array]]:
         encoder = _encoder(ranks, pattern)
 
         def step(column: pa.Array) -> list[pa.Array]:
-            values, counts = encoder.encode(octets(column))
-            data = values.astype("<u4")
-            ends = np.cumsum(counts)
-            parts = [data[e - n : e].tobytes() for e, n in zip(ends, counts)]
-            return [pa.array(parts, pa.binary()), pa.array(counts, pa.int64())]
+            ids, counts = _packed(encoder, column)
+            return [pa.array(ids, pa.binary()), pa.array(counts, pa.int64())]
 
         return step
 
     return append(docs, IDS, make, text)
 
 
+def round_trip(docs: DataFrame, ranks: str, pattern: str, text: str = "text") -> DataFrame:
+    """``encode_bytes``, and ``decoded_bytes`` from the packed ids, in one Python worker."""
+
+    def make() -> Callable[[pa.Array], list[pa.Array]]:
+        encoder, decoder = _encoder(ranks, pattern), _decoder(ranks)
+
+        def step(column: pa.Array) -> list[pa.Array]:
+            ids, counts = _packed(encoder, column)
+            exact = [decoder.octets(np.frombuffer(x, "<u4")) for x in ids]
+            return [
+                pa.array(ids, pa.binary()),
+                pa.array(counts, pa.int64()),
+                pa.array(exact, pa.binary()),
+            ]
+
+        return step
+
+    return append(docs, T.StructType([*IDS, DECODED[0]]), make, text)
+
+
 def decode_bytes(encoded: DataFrame, ranks: str, ids: str = "ids") -> DataFrame:
     """Add ``decoded_bytes`` and ``decoded``, the text of ``ids``; null ids are empty.
 

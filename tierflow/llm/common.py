@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tierflow.staging import stage
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.llm.ann_tree import nearest_neighbours
-from tierflow.llm.byte_bpe import decode_bytes, encode_bytes
+from tierflow.llm.byte_bpe import round_trip
 from tierflow.llm.chat_format import digest_conversations, format_conversations
 from tierflow.llm.common import crc_of_id, table
 from tierflow.llm.decontaminate import find_contamination
@@ -116,8 +116,7 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     ranks = tokenizer_path("byte_bpe_50k.tiktoken")
-    encoded = encode_bytes(docs, ranks, split_pattern()).select("doc_id", "ids", "n_tokens")
-    return decode_bytes(encoded, ranks).select(
+    return round_trip(docs, ranks, split_pattern()).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
