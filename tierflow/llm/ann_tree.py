@@ -195,7 +195,7 @@ def nearest_neighbours(
     every: int = 20,
     k: int = NEIGHBOURS,
     sample_rows: int = 8000,
-    max_leaves: int = 1024,
+    max_leaves: int = 128,
     target: float = 0.95,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score`` of the ``k`` nearest found.
@@ -241,14 +241,17 @@ def _search(packed, every, k, sample_rows, max_leaves, target) -> DataFrame:
         "distinct-vectors",
     )
     total = distinct.count()
-    sample = _matrix(share(distinct.select("vec", "packed"), "vec", sample_rows).toArrow().column("packed"))
+    drawn = share(distinct.select("vec", "packed", "ids"), "vec", sample_rows).toArrow().combine_chunks()
+    drawn = drawn.sort_by("packed")
+    sample, sample_ids = _matrix(drawn.column("packed")), drawn.column("ids").combine_chunks()
     leaves = max(1, min(max_leaves, total // 64, len(sample) // 4))
     tree = build_tree(sample, leaves)
     fraction, _ = calibrate(tree, sample, np.arange(0, len(sample), max(1, len(sample) // 200)), k, target)
     visits = max(1, math.ceil(fraction * tree.n_leaves))
-    # The sample also bounds, from below, what the neighbours of a query score; one
-    # more is asked for, as the query itself may be in it.
-    shared, known = spark.sparkContext.broadcast(tree), spark.sparkContext.broadcast(sample)
+    # The sample's own best rows are candidates, so that none of the k can be missing,
+    # and bound from below what the neighbours of a query score; the query itself may
+    # be among them, so one more is asked for than k + 1.
+    shared, known = spark.sparkContext.broadcast(tree), spark.sparkContext.broadcast((sample, sample_ids))
 
     def to_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,7 +271,7 @@ def _search(packed, every, k, sample_rows, max_leaves, target) -> DataFrame:
             walks = [shared.value.walk(q, visits) for q in asking]
             counts = [len(w) for w in walks]
             bounds = np.concatenate(
-                [lower_bounds(asking[a : a + 64], known.value, k + 2) for a in range(0, len(asking), 64)]
+                [lower_bounds(asking[a : a + 64], known.value[0], k + 2) for a in range(0, len(asking), 64)]
             )
             yield pa.RecordBatch.from_arrays(
                 [
@@ -279,6 +282,19 @@ def _search(packed, every, k, sample_rows, max_leaves, target) -> DataFrame:
                 names=["packed", "leaf", "bound"],
             )
 
+    def near_in_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors, ids = known.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.column("packed").slice(at, 64)
+                asking = _matrix(part)
+                every = np.full(len(asking), -np.inf)
+                i, j, scores = nearest_pairs(asking, vectors, k + 2, every)
+                yield pa.RecordBatch.from_arrays(
+                    [part.take(pa.array(i)), ids.take(pa.array(j)), pa.array(scores)],
+                    names=["packed", "ids", "score"],
+                )
+
     def blocks(df: DataFrame, *columns: str) -> DataFrame:
         """Rows of a leaf in packed rows of about BLOCK; counts come first."""
         sizes = df.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).alias("n"))
@@ -310,10 +326,13 @@ def _search(packed, every, k, sample_rows, max_leaves, target) -> DataFrame:
                     names=["packed", "ids", "score"],
                 )
 
+    schema = "packed binary, ids array<long>, score double"
+    met = left.join(right, "leaf").select("queries", "bounds", "vectors", "ids")
     pairs = (
-        left.join(right, "leaf")
-        .select("queries", "bounds", "vectors", "ids")
-        .mapInArrow(compare, "packed binary, ids array<long>, score double")
+        met.mapInArrow(compare, schema)
+        .union(queries.mapInArrow(near_in_sample, schema))
+        .groupBy("packed", "ids")
+        .agg(F.max("score").alias("score"))
     )
     # A vector's smallest id stands for it: k + 1 vectors hold the k + 1 best rows.
     nearest = Window.partitionBy("packed").orderBy(F.desc("score"), F.col("ids")[0])
