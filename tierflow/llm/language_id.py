@@ -82,13 +82,19 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _scores(rows: list, languages: list[str]) -> tuple[list[str], np.ndarray]:
+    """Tokens, and per language the log frequency of each, centred over languages.
+
+    What a language lacks has the same small frequency in each of them, so that
+    languages with little text are not favoured.
+    """
     tokens = list(dict.fromkeys(r.token for r in rows))
     place = {t: i for i, t in enumerate(tokens)}
-    counts = np.full((len(tokens), len(languages)), 0.5)
+    counts = np.zeros((len(tokens), len(languages)))
     column = {x: i for i, x in enumerate(languages)}
     for r in rows:
         counts[place[r.token], column[r.lang]] += r.n
-    logs = np.log(counts / counts.sum(axis=0)) if tokens else counts
+    totals = np.maximum(1, counts.sum(axis=0))
+    logs = np.log(counts / totals + 0.5 / totals.max()) if tokens else counts
     return tokens, logs - logs.mean(axis=1, keepdims=True) if tokens else logs
 
 
@@ -152,7 +158,8 @@ class _Scorer:
         counts = [self.backoff(words[i], found) for i in unseen.tolist()]
         if found:
             sums = segment_sums(self.model.gram_scores[found], np.array(counts))
-            scores[unseen] = sums / np.maximum(1, counts)[:, None]
+            # Neighbouring grams overlap, so each character counts about once.
+            scores[unseen] = sums / LONGEST_GRAM
         else:
             scores[unseen] = 0.0
         self.scores.extend(scores)
@@ -217,7 +224,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel, text: str = "text"
 
 
 def keep_identified(
-    docs: DataFrame, model: LanguageModel, min_score: float = 0.5, text: str = "text"
+    docs: DataFrame, model: LanguageModel, min_score: float = 0.3, text: str = "text"
 ) -> DataFrame:
     """Documents whose language is determined with ``min_score`` at least."""
     return keep_where(
