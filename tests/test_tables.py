@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from tierflow.operators import timeseries
 from tierflow.sinks import tables, upsert as ups
 from tierflow.sources.files import load_window, scan_files
 from tierflow.staging import new_path
@@ -127,15 +128,94 @@ def test_untouched_partitions_keep_their_files(spark, database):
     assert {p.split("/")[0] for p in kept} == {"p=1"}
 
 
-def test_range_of_partitions_when_there_are_many(spark, database, monkeypatch):
-    monkeypatch.setattr(ups, "MAX_NAMED_PARTITIONS", 1)
+def test_many_partitions_of_two_columns(spark, database):
+    """The first and the last are delivered again; all files in between stay."""
     name = f"{database}.t"
-    data = [(i, "a", i) for i in range(6)] + [(9, "n", None)]
-    ups.upsert(spark, keyed(spark, data), name, ["id"], ["p"])
-    ups.upsert(spark, keyed(spark, [(1, "A", 1), (3, "C", 3), (7, "N", None)]), name, ["id"], ["p"])
-    assert rows(spark.table(name), "id", "v", "p") == sorted(
-        [(0, "a", 0), (1, "A", 1), (2, "a", 2), (3, "C", 3), (4, "a", 4), (5, "a", 5),
-         (7, "N", None), (9, "n", None)], key=repr)
+    df = spark.range(0, 1200).selectExpr(
+        "id", "0 AS v", "id % 300 AS p", "IF(id % 4 = 0, NULL, id % 4) AS q"
+    )
+    keys, parts = ["id", "p", "q"], ["p", "q"]
+    save = df.where("p > 1 OR q IS NOT NULL")
+    ups.upsert(spark, save.fillna(-1, "q"), name, keys, parts)
+    before = set(spark.table(name).inputFiles())
+    later = df.where("p IN (1, 299)").fillna(-1, "q").withColumn("v", F.lit(1))
+    ups.upsert(spark, later, name, keys, parts)
+    gone = before - set(spark.table(name).inputFiles())
+    assert {f.split("/")[-3] for f in gone} == {"p=1", "p=299"}
+    assert spark.table(name).where("v = 1").count() == later.count()
+    condition = ups.touched_partitions(df, parts)
+    assert spark.table(name).where(condition).count() > 0
+
+
+def test_null_values_in_several_partition_columns(spark, database):
+    name = f"{database}.t"
+    data = [(1, "a", None), (2, None, 5), (3, None, None), (4, "a", 5)]
+    schema = "id int, p string, q int"
+    keys = ["id"]
+    ups.upsert(spark, spark.createDataFrame(data, schema), name, keys, ["p", "q"])
+    again = spark.createDataFrame([(1, "b", 5), (3, None, None), (5, None, 5)], schema)
+    ups.upsert(spark, again, name, keys, ["p", "q"])
+    assert rows(spark.table(name), "id", "p", "q") == sorted(
+        [(1, "b", 5), (2, None, 5), (3, None, None), (4, "a", 5), (5, None, 5)], key=repr)
+
+
+def test_building_an_operator_starts_no_job(spark):
+    readings = spark.sql(
+        "SELECT timestamp'2024-01-01' + make_interval(0,0,0,0,CAST(id AS INT)) AS timestamp, 1 AS turbine_id, "
+        "1D AS wind_speed, 1D AS wind_direction, 1D AS power_output FROM range(48)")
+    root = Path(urlparse(new_path(spark, "x")).path).parent
+    before = set(root.glob("*"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        timeseries.process(readings, "2024-01-01", "2024-01-03")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert set(root.glob("*")) == before
+
+
+def test_a_moved_row_leaves_its_partition(spark, database):
+    name = f"{database}.t"
+    ups.upsert(spark, keyed(spark, TARGET), name, ["id"], ["p"])
+    moved = [(1, "a", 9)]
+    ups.upsert(spark, keyed(spark, moved), name, ["id"], ["p"])
+    assert spark.table(name).where("id = 1").collect()[0].p == 9
+    assert spark.table(name).count() == len(TARGET)
+
+
+def test_upsert_aligns_columns(spark, database):
+    name = f"{database}.t"
+    ups.upsert(spark, keyed(spark, TARGET), name, ["id"], ["p"])
+    ups.upsert(spark, keyed(spark, [(1, "A", 1)]).withColumn("w", F.lit(7)), name, ["id"], ["p"])
+    ups.upsert(spark, keyed(spark, [(8, "x", 1)]).drop("v"), name, ["id"], ["p"])
+    assert rows(spark.table(name).where("id IN (1, 8)"), "id", "v", "w") == [(1, "A", 7), (8, None, None)]
+
+
+def test_failed_overwrite_keeps_the_rows(spark, database, monkeypatch):
+    name = f"{database}.t"
+    ups.upsert(spark, keyed(spark, TARGET), name, ["id"])
+    merged = ups.stage
+
+    def damaged(df, label):
+        result, path = merged(df, label)
+        return result.withColumn("v", F.raise_error(F.lit("lost")).cast("string")), path
+
+    monkeypatch.setattr(ups, "stage", damaged)
+    with pytest.raises(RuntimeError, match="all its rows are in") as failure:
+        ups.upsert(spark, keyed(spark, SOURCE), name, ["id"])
+    path = str(failure.value).rsplit(" ", 1)[1]
+    assert rows(spark.read.parquet(path), "id", "v", "p") == MERGED
+
+
+def test_names_follow_the_case_rule(spark, database):
+    name = f"{database}.t"
+    tables.save_table(keyed(spark, TARGET), name)
+    tables.save_table(keyed(spark, TARGET).toDF("ID", "V", "P"), name)
+    tables.save_table(keyed(spark, TARGET).toDF("Id", "V", "P"), name, "append")
+    assert rows(spark.table(name), "id", "v", "p") == sorted(TARGET * 2)
+    clash = keyed(spark, TARGET)
+    clash = clash.toDF("id", "v", "p").withColumnRenamed("p", "P").withColumn("q", F.lit(1)).toDF("id", "v", "P", "ID")
+    with pytest.raises(ValueError, match="case rule"):
+        tables.save_table(clash, name, "append")
 
 
 def test_only_touched_partitions_are_read(spark, database):

@@ -36,9 +36,13 @@ class Audit:
         self.audit_table = spec.get("audit_table", AUDIT_TABLE)
         self.error_table = spec.get("error_table", ERROR_TABLE)
         self.run_id = uuid.uuid4().hex
+        # Known to a failed run as well, once it has been counted.
+        self.source_count: int | None = None
         self._started = datetime.now(timezone.utc)
 
-    def log_run(self, source_count: int, target_count: int, status: str = "SUCCESS") -> None:
+    def log_run(
+        self, source_count: int | None, target_count: int | None, status: str = "SUCCESS"
+    ) -> None:
         row = (
             self.run_id, self._layer, source_count, target_count, status,
             self._started, datetime.now(timezone.utc),

@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 # The masked forms u***@e***.com and XXX-XXX-4567.
 EMAIL_PATTERN = r"^(.)[^@]*@(.)[^.]*(\..*)$"
 EMAIL_MASK = "$1***@$2***$3"
-PHONE_PATTERN = r"\d{3}-\d{3}-(\d{4})"
 PHONE_MASK = "XXX-XXX-$1"
 
+# What is taken for an address or a number within a text: a whole value of the
+# form above keeps its exact mask, anything else has each address masked alike.
+EMAIL_IN_TEXT = r"([\w.%+-])[\w.%+-]*@([A-Za-z0-9])[A-Za-z0-9-]*((?:\.[A-Za-z0-9-]+)*)"
+PHONE_PATTERN = r"(?<!\d)(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-](\d{4})(?!\d)"
+
 # Key length in bytes of each cipher.
 KEY_BYTES = {"AES-128": 16, "AES-192": 24, "AES-256": 32}
 
@@ -24,7 +28,9 @@ def token(value: Column, salt: str = "") -> Column:
 
 
 def masked_email(value: Column) -> Column:
-    return F.regexp_replace(value, EMAIL_PATTERN, EMAIL_MASK)
+    whole = F.regexp_replace(value, EMAIL_PATTERN, EMAIL_MASK)
+    inside = F.regexp_replace(value, EMAIL_IN_TEXT, EMAIL_MASK)
+    return F.when(value.rlike(EMAIL_PATTERN), whole).otherwise(inside)
 
 
 def masked_phone(value: Column) -> Column:
@@ -45,8 +51,12 @@ def encrypted(value: Column, key: bytes | str, algorithm: str = "AES-256") -> Co
     return F.base64(F.aes_encrypt(value.cast("string"), _key(key, algorithm)))
 
 
-def decrypted(value: Column, key: bytes | str, algorithm: str = "AES-256") -> Column:
-    return F.aes_decrypt(F.unbase64(value), _key(key, algorithm)).cast("string")
+def decrypted(
+    value: Column, key: bytes | str, algorithm: str = "AES-256", data_type: str = "string"
+) -> Column:
+    """The value, as text or as the type it had before."""
+    text = F.aes_decrypt(F.unbase64(value), _key(key, algorithm)).cast("string")
+    return text.cast(data_type)
 
 
 def hash_column(df: DataFrame, column: str, salt: str = "") -> DataFrame:
@@ -60,12 +70,12 @@ def create_token_mapping(df: DataFrame, column: str, salt: str = "") -> DataFram
 
 
 def mask_email(df: DataFrame, column: str) -> DataFrame:
-    """``user@example.com`` becomes ``u***@e***.com``."""
+    """``user@example.com`` becomes ``u***@e***.com``, alone or within a text."""
     return df.withColumn(column, masked_email(F.col(column)))
 
 
 def mask_phone(df: DataFrame, column: str) -> DataFrame:
-    """``555-123-4567`` becomes ``XXX-XXX-4567``."""
+    """``555-123-4567`` becomes ``XXX-XXX-4567``, also with other separators."""
     return df.withColumn(column, masked_phone(F.col(column)))
 
 
@@ -76,9 +86,14 @@ def encrypt_column(
 
 
 def decrypt_column(
-    df: DataFrame, column: str, key: bytes | str, algorithm: str = "AES-256"
+    df: DataFrame,
+    column: str,
+    key: bytes | str,
+    algorithm: str = "AES-256",
+    data_type: str = "string",
 ) -> DataFrame:
-    return df.withColumn(column, decrypted(F.col(column), key, algorithm))
+    """Undo ``encrypt_column``; ``data_type`` is the type the column had."""
+    return df.withColumn(column, decrypted(F.col(column), key, algorithm, data_type))
 
 
 def protect_columns(df: DataFrame, policy: Mapping[str, Mapping[str, Any]]) -> DataFrame:

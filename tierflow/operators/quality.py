@@ -8,11 +8,13 @@ row per task.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 from typing import Any
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
@@ -66,6 +68,32 @@ def add_data_quality_flag(df: DataFrame, rules: Rules) -> DataFrame:
 # --- business rules --------------------------------------------------------
 
 
+def _parses(text: str) -> bool:
+    """Whether a text is a SQL expression, be its columns known or not."""
+    nothing = SparkSession.active().range(0)
+    try:
+        nothing.select(F.expr(text)).schema  # noqa: B018
+    except ParseException:
+        return False
+    except AnalysisException:
+        pass
+    return True
+
+
+def split_rule(text: str) -> tuple[str, str | None]:
+    """Check and condition of a rule given as text.
+
+    A text that is SQL as it stands is a plain rule. Otherwise it is cut at the
+    first ``when``, in either case, with SQL on both sides.
+    """
+    if not _parses(text):
+        for found in re.finditer(r"\s+when\s+", text, re.IGNORECASE):
+            check, when = text[: found.start()], text[found.end() :]
+            if _parses(check) and _parses(when):
+                return check, when
+    return text, None
+
+
 def business_condition(rule: BusinessRule) -> Column:
     """One business rule as a condition.
 
@@ -76,9 +104,7 @@ def business_condition(rule: BusinessRule) -> Column:
     if isinstance(rule, Mapping):
         check, when = rule["check"], rule.get("when")
     elif isinstance(rule, str):
-        check, when = rule, None
-        if " when " in rule and "case " not in rule.lower():
-            check, when = rule.split(" when ", 1)
+        check, when = split_rule(rule)
     else:
         check, when = rule
     if not when:

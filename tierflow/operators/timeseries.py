@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.functions.scalar import absolute_zscore, replace_beyond
-from tierflow.staging import settled
 
 # Slots per presence bitmap; a bitmap is one 64-bit integer.
 BLOCK = 24
@@ -313,12 +312,13 @@ def impute(
     """Complete the grid and fill its gaps from the hour-of-day profile.
 
     The profile is taken from the readings on the grid, since slots without a
-    reading add nothing to a mean or a deviation. Pass ``profile`` to use one
-    that is already stored.
+    reading add nothing to a mean or a deviation. The readings are read three
+    times, so give a stored table; pass ``profile`` to use one that is stored too,
+    which lets the join with it be planned on its real size.
     """
     placed = on_grid(readings, start, end, series)
     if profile is None:
-        profile = settled(hourly_profile(placed, series), "profile")
+        profile = hourly_profile(placed, series)
     completed = placed.unionByName(
         missing_slots(readings, start, end, series), allowMissingColumns=True
     )

@@ -10,7 +10,7 @@ is counted by a query of its own instead.
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any
@@ -32,7 +32,8 @@ from tierflow.operators.observe import Watch
 from tierflow.operators.quality import Expectations, add_rule_results
 from tierflow.sinks.tables import derive_partitions, publish_view, rebalance, save_table
 from tierflow.sources.files import scan_files, scan_table
-from tierflow.streaming.ingest import ingest_new_files
+from tierflow.staging import staged
+from tierflow.streaming.ingest import Ingested, ingest_new_files
 
 log = logging.getLogger(__name__)
 
@@ -58,6 +59,7 @@ def _recorded(spark: SparkSession, layer: str, spec: Spec) -> Iterator[Audit]:
     except Exception as error:
         log.error("%s failed: %s", layer, error)
         audit.log_error(error)
+        audit.log_run(audit.source_count, None, "FAILED")
         raise
 
 
@@ -77,13 +79,37 @@ def _ensure_database(spark: SparkSession, table: str) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
 
-def _write(spark: SparkSession, df: DataFrame, spec: Spec, time_column: str) -> Watch:
-    """Save a layer's table as its destination asks; return the watched rows."""
+def _gathered(df: DataFrame, spec: Spec, time_column: str) -> DataFrame | None:
+    """Rows brought together by the partitions they will be written to, or None.
+
+    For the place before checks: what follows is narrow, so that figures can be
+    observed. It is left to the write where the partitions cannot be told yet.
+    """
+    partitions = spec["destination"].get("partitions") or []
+    if not partitions or not spec["destination"].get("rebalance", True):
+        return df
+    try:
+        derived = derive_partitions(df, partitions, time_column)
+    except ValueError:
+        return None
+    marks = {f"__partition_{i}": F.col(f"`{p}`") for i, p in enumerate(partitions)}
+    held = derived.withColumns(marks).select(*df.columns, *marks)
+    return rebalance(held, list(marks)).drop(*marks)
+
+
+def _write(
+    spark: SparkSession, df: DataFrame, spec: Spec, time_column: str, gathered: bool = False
+) -> Watch:
+    """Save a layer's table as its destination asks; return the watched rows.
+
+    Rows are rebalanced by partition first, unless they are ``gathered`` already
+    or ``destination.rebalance`` is false.
+    """
     destination = spec["destination"]
     partitions = destination.get("partitions") or []
     table = _destination(spec)
     df = derive_partitions(df, partitions, time_column)
-    if destination.get("rebalance"):
+    if destination.get("rebalance", True) and not gathered:
         df = rebalance(df, partitions)
     target = Watch.rows(df)
     _ensure_database(spark, table)
@@ -113,14 +139,22 @@ def bronze_scan(spark: SparkSession, spec: Spec) -> DataFrame:
     )
 
 
+def bronze_metadata(df: DataFrame, spec: Spec) -> DataFrame:
+    wanted = spec.get("transform", {}).get("add_metadata_columns") or []
+    return add_metadata_columns(df, wanted, "BRONZE")
+
+
 def bronze_transform(df: DataFrame, spec: Spec) -> DataFrame:
     """Metadata columns, then duplicates, then the case of names.
 
     Metadata comes first, so equal rows of different files stay apart when
     ``source_file`` is among it.
     """
+    return bronze_cleaned(bronze_metadata(df, spec), spec)
+
+
+def bronze_cleaned(df: DataFrame, spec: Spec) -> DataFrame:
     transform = spec.get("transform", {})
-    df = add_metadata_columns(df, transform.get("add_metadata_columns") or [], "BRONZE")
     if transform.get("remove_duplicates"):
         df = remove_duplicates(df)
     match transform.get("column_case", "as_is"):
@@ -131,10 +165,11 @@ def bronze_transform(df: DataFrame, spec: Spec) -> DataFrame:
     return df
 
 
-def _ingest_increment(spark: SparkSession, spec: Spec) -> int:
+def _ingest_increment(spark: SparkSession, spec: Spec) -> Ingested:
     source, destination = spec["source"], spec["destination"]
+    transform = spec.get("transform", {})
     table, partitions = _destination(spec), destination.get("partitions") or []
-    time_column = spec.get("transform", {}).get("time_column", "load_timestamp")
+    time_column = transform.get("time_column", "load_timestamp")
     _ensure_database(spark, table)
     return ingest_new_files(
         spark,
@@ -145,34 +180,47 @@ def _ingest_increment(spark: SparkSession, spec: Spec) -> int:
         source.get("options"),
         lambda df: derive_partitions(bronze_transform(df, spec), partitions, time_column),
         destination.get("keys"),
+        transform.get("duplicates_order"),
         partition_by=partitions,
         root=destination.get("root"),
-        checkpoint=source.get("checkpoint"),
+        max_files_per_batch=source.get("max_files_per_batch"),
+        table_format=destination.get("format", "parquet"),
+        merge_schema=destination.get("merge_schema", True),
     )
 
 
 def run_bronze(spark: SparkSession, spec: Spec) -> LayerResult:
     """Ingest files into the bronze table.
 
-    With ``source.incremental`` only files not ingested before are read. Their
-    rows are upserted if ``destination.keys`` is given and added otherwise.
+    With ``source.incremental`` only files that are new or have changed are read.
+    Their rows are upserted if ``destination.keys`` is given, by the order
+    ``transform.duplicates_order`` where a file repeats a key, and added otherwise.
     """
     with _recorded(spark, "BRONZE", spec) as audit:
         transform = spec.get("transform", {})
         if spec["source"].get("incremental"):
             ingested = _ingest_increment(spark, spec)
-            audit.log_run(ingested, ingested)
-            return LayerResult(_destination(spec), ingested, ingested)
-        scan = bronze_scan(spark, spec)
-        shuffles = transform.get("remove_duplicates") or spec["destination"].get("rebalance")
-        watched = None if shuffles else Watch.rows(scan)
-        source_count = scan.count() if shuffles else None
-        df = bronze_transform(watched.df if watched else scan, spec)
-        target = _write(spark, df, spec, transform.get("time_column", "load_timestamp"))
-        if watched:
+            audit.log_run(ingested.source_count, ingested.target_count)
+            return LayerResult(
+                _destination(spec), ingested.source_count, ingested.target_count
+            )
+        scan = bronze_metadata(bronze_scan(spark, spec), spec)
+        destination, time_column = spec["destination"], transform.get("time_column", "load_timestamp")
+        shuffles = transform.get("remove_duplicates") or (
+            destination.get("partitions") and destination.get("rebalance", True)
+        )
+        if shuffles:
+            # Parsed once; its rows are counted from the footers of what was stored.
+            with staged(scan, "bronze") as rows:
+                source_count = audit.source_count = rows.count()
+                target = _write(spark, bronze_cleaned(rows, spec), spec, time_column)
+                written = target.row_count
+        else:
+            watched = Watch.rows(scan)
+            written = _write(spark, bronze_cleaned(watched.df, spec), spec, time_column).row_count
             source_count = watched.row_count
-        audit.log_run(source_count, target.row_count)
-        return LayerResult(_destination(spec), source_count, target.row_count)
+        audit.log_run(source_count, written)
+        return LayerResult(_destination(spec), source_count, written)
 
 
 # --- silver ----------------------------------------------------------------
@@ -198,7 +246,10 @@ class _Checks:
 
 
 def silver_transform(
-    df: DataFrame, spec: Spec, observe: bool = True
+    df: DataFrame,
+    spec: Spec,
+    observe: bool = True,
+    gather: Callable[[DataFrame], DataFrame | None] = lambda df: df,
 ) -> tuple[DataFrame, list[_Checks]]:
     """Duplicates, quality checks, standardization, business rules, own columns."""
     transform = spec.get("transform", {})
@@ -214,6 +265,11 @@ def silver_transform(
 
     if settings := enabled("deduplication"):
         df = remove_duplicates(df, settings.get("subset"))
+    gathered = gather(df)
+    if gathered is None:
+        observe = False
+    else:
+        df = gathered
     if settings := enabled("quality_checks"):
         df = check(df, Expectations(df, settings.get("rules", {})))
     if settings := enabled("standardization"):
@@ -240,10 +296,15 @@ def run_silver(spark: SparkSession, spec: Spec) -> LayerResult:
     with _recorded(spark, "SILVER", spec) as audit:
         transform = spec.get("transform", {})
         source = scan_table(spark, _table_name(spec["source"]))
-        source_count = source.count()
-        observe = not spec["destination"].get("rebalance")
-        df, checks = silver_transform(source, spec, observe)
-        target = _write(spark, df, spec, transform.get("time_column", "load_timestamp"))
+        source_count = audit.source_count = source.count()
+        time_column, placed = transform.get("time_column", "load_timestamp"), []
+
+        def gather(df: DataFrame) -> DataFrame | None:
+            placed.append(_gathered(df, spec, time_column))
+            return placed[0]
+
+        df, checks = silver_transform(source, spec, gather=gather)
+        target = _write(spark, df, spec, time_column, gathered=placed[0] is not None)
 
         quality = None
         for part in checks:
@@ -284,7 +345,7 @@ def run_gold(spark: SparkSession, spec: Spec) -> LayerResult:
     with _recorded(spark, "GOLD", spec) as audit:
         destination = spec["destination"]
         source = scan_table(spark, _table_name(spec["source"]))
-        source_count = source.count()
+        source_count = audit.source_count = source.count()
         df = gold_transform(source, spec)
         time_column = "agg_date" if "agg_date" in df.columns else "report_generated_at"
         target = _write(spark, df, spec, time_column)

@@ -8,6 +8,7 @@ would send either way, so both sides add a small amount first.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
@@ -24,7 +25,7 @@ from tierflow.plans import layers, turbine
 from tierflow.sinks.tables import derive_partitions, publish_view, save_table
 from tierflow.sinks.upsert import upsert
 from tierflow.sources.files import in_window, load_window, scan_files, scan_table
-from tierflow.staging import new_path
+from tierflow.staging import move, new_path, release, stage
 from tierflow.streaming.ingest import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -843,15 +844,55 @@ def mask_phone(spark, folder):
     return protect.mask_phone(_contacts(spark, folder).drop("email"), "phone")
 
 
+# Without look-around the characters beside a number are taken along.
+PHONE_SQL = r"(^|[^0-9])(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-]([0-9]{4})($|[^0-9])"
+
+
 @query(
     "mask_phone_documents",
-    "SELECT doc_id, md5(phone) AS masked FROM (SELECT doc_id, "
-    + MASK_PHONE_SQL.replace("(phone", "(text")
-    + " AS phone FROM documents)",
+    f"""SELECT doc_id, md5(masked) AS masked, masked <> text AS changed FROM (
+    SELECT doc_id, text, regexp_replace(text, '{PHONE_SQL}', '\\1XXX-XXX-\\2\\3', 'g') AS masked
+    FROM documents)""",
 )
 def mask_phone_documents(spark, folder):
-    masked = protect.mask_phone(table(spark, folder, "documents"), "text")
-    return masked.select("doc_id", F.md5("text").alias("masked"))
+    docs = table(spark, folder, "documents").withColumn("masked", F.col("text"))
+    masked = protect.mask_phone(docs, "masked")
+    return masked.select(
+        "doc_id", F.md5("masked").alias("masked"), (F.col("masked") != F.col("text")).alias("changed")
+    )
+
+
+EMAIL_TEXT_SQL = r"([\w.%+-])[\w.%+-]*@([A-Za-z0-9])[A-Za-z0-9-]*((?:\.[A-Za-z0-9-]+)*)"
+
+
+@query(
+    "mask_email_documents",
+    f"""SELECT doc_id, md5(masked) AS masked, masked <> text AS changed FROM (
+    SELECT doc_id, text, CASE WHEN regexp_matches(text, '^(.)[^@]*@(.)[^.]*(\\..*)$')
+      THEN regexp_replace(text, '^(.)[^@]*@(.)[^.]*(\\..*)$', '\\1***@\\2***\\3')
+      ELSE regexp_replace(text, '{EMAIL_TEXT_SQL}', '\\1***@\\2***\\3', 'g') END AS masked
+    FROM documents)""",
+)
+def mask_email_documents(spark, folder):
+    docs = table(spark, folder, "documents").withColumn("masked", F.col("text"))
+    masked = protect.mask_email(docs, "masked")
+    return masked.select(
+        "doc_id", F.md5("masked").alias("masked"), (F.col("masked") != F.col("text")).alias("changed")
+    )
+
+
+@query(
+    "encrypt_typed",
+    "SELECT o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS day FROM orders",
+)
+def encrypt_typed(spark, folder):
+    df = table(spark, folder, "orders").select(
+        "o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("day")
+    )
+    for column, kind in df.dtypes:
+        hidden = protect.encrypt_column(df, column, DEMO_KEY)
+        df = protect.decrypt_column(hidden, column, DEMO_KEY, data_type=kind)
+    return df
 
 
 @query("encrypt_roundtrip", "SELECT c_custkey, c_name, true AS hidden FROM customer")
@@ -974,7 +1015,10 @@ def _upserted(spark: SparkSession, folder: str, partition_by: list[str]) -> Data
     )
     keys = ["o_orderkey", "o_orderdate"]
     for delivery in (first, second, second):
-        upsert(spark, delivery, name, keys, partition_by)
+        upsert(
+            spark, delivery, name, keys, partition_by,
+            partition_from={"year": "year(o_orderdate)"} if partition_by else None,
+        )
     return rounded(scan_table(spark, name))
 
 
@@ -1019,7 +1063,164 @@ def incremental_append(spark, folder):
         ingest_new_files(
             spark, path, f"{database}.events", events.drop("ts").schema, "json"
         )
-    return scan_table(spark, f"{database}.events").drop("ingest_batch")
+    return scan_table(spark, f"{database}.events").drop("ingest_batch", "ingest_file")
+
+
+@query(
+    "save_case_change",
+    """SELECT c_custkey, c_name FROM customer
+    UNION ALL SELECT c_custkey, c_name || '+' AS c_name FROM customer""",
+)
+def save_case_change(spark, folder):
+    """Saved, overwritten and appended to under names of another case."""
+    name = f"{scratch_database(spark)}.customer"
+    customer = table(spark, folder, "customer").select("c_custkey", "c_name")
+    save_table(customer.limit(3), name)
+    save_table(customer.toDF("C_CUSTKEY", "C_NAME"), name)
+    save_table(customer.select("c_custkey", F.concat("c_name", F.lit("+")).alias("C_Name")), name, "append")
+    return scan_table(spark, name)
+
+
+@query(
+    "upsert_many_partitions",
+    """SELECT part, line, n + CASE WHEN (part, line) IN ((0, 1), (299, 7)) THEN 1000 ELSE 0 END AS n
+    FROM (SELECT l_orderkey % 300 AS part, CAST(l_linenumber AS BIGINT) AS line, count(*) AS n
+    FROM lineitem GROUP BY ALL)""",
+)
+def upsert_many_partitions(spark, folder):
+    """Two partition columns with some 2,000 values; a delivery for two of them."""
+    name = f"{scratch_database(spark)}.lines"
+    counts = (
+        table(spark, folder, "lineitem")
+        .groupBy((F.col("l_orderkey") % 300).alias("part"), F.col("l_linenumber").cast("long").alias("line"))
+        .agg(F.count("*").alias("n"))
+    )
+    upsert(spark, counts, name, ["part", "line"], ["part", "line"])
+    ends = counts.where("(part = 0 AND line = 1) OR (part = 299 AND line = 7)")
+    upsert(spark, ends.withColumn("n", F.col("n") + 1000), name, ["part", "line"], ["part", "line"])
+    return scan_table(spark, name).select("part", "line", "n")
+
+
+@query(
+    "upsert_moving_partition",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN 'F' ELSE o_orderstatus END
+    AS o_orderstatus FROM orders""",
+)
+def upsert_moving_partition(spark, folder):
+    """All open orders are closed: their partition ends up empty."""
+    name = f"{scratch_database(spark)}.orders"
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    upsert(spark, orders, name, ["o_orderkey"], ["o_orderstatus"])
+    closed = orders.where("o_orderstatus = 'O'").withColumn("o_orderstatus", F.lit("F"))
+    upsert(spark, closed, name, ["o_orderkey"], ["o_orderstatus"])
+    return scan_table(spark, name)
+
+
+@query(
+    "upsert_new_column",
+    """SELECT o_orderkey, o_orderstatus,
+    CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice END AS o_totalprice FROM orders""",
+)
+def upsert_new_column(spark, folder):
+    name = f"{scratch_database(spark)}.orders"
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    upsert(spark, orders.drop("o_totalprice"), name, ["o_orderkey"])
+    upsert(spark, orders.where("o_orderkey % 3 = 0"), name, ["o_orderkey"])
+    return scan_table(spark, name)
+
+
+def _deliver(df: DataFrame, path: str, file: str) -> None:
+    """One Parquet file of this name, new or in place of an older one."""
+    written, folder = stage(df.coalesce(1), "delivery")
+    move(df.sparkSession, written.inputFiles()[0], f"{path}/{file}.parquet")
+    release(df.sparkSession, folder)
+
+
+@query("ingest_two_sources", "SELECT event_id, event_type FROM events")
+def ingest_two_sources(spark, folder):
+    database, path = scratch_database(spark), new_path(spark, "deliveries")
+    events = table(spark, folder, "events").select("event_id", "event_type")
+    for source in ("odd", "even"):
+        _deliver(events.where(f"event_id % 2 = {int(source == 'odd')}"), path, source)
+        for _ in range(2):
+            ingest_new_files(spark, f"{path}/{source}.parquet", f"{database}.events", events.schema, "parquet")
+    return scan_table(spark, f"{database}.events").select("event_id", "event_type")
+
+
+@query("ingest_updated_file", "SELECT event_id, event_type FROM events")
+def ingest_updated_file(spark, folder):
+    """Each group's file is written anew, longer than before."""
+    database, path = scratch_database(spark), new_path(spark, "deliveries")
+    events = table(spark, folder, "events").select("event_id", "event_type")
+    for part in ("event_id % 3 = 0", "true"):
+        for group in (0, 1):
+            _deliver(events.where(f"event_id % 2 = {group}").where(part), path, f"group{group}")
+        ingest_new_files(spark, f"{path}/*", f"{database}.events", events.schema, "parquet")
+    return scan_table(spark, f"{database}.events").select("event_id", "event_type")
+
+
+@query("ingest_redelivered", "SELECT event_id, event_type, value FROM events")
+def ingest_redelivered(spark, folder):
+    """Two files of one run hold the same keys; the one written last counts."""
+    database, path = scratch_database(spark), new_path(spark, "deliveries")
+    events = table(spark, folder, "events").select("event_id", "event_type", "value")
+    _deliver(events.withColumn("value", F.lit(None).cast("double")), path, "b-first")
+    time.sleep(1.1)
+    _deliver(events, path, "a-second")
+    ingest_new_files(
+        spark, f"{path}/*", f"{database}.events", events.schema, "parquet", keys=["event_id"]
+    )
+    return scan_table(spark, f"{database}.events")
+
+
+@query(
+    "ingest_audit",
+    """SELECT 'BRONZE' AS layer, 2 * count(*) AS source_count,
+    count(*) AS target_count, 'SUCCESS' AS status FROM events""",
+)
+def ingest_audit(spark, folder):
+    """Every row is there twice in its file; duplicates are dropped on the way."""
+    database, path = scratch_database(spark), new_path(spark, "deliveries")
+    events = table(spark, folder, "events").select("event_id", "event_type", "value")
+    _deliver(events.union(events), path, "twice")
+    bronze = {
+        "source": {
+            "path": f"{path}/twice.parquet", "format": "parquet", "schema": events.schema, "incremental": True,
+        },
+        "transform": {"remove_duplicates": True},
+        "destination": {"database": database, "table": "events", "keys": ["event_id"]},
+        "audit": {
+            "audit_table": f"{database}.audit", "error_table": f"{database}.errors",
+        },
+    }
+    layers.run_bronze(spark, bronze)
+    return scan_table(spark, f"{database}.audit").select(
+        "layer", "source_count", "target_count", "status"
+    )
+
+
+@query(
+    "layered_errors",
+    """SELECT 'SILVER' AS layer, 'ValueError' AS error_type,
+    'FAILED' AS status, count(*) AS source_count FROM events""",
+)
+def layered_errors(spark, folder):
+    """A layer that fails leaves an error, and an audit row with what it had counted."""
+    database = scratch_database(spark)
+    save_table(table(spark, folder, "events").select("event_id", "value"), f"{database}.events")
+    silver = {
+        "source": {"database": database, "table": "events"},
+        "destination": {"table": "silver", "partitions": ["region"]},
+        "audit": {"audit_table": f"{database}.audit", "error_table": f"{database}.errors"},
+    }
+    try:
+        layers.run_silver(spark, silver)
+    except ValueError:
+        pass
+    errors, runs = scan_table(spark, f"{database}.errors"), scan_table(spark, f"{database}.audit")
+    return errors.join(runs, ["run_id", "layer"]).select(
+        "layer", "error_type", "status", "source_count"
+    )
 
 
 def _layer_specs(database: str, folder: str) -> tuple[dict, dict, dict]:

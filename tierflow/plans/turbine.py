@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tierflow.operators.dedupe import remove_duplicates
 from tierflow.operators.timeseries import (
     TURBINES,
     Instant,
@@ -63,6 +64,7 @@ def _store_readings(
         table,
         keys=[series.entity, series.time],
         partition_by=["date"],
+        partition_from={"date": f"to_date(`{series.time}`)"},
         file_format=outputs.file_format,
         root=outputs.root,
         source_is_stored=True,
@@ -135,26 +137,32 @@ def run_outputs(
 ) -> None:
     """Score stored readings and bring all three tables up to date.
 
-    Several readings on one slot are an error before anything is written,
-    unless ``dedupe_source_on`` says by which order one of them is stored.
+    Several readings on one slot are an error before anything is written, unless
+    ``dedupe_source_on`` says by which order one of them counts; the others then
+    enter neither the profile nor the statistics.
 
     The profile is staged so that the join with it is planned on its real
     size, and the scored table because three outputs read it, some of them
     more than once.
     """
-    if not dedupe_source_on:
-        shared = shared_slots(readings, start, end, series).limit(1).collect()
-        if shared:
-            raise ValueError(f"several readings share one key: {shared[0].asDict()}")
-    unique = not dedupe_source_on
+    if dedupe_source_on:
+        single = remove_duplicates(
+            on_grid(readings, start, end, series).select(*readings.columns),
+            [series.entity, series.time],
+            dedupe_source_on,
+        )
+        with staged(single, "single-readings") as stored:
+            run_outputs(spark, stored, start, end, outputs, series)
+        return
+    shared = shared_slots(readings, start, end, series).limit(1).collect()
+    if shared:
+        raise ValueError(f"several readings share one key: {shared[0].asDict()}")
     profile = hourly_profile(on_grid(readings, start, end, series), series)
     with staged(profile, "profile") as stored_profile:
         scored = process(readings, start, end, series, stored_profile)
         with staged(scored, "scored") as stored:
-            cleaned = output_cleaned(
-                spark, stored, outputs, series, unique, dedupe_source_on
-            )
-            output_anomalies(spark, stored, outputs, series, unique, dedupe_source_on)
+            cleaned = output_cleaned(spark, stored, outputs, series, keys_are_unique=True)
+            output_anomalies(spark, stored, outputs, series, keys_are_unique=True)
             output_statistics(spark, cleaned, outputs, series)
 
 

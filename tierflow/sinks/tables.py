@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import threading
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,15 +52,29 @@ def rebalance(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partitions) if partitions else df
 
 
+def name_rule(spark: SparkSession) -> Callable[[str], str]:
+    """What makes two column names the same one in this session."""
+    exact = spark.conf.get("spark.sql.caseSensitive") == "true"
+    return str if exact else str.lower
+
+
 def align_with_table(df: DataFrame, name: str, add_columns: bool) -> DataFrame:
     """Give ``df`` the columns of the stored table, nulls where it lacks them.
 
-    With ``add_columns`` the stored table first gains the columns only ``df``
-    has; files written before then read as null in them.
+    Names are compared as the session does and become the stored ones. Two columns
+    that are one by that rule are an error. With ``add_columns`` the stored table
+    first gains the columns only ``df`` has; files written before then read as
+    null in them.
     """
     spark = df.sparkSession
-    stored = spark.table(name).schema
-    new = [f for f in df.schema.fields if f.name not in stored.names]
+    fold, stored = name_rule(spark), spark.table(name).schema
+    folded = [fold(c) for c in df.columns]
+    clashes = sorted({c for c in df.columns if folded.count(fold(c)) > 1})
+    if clashes:
+        raise ValueError(f"columns {clashes} are the same by the session's case rule")
+    named = {fold(f.name): f.name for f in stored.fields}
+    df = df.toDF(*[named.get(fold(c), c) for c in df.columns])
+    new = [f for f in df.schema.fields if fold(f.name) not in named]
     if new and add_columns:
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({ddl})")
@@ -95,19 +111,51 @@ def save_table(
     writer.saveAsTable(name)
 
 
+# The mode is a setting of the session: writers of this process take turns with it.
+_overwriting = threading.RLock()
+
+
+@contextmanager
+def partition_overwrite(spark: SparkSession, mode: str) -> Iterator[None]:
+    key = "spark.sql.sources.partitionOverwriteMode"
+    with _overwriting:
+        before = spark.conf.get(key)
+        spark.conf.set(key, mode)
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
+
+
 def replace_partitions(df: DataFrame, table: str) -> None:
     """Overwrite just the partitions of a stored table that ``df`` has rows for.
 
     ``df`` may read from the table itself.
     """
-    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-    before = conf.get(key)
-    conf.set(key, "dynamic")
-    try:
-        columns = df.sparkSession.table(table).columns
-        df.select(*columns).write.insertInto(table, overwrite=True)
-    finally:
-        conf.set(key, before)
+    spark = df.sparkSession
+    with partition_overwrite(spark, "dynamic"):
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+
+
+def clear_partition(spark: SparkSession, table: str, values: Mapping[str, object]) -> None:
+    """Leave a partition of a stored table without rows.
+
+    Its files go even where the table is external; only a partition whose value is
+    null, which cannot be overwritten by name, is dropped from the catalog instead.
+    """
+
+    def literal(value: object) -> str:
+        text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+        return "NULL" if value is None else f"'{text}'"
+
+    types = dict(spark.table(table).dtypes)
+    named = ", ".join(f"`{c}` = {literal(v)}" for c, v in values.items())
+    if None in values.values():
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({named})")
+        return
+    rest = ", ".join(f"CAST(NULL AS {t}) AS `{c}`" for c, t in types.items() if c not in values)
+    with partition_overwrite(spark, "static"):
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({named}) SELECT {rest} WHERE false")
 
 
 def stored_as(spark: SparkSession, name: str) -> tuple[str, list[str]]:

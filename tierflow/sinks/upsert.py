@@ -1,9 +1,11 @@
 """Keyed upsert: matched rows are replaced whole, the others inserted.
 
 A table whose format supports row-level changes gets a ``MERGE INTO``. A file
-table is rewritten by partition: only partitions that the source touches are
-read and replaced, the others keep their files. That requires the partition
-value to be a function of the key, such as the day of a key timestamp.
+table is rewritten by partition: only partitions that hold a matched row or get
+a new one are replaced, the others keep their files. Where partition columns are
+among the keys, or are given as expressions over them, the source alone names
+those partitions. Otherwise a row may have moved, so the keys of the whole target
+are read to find the partitions of matched rows.
 
 On a file table the new partitions are moved into place one after the other
 when the job commits, so a reader may see some before others.
@@ -12,32 +14,29 @@ when the job commits, so a reader may see some before others.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from contextlib import nullcontext
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.operators.dedupe import remove_duplicates
 from tierflow.sinks.tables import (
+    align_with_table,
+    clear_partition,
+    name_rule,
     rebalance,
     replace_partitions,
     save_table,
     stored_as,
     table_exists,
 )
-from tierflow.staging import staged
+from tierflow.staging import release, stage, staged
 
 FILE_PROVIDERS = ("parquet", "orc", "csv", "json")
 
-# Partition values up to this many are named one by one when the target is
-# pruned. Beyond it the range they span is used, which rewrites partitions
-# in between unchanged: more work, the same result.
-MAX_NAMED_PARTITIONS = 10_000
-
-
 def merge_statement(target: str, source: str, keys: Sequence[str]) -> str:
     condition = " AND ".join(f"target.`{k}` = source.`{k}`" for k in keys)
     return (
@@ -73,42 +72,18 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
 def touched_partitions(source: DataFrame, columns: Sequence[str]) -> Column:
     """Condition on partition columns that holds for every partition of ``source``.
 
-    It consists of literals, so the scan of the target skips all other
-    partitions. At most ``MAX_NAMED_PARTITIONS`` values come to the driver.
+    It consists of literals, so the scan of the target skips all other partitions.
+    The list of values comes to the driver, as that of a commit does anyway. Several
+    columns are compared as one text, nulls included, so the condition is a look-up
+    in a set however many there are.
     """
-    values = source.select(*columns).distinct()
-    named = values.limit(MAX_NAMED_PARTITIONS + 1).collect()
-    types = dict(source.dtypes)
-
-    if len(named) <= MAX_NAMED_PARTITIONS:
-        if len(columns) == 1:
-            present = [r[0] for r in named if r[0] is not None]
-            condition = F.col(columns[0]).isin(present)
-            if len(present) < len(named):
-                condition = condition | F.col(columns[0]).isNull()
-            return condition
-        return reduce(
-            or_,
-            [
-                reduce(
-                    and_,
-                    [F.col(c).eqNullSafe(F.lit(v).cast(types[c])) for c, v in zip(columns, row)],
-                )
-                for row in named
-            ],
-            F.lit(False),
-        )
-
-    spans = source.agg(
-        *[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]
-    ).first()
-    return reduce(
-        and_,
-        [
-            F.col(c).between(F.lit(spans[f"lo_{c}"]), F.lit(spans[f"hi_{c}"])) | F.col(c).isNull()
-            for c in columns
-        ],
-    )
+    if len(columns) == 1:
+        column = F.col(f"`{columns[0]}`")
+        values = [r[0] for r in source.select(column).distinct().collect()]
+        condition = column.isin([v for v in values if v is not None])
+        return condition | column.isNull() if None in values else condition
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]))
+    return whole.isin([r[0] for r in source.select(whole).distinct().collect()])
 
 
 def upsert(
@@ -122,6 +97,7 @@ def upsert(
     dedupe_source_on: Sequence[Column | str] | None = None,
     source_is_stored: bool = False,
     keys_are_unique: bool = False,
+    partition_from: Mapping[str, str] | None = None,
 ) -> None:
     """Merge ``df`` into ``table`` on equal ``keys``; create the table if absent.
 
@@ -130,9 +106,17 @@ def upsert(
     instead; ``keys_are_unique`` skips the check where the source is known to
     be right, as after grouping by the keys.
 
-    The source is read several times, so it is staged first unless it
-    ``source_is_stored`` already.
+    ``partition_from`` gives partition columns as SQL expressions over the keys,
+    such as ``{"date": "to_date(timestamp)"}``; they are worked out here, so a key
+    can have one partition only.
+
+    Columns that only the source has are added to the table, and columns it lacks
+    become null in its rows. The source is read several times, so it is staged
+    first unless it ``source_is_stored`` already.
     """
+    derived = {c: F.expr(e) for c, e in (partition_from or {}).items()}
+    if derived:
+        df = df.withColumns(derived)
     if dedupe_source_on:
         keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
         df = remove_duplicates(df.where(keyed), keys, dedupe_source_on).unionByName(
@@ -143,7 +127,7 @@ def upsert(
         if not keys_are_unique:
             check_unique(source, keys)
         if table_exists(spark, table):
-            _merge(spark, source, table, keys)
+            _merge(spark, source, table, keys, {*keys, *derived})
         else:
             save_table(
                 rebalance(source, partition_by),
@@ -151,8 +135,11 @@ def upsert(
             )
 
 
-def _merge(spark: SparkSession, source: DataFrame, table: str, keys: Sequence[str]) -> None:
+def _merge(
+    spark: SparkSession, source: DataFrame, table: str, keys: Sequence[str], fixed: set[str]
+) -> None:
     provider, partitions = stored_as(spark, table)
+    source = align_with_table(source, table, add_columns=True)
     if provider not in FILE_PROVIDERS:
         view = f"upsert_source_{uuid.uuid4().hex}"
         source.createOrReplaceTempView(view)
@@ -163,12 +150,30 @@ def _merge(spark: SparkSession, source: DataFrame, table: str, keys: Sequence[st
         return
 
     target = spark.table(table)
-    if partitions:
+    types = {f.name: f.dataType for f in target.schema}
+    source = source.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in types.items()])
+    fold = name_rule(spark)
+    if partitions and {fold(p) for p in partitions} <= {fold(c) for c in fixed}:
         target = target.where(touched_partitions(source, partitions))
-        merged = merge_rows(target, source, keys)
-        replace_partitions(rebalance(merged, partitions), table)
+        replace_partitions(rebalance(merge_rows(target, source, keys), partitions), table)
+    elif partitions:
+        # Rows may leave a partition, which then might end up without any.
+        held = target.select(*dict.fromkeys([*keys, *partitions]))
+        matched = held.join(source.select(*keys), on=list(keys), how="left_semi")
+        every = source.select(*partitions).union(matched.select(*partitions))
+        touched = target.where(touched_partitions(every, partitions))
+        with staged(merge_rows(touched, source, keys), "upsert-result") as merged:
+            left = merged.select(*partitions).distinct()
+            emptied = matched.select(*partitions).distinct().subtract(left).collect()
+            replace_partitions(rebalance(merged, partitions), table)
+            for values in emptied:
+                clear_partition(spark, table, values.asDict())
     else:
-        # A whole table cannot be overwritten while it is being read.
-        with staged(merge_rows(target, source, keys), "upsert-result") as merged:
+        # A whole table cannot be overwritten while it is being read, and its old
+        # files are gone when an overwrite fails: then the staged rows are kept.
+        merged, path = stage(merge_rows(target, source, keys), "upsert-result")
+        try:
             merged.select(*target.columns).write.insertInto(table, overwrite=True)
-
+        except Exception as error:
+            raise RuntimeError(f"{table} was not written; all its rows are in {path}") from error
+        release(spark, path)

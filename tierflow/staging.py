@@ -62,6 +62,16 @@ def release(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file in place of what may be at ``target``."""
+    release(spark, target)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(target).getParent())
+    if not system.rename(path(source), path(target)):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
 @contextmanager
 def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """``stage`` for the length of a block."""
@@ -70,27 +80,3 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
         yield result
     finally:
         release(df.sparkSession, path)
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The planner's size estimate for ``df``."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes, -1 when switched off."""
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-
-
-def settled(df: DataFrame, label: str) -> DataFrame:
-    """Let the planner see how big an aggregated join side really is.
-
-    The estimate for an aggregate follows its input, so the planner would
-    shuffle a huge fact side to meet even a tiny aggregate. When the estimate
-    is above the broadcast limit the aggregate is staged first: the join is
-    then planned on its measured size, as a broadcast below the limit and as a
-    shuffled join above it. No hint is given either way.
-    """
-    if estimated_bytes(df) <= broadcast_limit(df.sparkSession):
-        return df
-    return stage(df, label)[0]

@@ -1,55 +1,128 @@
-"""Ingest of files that have arrived since the last run.
+"""Ingest of files that are new or have changed since the last run.
 
-A file stream with ``availableNow`` remembers in its checkpoint which files it
-has read, works off the new ones and stops. A batch that is repeated after a
-failure leaves the same result: with keys because an upsert does, without keys
-because a batch replaces its own partition.
+A ledger table next to the target names every ingested file with its time of
+change and size. A run lists the files, reads those that are not in the ledger as
+they are now, whatever their age, and enters them last. A run that broke off
+before that is made good by the next one: with keys because an upsert may be
+repeated, without keys because the rows of the unfinished batch are cleared.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import time
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tierflow.operators.observe import Watch
 from tierflow.sinks.tables import (
     align_with_table,
+    clear_partition,
     replace_partitions,
     save_table,
     table_exists,
 )
 from tierflow.sinks.upsert import upsert
-from tierflow.sources.files import check_format
-from tierflow.staging import staged, work_folder
+from tierflow.sources.files import scan_files
+from tierflow.staging import staged
 
 BATCH_COLUMN = "ingest_batch"
+FILE_COLUMN = "ingest_file"
+TIME_COLUMN = "ingest_file_time"
+LEDGER_SCHEMA = "file string, modified timestamp, size long, batch long, done boolean"
 
 
-def stream_files(
-    spark: SparkSession,
-    path: str,
-    schema: StructType | str,
-    file_format: str = "csv",
-    options: Mapping[str, Any] | None = None,
-    max_files_per_batch: int | None = None,
-) -> DataFrame:
-    """The files of a folder or glob as a stream. The schema must be given."""
-    file_format = check_format(file_format)
-    reader = spark.readStream.format(file_format).schema(schema)
-    if file_format == "csv":
-        reader = reader.options(**(options or {}))
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    return reader.load(path)
+@dataclass(frozen=True)
+class Ingested:
+    """What a run did: files read, their rows, rows handed to the table."""
+
+    files: int = 0
+    source_count: int = 0
+    target_count: int = 0
+
+
+def ledger_of(table: str) -> str:
+    return f"{table}__ingested_files"
+
+
+def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Files of a folder or glob; their content is not read."""
+    return spark.read.format("binaryFile").load(path).select(
+        "path",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("modificationTime").alias("modified"),
+        F.col("length").alias("size"),
+    )
+
+
+def pending_files(spark: SparkSession, path: str | list[str], ledger: str) -> list[Row]:
+    """Files that the ledger lacks as they are now, oldest first.
+
+    The list comes to the driver, since a scan of named files is planned there.
+    """
+    listed = list_files(spark, path)
+    if table_exists(spark, ledger):
+        known = spark.table(ledger).where("done").select("file", "modified", "size")
+        listed = listed.join(known, ["file", "modified", "size"], "left_anti")
+    return listed.orderBy("modified", "file").collect()
+
+
+def newest_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of rows that share a key those of the file that changed last.
+
+    Rows with a null key equal nothing and all stay.
+    """
+    keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    newest = Window.partitionBy(*keys).orderBy(F.desc(TIME_COLUMN), F.desc(FILE_COLUMN))
+    ranked = df.where(keyed).withColumn("file_rank", F.rank().over(newest))
+    return ranked.where("file_rank = 1").drop("file_rank").unionByName(df.where(~keyed))
+
+
+class _Ledger:
+    def __init__(self, spark: SparkSession, table: str):
+        self.spark, self.name = spark, ledger_of(table)
+
+    def enter(self, files: list[Row], batch: int, done: bool) -> None:
+        rows = [(f.file, f.modified, f.size, batch, done) for f in files]
+        entries = self.spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1)
+        entries.write.mode("append").saveAsTable(self.name)
+
+    def unfinished(self) -> list[int]:
+        batches = self.spark.table(self.name).groupBy("batch").agg(F.max("done").alias("done"))
+        return [r.batch for r in batches.where("NOT done").collect()]
+
+    def batches_of(self, files: list[Row]) -> list[int]:
+        """Batches that earlier states of these files went to."""
+        names = self.spark.createDataFrame([(f.file,) for f in files], "file string")
+        found = self.spark.table(self.name).join(names, "file", "left_semi")
+        return [r.batch for r in found.where("done").select("batch").distinct().collect()]
+
+
+def _groups(files: list[Row], size: int | None) -> Iterator[list[Row]]:
+    size = size or max(1, len(files))
+    for at in range(0, len(files), size):
+        yield files[at : at + size]
+
+
+def _named(df: DataFrame) -> DataFrame:
+    """The file columns under their own names, whatever a transform made of their case."""
+    own = {c.lower(): c for c in (FILE_COLUMN, TIME_COLUMN)}
+    df = df.withColumnsRenamed({c: own[c.lower()] for c in df.columns if c.lower() in own})
+    lost = sorted(set(own.values()) - set(df.columns))
+    if lost:
+        raise ValueError(f"the transform of an ingest must keep {lost}")
+    return df
 
 
 def ingest_new_files(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     table: str,
     schema: StructType | str,
     file_format: str = "csv",
@@ -59,58 +132,80 @@ def ingest_new_files(
     dedupe_source_on: Sequence[Column | str] | None = None,
     partition_by: Sequence[str] = (),
     root: str | None = None,
-    checkpoint: str | None = None,
     max_files_per_batch: int | None = None,
-) -> int:
-    """Bring ``table`` up to date with the files not ingested before.
-
-    Returns the number of rows ingested. With ``keys`` rows are upserted; late or re-delivered rows replace what is
-    stored. Without, they are added, with ``ingest_batch`` as first partition
-    column.
+    table_format: str = "parquet",
+    merge_schema: bool = True,
+) -> Ingested:
+    """Bring ``table`` up to date with files that are new or have changed.
+
+    With ``keys`` rows are upserted: late, changed or re-delivered rows replace
+    what is stored, and of rows of one run the newest file's win. Rows of one
+    file that share a key are an error unless ``dedupe_source_on`` orders them.
+    Without keys rows are added, with ``ingest_batch`` as first partition column,
+    and the rows of a changed file replace those it had before.
+
+    Files are known by their path, so any number of sources may go into one
+    table. A table without its ledger takes no unkeyed files, as it could not be
+    told which of them it holds. ``transform`` is given the columns
+    ``ingest_file`` and ``ingest_file_time`` as well, and must keep them.
     """
-    checkpoint = checkpoint or f"{work_folder(spark)}/tierflow/ingest/{table}"
-
-    ingested: list[int] = []
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        df = transform(batch) if transform else batch
-        if not keys:
-            ingested.append(_replace_batch(df, table, batch_id, partition_by, root))
-            return
-        with staged(df, "ingest-batch") as stored:
-            ingested.append(stored.count())
-            upsert(
-                batch.sparkSession, stored, table, keys, partition_by,
-                root=root, dedupe_source_on=dedupe_source_on, source_is_stored=True,
+    ledger = _Ledger(spark, table)
+    if not table_exists(spark, table):
+        spark.sql(f"DROP TABLE IF EXISTS {ledger.name}")
+    elif not keys and not table_exists(spark, ledger.name):
+        raise ValueError(f"{table} exists without its ledger {ledger.name}")
+    elif not keys:
+        for batch in ledger.unfinished():
+            clear_partition(spark, table, {BATCH_COLUMN: batch})
+    total = Ingested()
+    for files in _groups(pending_files(spark, path, ledger.name), max_files_per_batch):
+        scan = scan_files(spark, [f.path for f in files], file_format, options, schema)
+        read = Watch.rows(
+            scan.withColumns(
+                {
+                    FILE_COLUMN: F.col("_metadata.file_path"),
+                    TIME_COLUMN: F.col("_metadata.file_modification_time"),
+                }
             )
-
-    stream = stream_files(spark, path, schema, file_format, options, max_files_per_batch)
-    query = (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    # Batches are written by a session of their own; this one may have listed
-    # the files of the table before.
-    if table_exists(spark, table):
-        spark.catalog.refreshTable(table)
-    return sum(ingested)
-
-
-def _replace_batch(
-    df: DataFrame,
-    table: str,
-    batch_id: int,
-    partition_by: Sequence[str],
-    root: str | None,
-) -> int:
-    df = df.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long"))
-    exists = table_exists(df.sparkSession, table)
-    watch = Watch.rows(align_with_table(df, table, add_columns=True) if exists else df)
-    if exists:
-        replace_partitions(watch.df, table)
-    else:
-        save_table(watch.df, table, partitions=[BATCH_COLUMN, *partition_by], root=root)
+        )
+        df = _named(transform(read.df) if transform else read.df)
+        batch = time.time_ns() // 1000
+        if keys:
+            with staged(newest_per_key(df, keys).drop(FILE_COLUMN, TIME_COLUMN), "ingest") as rows:
+                written = rows.count()
+                upsert(
+                    spark, rows, table, keys, partition_by, table_format, root,
+                    dedupe_source_on, source_is_stored=True,
+                )
+        else:
+            df = df.drop(TIME_COLUMN).withColumn(BATCH_COLUMN, F.lit(batch).cast("long"))
+            ledger.enter(files, batch, False)
+            parts = [BATCH_COLUMN, *partition_by]
+            written = _add(ledger, df, files, table, parts, root, table_format, merge_schema)
+        ledger.enter(files, batch, True)
+        total = Ingested(
+            total.files + len(files), total.source_count + read.row_count, total.target_count + written
+        )
+    return total
+
+
+def _add(ledger, df, files, table, parts, root, table_format, merge_schema) -> int:
+    """Write one batch, and rewrite batches that hold earlier states of its files."""
+    spark = df.sparkSession
+    if not table_exists(spark, table):
+        watch = Watch.rows(df)
+        save_table(watch.df, table, "overwrite", table_format, parts, root)
+        return watch.row_count
+    watch = Watch.rows(align_with_table(df, table, add_columns=merge_schema))
+    earlier, rows, emptied = ledger.batches_of(files), watch.df, []
+    if earlier:
+        names = spark.createDataFrame([(f.file,) for f in files], f"{FILE_COLUMN} string")
+        stored = spark.table(table)
+        rest = stored.where(F.col(BATCH_COLUMN).isin(earlier)).join(names, FILE_COLUMN, "left_anti")
+        left = {r[0] for r in rest.select(BATCH_COLUMN).distinct().collect()}
+        emptied = [b for b in earlier if b not in left]
+        rows = rows.select(*stored.columns).union(rest.select(*stored.columns))
+    replace_partitions(rows, table)
+    for batch in emptied:
+        clear_partition(spark, table, {BATCH_COLUMN: batch})
     return watch.row_count
