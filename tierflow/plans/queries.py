@@ -64,7 +64,10 @@ def rounded(df: DataFrame) -> DataFrame:
 
 
 def scratch_database(spark: SparkSession) -> str:
-    """A database of its own for a query that writes tables."""
+    """A database of its own for a query that writes tables.
+
+    Its files lie below the work folder and go when the driver ends.
+    """
     name = f"scratch_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{new_path(spark, name)}'")
     return name

@@ -33,7 +33,7 @@ from tierflow.sinks.tables import (
     stored_as,
     table_exists,
 )
-from tierflow.staging import release, stage, staged
+from tierflow.staging import keep, release, stage, staged
 
 FILE_PROVIDERS = ("parquet", "orc", "csv", "json")
 
@@ -175,5 +175,6 @@ def _merge(
         try:
             merged.select(*target.columns).write.insertInto(table, overwrite=True)
         except Exception as error:
+            keep(path)
             raise RuntimeError(f"{table} was not written; all its rows are in {path}") from error
         release(spark, path)

@@ -12,7 +12,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,9 +42,35 @@ def work_folder(spark: SparkSession) -> str:
     return _local_folder
 
 
+# Paths handed out and not released: deleted when the driver ends.
+_open_paths: dict[str, SparkSession] = {}
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path under the work folder that nothing has used before."""
-    return f"{work_folder(spark)}/tierflow/{label}-{uuid.uuid4().hex}"
+    """A path under the work folder that nothing has used before.
+
+    What lies there is for this session: it is deleted when the driver ends,
+    unless it is released before or given to ``keep``.
+    """
+    path = f"{work_folder(spark)}/tierflow/{label}-{uuid.uuid4().hex}"
+    if not _open_paths:
+        atexit.register(_release_all)
+    _open_paths[path] = spark
+    return path
+
+
+def keep(path: str) -> str:
+    """Leave a path alone when the driver ends."""
+    _open_paths.pop(path, None)
+    return path
+
+
+def _release_all() -> None:
+    for path, spark in list(_open_paths.items()):
+        # A session that has been stopped cannot clean up any more.
+        with suppress(Exception):
+            release(spark, path)
+    _open_paths.clear()
 
 
 def stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
@@ -57,6 +83,7 @@ def stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
 
 def release(spark: SparkSession, path: str) -> None:
     """Delete a staged table through the file system it lives on."""
+    keep(path)
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
