@@ -168,8 +168,8 @@ def fit_quality(
         .groupBy(F.col(id_column).alias("id"))
         .agg(F.min(label).cast("int").alias("label"))
     )
-    # Bounded by max_docs: as a local table the planner sees its true size.
-    known = docs.sparkSession.createDataFrame(chosen.collect(), chosen.schema)
+    # About max_docs ids and labels, however large the tables: a few kB to broadcast.
+    known = F.broadcast(docs.sparkSession.createDataFrame(chosen.collect(), chosen.schema))
     rows = (
         docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
         .where("text IS NOT NULL")
