@@ -277,6 +277,21 @@ def test_incremental_bronze(spark, database, tmp_path, keys):
     assert spark.table(f"{database}.bronze_turbines").count() == (47 if keys else 70)
 
 
+def test_duplicate_readings_count_once_everywhere(spark, database, turbine_files):
+    outputs, end = turbine.Outputs.within(database), DAY + timedelta(days=12)
+    readings = spark.read.csv(turbine_files, CSV_SCHEMA, header=True)
+    twice = readings.union(readings.withColumn("power_output", F.lit(90.0)))
+    turbine.run_outputs(
+        spark, twice, DAY, end, outputs, dedupe_source_on=[F.col("power_output").asc()])
+    stored = spark.table(outputs.cleaned).groupBy("turbine_id", "date").agg(
+        F.round(F.max("power_output"), 6).alias("most"))
+    daily = spark.table(outputs.statistics)
+    most = next(c for c in daily.columns if "max" in c and "power" in c)
+    assert rows(stored, "turbine_id", "date", "most") == rows(
+        daily.withColumn("most", F.round(most, 6)), "turbine_id", "date", "most")
+    assert spark.table(outputs.cleaned).count() == 2 * 12 * 24
+
+
 # --- incremental ingest ----------------------------------------------------
 
 INGEST_SCHEMA = "id int, v string, day date"
