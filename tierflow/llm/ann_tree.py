@@ -297,7 +297,8 @@ def _search(packed, every, k, sample_rows, max_leaves, target) -> DataFrame:
 
     def blocks(df: DataFrame, *columns: str) -> DataFrame:
         """Rows of a leaf in packed rows of about BLOCK; counts come first."""
-        sizes = df.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).alias("n"))
+        # One row per leaf, of which there are max_leaves at most.
+        sizes = F.broadcast(df.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).alias("n")))
         salt = F.pmod(F.xxhash64("packed", F.lit(3)), F.col("n"))
         dealt = df.join(sizes, "leaf").withColumn("block", salt)
         return dealt.groupBy("leaf", "block").agg(F.collect_list(F.struct(*columns)).alias("rows"))
