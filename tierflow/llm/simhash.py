@@ -177,7 +177,9 @@ def _classes(prints: DataFrame) -> DataFrame:
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Stored, so that the join below meets two plain exchanges: adaptive execution can
+    # then split a component that holds very many fingerprints.
+    named, _ = stage(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "components")
     return stage(rooted.join(named, "root").select("fp", "root", "component_id"), "classes")[0]
 
 
