@@ -52,7 +52,11 @@ Step = Callable[[pa.Array], list[pa.Array]]
 
 
 def append(
-    df: DataFrame, fields: T.StructType, make: Callable[[], Step], column: str = "text"
+    df: DataFrame,
+    fields: T.StructType,
+    make: Callable[[], Step],
+    column: str = "text",
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
     """Add ``fields``, computed from ``column``; they replace columns of their names.
 
@@ -67,7 +71,7 @@ def append(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for batch in slices(batches, source):
+        for batch in slices(batches, source, limit):
             arrays = [batch.column(f.name) for f in kept] + step(batch.column(source))
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 

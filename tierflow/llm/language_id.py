@@ -144,7 +144,7 @@ class _Scorer:
         self.grams = {g: i for i, g in enumerate(model.grams)}
         width = len(model.languages)
         self.scores, self.letters = Rows((width,), np.float64), Rows((), np.int64)
-        self.memory = Memory(self.learn, self.forget)
+        self.memory = Memory(self.learn, self.forget, 150_000)
 
     def forget(self) -> None:
         self.scores.clear()
@@ -220,7 +220,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel, text: str = "text"
             _scorers[key] = _Scorer(shared.value)
         return _scorers[key]
 
-    return append(docs, FIELDS, make, text)
+    return append(docs, FIELDS, make, text, limit=1 << 20)
 
 
 def keep_identified(
