@@ -312,6 +312,44 @@ def test_broken_pages_lose_nothing_visible():
         html_text(page)
 
 
+@pytest.mark.parametrize(
+    "page, lines",
+    [
+        ("a<table><p>x</p><tr><td>c</table>b", ["a", "", "x", "", "c", "", "b"]),
+        ("<table><tr><b>x</b><td>c<td>d</table>", ["x", "", "c  d"]),
+        ("<table><tbody><ul><li>x</ul><tr><td>c</table>", ["- x", "", "c"]),
+        ("<table><tr><td>a<div>w</div><tr><i>x<td>b</table>", ["x", "", "a", "w", "b"]),
+        ("<table><form>x<tr><td>c</form><td>d</table>", ["x", "", "c  d"]),
+        ("<table><table><tr><td>c</table>b", ["c", "", "b"]),
+        ("<table><tr><td>c<tr><table><tr><td>d</table>b", ["c", "", "d", "", "b"]),
+        ("<table><tr><td>c<table><p>x<tr><td>d</table><td>e</table>", ["c  e", "x", "", "d"]),
+    ],
+)
+def test_nothing_outside_cells_is_lost(page, lines):
+    got = html_text(page).split("\n")
+    assert [x for x in got if x] == [x for x in lines if x], got
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("a<svg width=1 />b", "ab"),
+        ("<body>a<math/>b<p>c", "ab\n\nc"),
+        ("a <svg><text>x</text><text>y</text></svg> b", "a x y b"),
+        ("a <math><mi>x</mi><mo>&lt;</mo><mn>1</mn></math> b", "a x<1 b"),
+        ("<svg><path d='M0'/><style/><title>t</title><text>x</text></svg>y", "x y"),
+        ("<svg><style>a{}</style><defs><text>no</text></defs></svg>y", "y"),
+        ("<math><semantics><mi>x</mi><annotation>\\x</annotation></semantics></math>y", "xy"),
+        ("<svg><text><![CDATA[a > b]]></text></svg>", "a > b"),
+        ("<div><svg></div><script>if(a<b)</script>y", "y"),
+        ("<svg><tr><td>x<p>y", "x\n\ny"),
+        ("<svg><foreignObject><p>x<table><tr><td>y</table></foreignObject></svg>z", "x\n\ny\n\nz"),
+    ],
+)
+def test_text_of_svg_and_math(page, text):
+    assert html_text(page) == text
+
+
 def test_visible_words_of_pages(folder):
     """All text but that of scripts, styles and titles, with blocks apart, in order."""
     pages = duckdb.execute(f"SELECT html FROM '{folder}/pages.parquet'").fetchall()

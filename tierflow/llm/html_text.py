@@ -4,7 +4,9 @@ A scanner gives tags, attributes and text. The tree builder keeps the stack of
 open elements, closes what a tag implies to be closed, and drops end tags that
 close nothing. Each element knows whether it is shown. Text goes into flows of
 lines: blocks begin lines, some with a blank line around them, items of lists get
-a mark and an indent, and cells of a table are laid out in aligned columns.
+a mark and an indent, and cells of a table are laid out in aligned columns; what
+a table holds outside its cells comes before it. The text of svg and math is shown
+where it stands, but for their definitions, titles and annotations.
 There is no recursion, and work is linear in the page: indents and column widths
 have bounds, beyond which text stays whole but is no longer padded.
 """
@@ -26,7 +28,7 @@ RAW = set("script style textarea title xmp iframe noembed noframes".split())
 DECODED_RAW = {"textarea", "title"}
 HIDDEN = set(
     "head script style title template noscript iframe noembed noframes object audio video canvas "
-    "svg math datalist".split()
+    "datalist".split()
 )
 SPACED = set(
     "p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure fieldset menu".split()
@@ -40,6 +42,19 @@ CLOSES_P = (BLOCKS | {"plaintext"}) - set(
     "html body option optgroup select textarea caption tr td th thead tbody tfoot legend".split()
 )
 PARTS = {"thead", "tbody", "tfoot"}
+BETWEEN = {"table", "tr", *PARTS}
+# Inside svg and math: where HTML goes on, what ends them, what is never shown, what stands apart.
+FOREIGN = {"svg", "math"}
+HTML_INSIDE = set("foreignobject desc title mi mo mn ms mtext".split())
+BREAKS = set(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li "
+    "listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+FOREIGN_HIDDEN = set(
+    "defs desc metadata title style script symbol clippath mask pattern marker annotation "
+    "annotation-xml mphantom".split()
+)
+APART = set("text foreignobject mtr mtd".split())
 # What an opening tag closes first, and the elements that it does not look beyond.
 IMPLIED = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -73,8 +88,12 @@ MAX_WIDTH = 60
 MAX_SPAN = 100
 
 
-def scan(html: str):
-    """Text as ("text", data), tags as ("open", name, attributes) and ("close", name)."""
+def scan(html: str, foreign=lambda: False):
+    """Text as ("text", data), tags as ("open", name, attributes) and ("close", name).
+
+    ``foreign`` tells whether what was given so far leaves svg or math open: there, tags may
+    close themselves, no element holds raw text, and CDATA sections are text.
+    """
     at, size = 0, len(html)
     while at < size:
         mark = html.find("<", at)
@@ -94,6 +113,10 @@ def scan(html: str):
                 end = html.find("-->", mark + 4)
                 short = html.startswith((">", "->"), mark + 4)
                 at = html.find(">", mark) + 1 if short else size if end < 0 else end + 3
+            elif html.startswith("<![CDATA[", mark) and foreign():
+                end = html.find("]]>", mark + 9)
+                yield "text", html[mark + 9 : size if end < 0 else end]
+                at = size if end < 0 else end + 3
             else:
                 end = html.find(">", mark)
                 at = size if end < 0 else end + 1
@@ -112,13 +135,16 @@ def scan(html: str):
                 found[1].lower(), unescape(next((x for x in found.groups()[1:] if x is not None), ""))
             )
             at = found.end()
-        at = end.end()
+        at, alone = end.end(), end[0].endswith("/>")
         tag = name[0].lower()
         if closing:
             yield "close", tag
             continue
+        within = foreign()
         yield "open", tag, attributes
-        if tag in RAW:
+        if alone and (tag in FOREIGN or within and tag not in BREAKS):
+            yield "close", tag
+        elif tag in RAW and not within:
             stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(html, at)
             inside = html[at : stop.start() if stop else size]
             yield "text", unescape(inside) if tag in DECODED_RAW else inside
@@ -210,11 +236,15 @@ class Table:
 
 
 class Element:
-    __slots__ = ("name", "shown", "visible", "flow", "table", "number", "spans", "pre", "listed")
+    __slots__ = (
+        "name", "shown", "visible", "flow", "table", "number", "spans", "pre", "listed", "between", "foreign",
+    )
 
     def __init__(self, name, shown, visible, flow, table, pre):
         self.name, self.shown, self.visible, self.flow, self.table = name, shown, visible, flow, table
         self.number, self.spans, self.pre, self.listed = None, (1, 1), pre, False
+        # In a table but in no cell of it; in svg or math but in no HTML within.
+        self.between = self.foreign = False
 
 
 def _count(attributes: dict, name: str, default: int = 1, most: int = MAX_SPAN) -> int:
@@ -239,9 +269,11 @@ class Renderer:
         top = self.stack[-1]
         if not element.shown:
             return
-        if element.name in BLOCKS and element.name not in ("td", "th", "tr", "table"):
+        if element.name in BLOCKS and element.name not in ("td", "th", *BETWEEN):
             element.flow.end_line(exact=element.pre)
             element.flow.gap = element.flow.gap or element.name in SPACED
+        if element.name in APART and top.foreign:
+            element.flow.add(" ")
         if element.listed:
             element.flow.indent -= 1
             element.flow.mark = ""
@@ -270,7 +302,37 @@ class Renderer:
             if self.stack[i].name in barriers:
                 return
 
+    def in_foreign(self) -> bool:
+        return self.stack[-1].foreign
+
+    def start_foreign(self, name: str, attributes: dict) -> None:
+        """Open an element of svg or math; nothing is implied by it, and it lays nothing out."""
+        top = self.stack[-1]
+        style = attributes.get("style", "")
+        shown = top.shown and not (
+            name in FOREIGN_HIDDEN or attributes.get("display") == "none" or NOT_DISPLAYED.search(style)
+        )
+        seen = VISIBILITY.search(style) or re.match(r"(\w+)", attributes.get("visibility", ""))
+        visible = top.visible if seen is None else seen[1].lower() == "visible"
+        element = Element(name, shown, visible, top.flow, top.table, top.pre)
+        element.between, element.foreign = top.between, name not in HTML_INSIDE
+        if shown and name in APART:
+            element.flow.add(" ")
+        self.push(element)
+        self.fresh_pre = False
+
+    def clear_to_table(self) -> None:
+        """Close what stands between the parts of a table and in no cell."""
+        while self.stack[-1].between and self.stack[-1].name not in BETWEEN:
+            self.pop()
+
     def start(self, name: str, attributes: dict) -> None:
+        if self.stack[-1].foreign:
+            if name not in BREAKS and not (name == "font" and attributes.keys() & {"color", "face", "size"}):
+                self.start_foreign(name, attributes)
+                return
+            while self.stack[-1].foreign:
+                self.pop()
         if name in ("html", "body", "head") and self.count.get(name):
             return
         if self.count.get("head") and name not in HIDDEN | {"meta", "link", "base"}:
@@ -286,8 +348,13 @@ class Renderer:
                 self.close({"tr"}, {"table"})
             if name in PARTS:
                 self.close({"tr"}, {"table"})
+            self.clear_to_table()
             if name in ("td", "th") and self.stack[-1].name != "tr":
                 self.start("tr", {})
+        if name in ("caption", "colgroup"):
+            self.clear_to_table()
+        if name == "table" and self.stack[-1].between:
+            self.close({"table"}, set())
         top = self.stack[-1]
         if name == "br":
             if top.shown:
@@ -308,6 +375,8 @@ class Renderer:
         seen = VISIBILITY.search(style)
         visible = top.visible if seen is None else seen[1].lower() == "visible"
         element = Element(name, shown, visible, top.flow, top.table, top.pre or name in ("pre", "xmp", "textarea"))
+        element.between = name == "table" or top.between and name not in ("td", "th", "caption")
+        element.foreign = name in FOREIGN
         if name == "details":
             element.number = 1 if "open" in attributes else 0
         if shown:
@@ -319,10 +388,9 @@ class Renderer:
         name = element.name
         if name == "table":
             top.flow.block(True)
+            # What is in no cell is shown before the table.
             element.table = Table()
-            element.flow = Flow()
         elif name == "caption":
-            element.flow = self.outer_flow()
             element.flow.block(False)
         elif name == "tr":
             element.table.rows.append([])
@@ -330,7 +398,7 @@ class Renderer:
             element.flow = Flow()
             columns, down = _count(attributes, "colspan"), _count(attributes, "rowspan", most=65534)
             element.spans = max(1, columns), 1 << 30 if down == 0 else max(1, down)
-        elif name in BLOCKS:
+        elif name in BLOCKS - PARTS:
             nested = name in ("ul", "ol", "menu", "dir") and self.count.get("li", 0)
             top.flow.end_line(exact=top.pre)
             top.flow.gap = top.flow.gap or (name in SPACED and not nested)
@@ -346,12 +414,6 @@ class Renderer:
                     element.flow.mark = f"{top.number}. "
                     top.number += 1
 
-    def outer_flow(self) -> Flow:
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].name == "table":
-                return self.stack[i - 1].flow
-        return self.stack[0].flow
-
     def end(self, name: str) -> None:
         if name == "br":
             self.start("br", {})
@@ -375,11 +437,8 @@ class Renderer:
         if top.name == "details" and top.number == 0:
             return
         flow = top.flow
-        if top.name in ("table", "tr", *PARTS):
-            # Text between cells is shown before the table.
-            if not data.strip(SPACE):
-                return
-            flow = self.outer_flow()
+        if top.name in BETWEEN and not data.strip(SPACE):
+            return
         if top.pre:
             if self.fresh_pre and data.startswith("\n"):
                 data = data[1:]
@@ -403,7 +462,8 @@ class Renderer:
 def html_text(html: str) -> str:
     """The visible text of one page."""
     page = Renderer()
-    for event in scan(html.replace("\r\n", "\n").replace("\r", "\n").replace("\0", "")):
+    html = html.replace("\r\n", "\n").replace("\r", "\n").replace("\0", "")
+    for event in scan(html, page.in_foreign):
         if event[0] == "text":
             page.text(event[1])
         elif event[0] == "open":
