@@ -103,6 +103,27 @@ def test_no_labels_know_no_language(spark, odd_docs):
     assert language_id.identify_languages(odd_docs.limit(0), model).count() == 0
 
 
+def test_every_language_is_learned_alike(spark):
+    """A language with few rows, few tokens or late letters keeps its own share of the model."""
+    rng = random.Random(8)
+    signs = {"en": "abcdefgh", "de": "ijklmnop", "ru": "абвгдежз"}
+    sizes = {"en": 900, "de": 40, "ru": 6}
+    rows, i = [], 0
+    for lang, n in sizes.items():
+        for _ in range(n):
+            words = ("".join(rng.choices(signs[lang], k=6)) for _ in range(12))
+            rows.append((i := i + 1, " ".join(words), lang))
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit_languages(labelled, max_docs=60, max_tokens=300)
+    assert model.languages == ["en", "de", "ru"]
+    known = {lang: [w for w in model.words if w[0] in signs[lang]] for lang in signs}
+    assert [len(known[x]) for x in ("en", "de", "ru")] == [300, 300, 72]
+    # Of words seen once, those late in the alphabet are as likely to stay.
+    assert 60 < sum(w[0] in "efgh" for w in known["en"]) < 240
+    asked = spark.createDataFrame([(rows[-1][1],), ("зжед",)], "text string")
+    assert {r.lang_pred for r in language_id.identify_languages(asked, model).collect()} == {"ru"}
+
+
 # ------------------------------------------------------------------- quality
 
 

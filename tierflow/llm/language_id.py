@@ -28,7 +28,7 @@ from tierflow.llm.common import (
     append,
     keep_where,
     segment_sums,
-    share,
+    share_of_each,
     slices,
     strings,
 )
@@ -81,18 +81,19 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _scores(rows: list, languages: list[str]) -> tuple[list[str], np.ndarray]:
+def _scores(pairs: pa.Table, languages: list[str]) -> tuple[list[str], np.ndarray]:
     """Tokens, and per language the log frequency of each, centred over languages.
 
     What a language lacks has the same small frequency in each of them, so that
     languages with little text are not favoured.
     """
-    tokens = list(dict.fromkeys(r.token for r in rows))
+    found = pairs["token"].to_pylist()
+    tokens = list(dict.fromkeys(found))
     place = {t: i for i, t in enumerate(tokens)}
     counts = np.zeros((len(tokens), len(languages)))
     column = {x: i for i, x in enumerate(languages)}
-    for r in rows:
-        counts[place[r.token], column[r.lang]] += r.n
+    columns = [column[x] for x in pairs["lang"].to_pylist()]
+    counts[[place[t] for t in found], columns] = pairs["n"].to_numpy()
     totals = np.maximum(1, counts.sum(axis=0))
     logs = np.log(counts / totals + 0.5 / totals.max()) if tokens else counts
     return tokens, logs - logs.mean(axis=1, keepdims=True) if tokens else logs
@@ -106,14 +107,17 @@ def fit_languages(
 ) -> LanguageModel:
     """Learn from ``text`` and ``lang``; rows where either is null teach nothing.
 
-    About ``max_docs`` rows, chosen by a hash of ``key``, are read whole; of their
-    words and of their n-grams the ``max_tokens`` most frequent (token, language)
-    pairs each make the model, so its size has a bound. Without rows, or with
-    none that has a word, the model knows no language and predicts ``und``.
+    About ``max_docs`` rows of each language, chosen by a hash of ``key``, are read
+    whole; of the words and of the n-grams of each language the ``max_tokens`` most
+    frequent make the model, ties in the order of a hash, so its size has a bound
+    in the number of languages alone. Each language with a word among the rows
+    read is known. Without rows, or with none that has a word, the model knows no
+    language and predicts ``und``.
     """
-    rows = share(
+    rows, docs = share_of_each(
         labelled.where("text IS NOT NULL AND lang IS NOT NULL").select(key, "text", "lang"),
         key,
+        "lang",
         max_docs,
     )
     counts = (
@@ -123,17 +127,21 @@ def fit_languages(
         .agg(F.sum("n").alias("n"))
     )
     counts, _ = stage(counts, "language-counts")
-    parts = {}
-    for kind in ("word", "gram"):
-        top = counts.where(F.col("kind") == kind).orderBy(F.desc("n"), "token", "lang")
-        parts[kind] = top.limit(max_tokens).collect()
-    totals: Counter = Counter()
-    for r in parts["word"]:
-        totals[r.lang] += r.n
-    languages = sorted(totals, key=lambda x: (-totals[x], x))
-    known = set(languages)
-    words, word_scores = _scores(parts["word"], languages)
-    grams, gram_scores = _scores([r for r in parts["gram"] if r.lang in known], languages)
+    sizes = counts.groupBy("kind", "lang").count().collect()
+    languages = sorted({r.lang for r in sizes}, key=lambda x: (-docs[x], x))
+
+    def pairs(kind: str) -> pa.Table:
+        """All pairs of the languages within the bound, and the most frequent ones of each beyond."""
+        some = counts.where(F.col("kind") == kind).select("lang", "token", "n")
+        beyond = [r.lang for r in sizes if r.kind == kind and r["count"] > max_tokens]
+        found = [some.where(~F.col("lang").isin(beyond)).toArrow()]
+        for lang in beyond:
+            order = F.desc("n"), F.xxhash64("token", F.lit(7)), "token"
+            found.append(some.where(F.col("lang") == lang).orderBy(*order).limit(max_tokens).toArrow())
+        return pa.concat_tables(found)
+
+    words, word_scores = _scores(pairs("word"), languages)
+    grams, gram_scores = _scores(pairs("gram"), languages)
     return LanguageModel(languages, words, word_scores, grams, gram_scores)
 
 
