@@ -213,6 +213,22 @@ def test_mined_rules(spark):
     assert url_rules.mine_rules(spark.createDataFrame([], "url string, label string")) == []
 
 
+def test_no_rule_is_lost_to_a_limit(spark):
+    """A rule of five tokens, and one less sure than thousands of redundant ones."""
+    five = "abcde"
+    rows = [("x://y/" + "/".join(five), "block")] * 20
+    rows += [("x://y/" + "/".join(five.replace(c, "")), "allow") for c in five for _ in range(10)]
+    rows += [(f"x://g{g}/" + "/".join(f"t{g}x{i}" for i in range(8)), "block") for g in range(20) for _ in range(5)]
+    rows += [("x://weak/", "block")] * 18 + [("x://weak/", "allow")] * 2
+    rules = url_rules.mine_rules(spark.createDataFrame(rows, "url string, label string"))
+    found = {(r.tokens, r.verdict): r.confidence for r in rules}
+    assert found[frozenset({"h:weak"}), "block"] == 0.9
+    assert found[frozenset(f"p:{c}" for c in five), "block"] == 1.0
+    assert all(len(r.tokens) == 1 for r in rules if r.tokens & {"h:g0", "p:t0x0"})
+    for r in rules:
+        assert not any(s.tokens < r.tokens and s.verdict == r.verdict and s.confidence >= r.confidence for s in rules)
+
+
 def test_index_finds_the_best_rule_of_all():
     rng = random.Random(2)
     for _ in range(200):

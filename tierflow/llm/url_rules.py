@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from dataclasses import dataclass
-from itertools import combinations
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow.llm.common import append, strings
+from tierflow.staging import stage
 
 LABEL = "label="
 
@@ -100,48 +101,79 @@ def mine_rules(
     label: str = "label",
     min_support: float = 0.01,
     min_confidence: float = 0.8,
-    max_tokens: int = 4,
-    max_rules: int = 5000,
 ) -> list[MinedRule]:
     """Rules from the labels of URLs; all labelled rows count.
 
-    The number of frequent combinations has a bound in ``min_support``, not in
-    the rows; the ``max_rules`` surest are kept. Rows without URL or label teach
-    nothing; without any there are no rules.
+    Every frequent combination of tokens may make a rule, whatever its length;
+    their number has a bound in ``min_support``, not in the rows, and none but
+    the redundant ones are left out. Rows without URL or label teach nothing;
+    without any there are no rules.
     """
     rows = labelled.where(f"{url} IS NOT NULL AND {label} IS NOT NULL").select(
         F.concat(
             url_tokens(F.col(url)), F.array(F.concat(F.lit(LABEL), F.col(label).cast("string")))
         ).alias("items")
     )
-    if rows.isEmpty():
+    total = rows.count()
+    if not total:
         return []
-    mined = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
-    found = (
-        mined.fit(rows)
-        .associationRules.where(F.col("consequent")[0].startswith(LABEL))
-        .where(F.size("antecedent") <= max_tokens)
-        .select("antecedent", F.col("consequent")[0].alias("label"), "confidence", "support")
-        .orderBy(F.desc("confidence"), F.desc("support"), F.size("antecedent"), "label")
-        .limit(max_rules)
-    )
-    rules = sorted(
+    mined = FPGrowth(itemsCol="items", minSupport=min_support).fit(rows)
+    rules, depth = _label_rules(mined.freqItemsets, total)
+    return sorted(
         (
-            MinedRule(frozenset(r.antecedent), r.label[len(LABEL) :], r.confidence, r.support)
-            for r in found.collect()
+            MinedRule(frozenset(r.tokens), r.label[len(LABEL) :], r.confidence, r.support)
+            for r in _not_redundant(rules, depth, min_confidence).collect()
         ),
-        key=lambda r: (len(r.tokens), r.rank()),
+        key=MinedRule.rank,
+    )
+
+
+def _label_rules(itemsets: DataFrame, total: int) -> tuple[DataFrame, int]:
+    """``tokens`` (sorted), ``label``, ``confidence`` and ``support`` of all, and the longest size."""
+    labels = F.filter("items", lambda x: x.startswith(LABEL))
+    tokens = F.array_sort(F.filter("items", lambda x: ~x.startswith(LABEL)))
+    split = itemsets.select(tokens.alias("tokens"), F.get(labels, F.lit(0)).alias("label"), "freq").where(
+        F.size("tokens") > 0
+    )
+    split, _ = stage(split, "itemsets")
+    without = split.where("label IS NULL").select("tokens", F.col("freq").alias("of"))
+    rules = split.where("label IS NOT NULL").join(without, "tokens")
+    rules = rules.select(
+        "tokens",
+        "label",
+        (F.col("freq") / F.col("of")).alias("confidence"),
+        (F.col("freq") / F.lit(total)).alias("support"),
+        F.size("tokens").alias("n"),
     )
-    kept: dict[tuple[frozenset, str], MinedRule] = {}
-    for rule in rules:
-        parts = (
-            kept.get((frozenset(c), rule.verdict))
-            for n in range(1, len(rule.tokens))
-            for c in combinations(rule.tokens, n)
+    rules, _ = stage(rules, "rules")
+    return rules, rules.agg(F.max("n")).first()[0] or 0
+
+
+def _not_redundant(rules: DataFrame, depth: int, min_confidence: float) -> DataFrame:
+    """Rules of ``min_confidence`` that are surer than each part of theirs.
+
+    All parts of a frequent combination are frequent, so the surest part of one
+    is found among those with one token less and what was the surest in them.
+    """
+    kept = rules.where("n = 1").select("tokens", "label", "confidence", "support")
+    levels = [kept.where(F.col("confidence") >= min_confidence)]
+    surest = kept.select("tokens", "label", F.col("confidence").alias("surest"))
+    for n in range(2, depth + 1):
+        parts = rules.where(F.col("n") == n).select(
+            "tokens",
+            "label",
+            "confidence",
+            "support",
+            F.explode(F.transform("tokens", lambda x: F.array_remove("tokens", x))).alias("part"),
+        )
+        below = surest.select(F.col("tokens").alias("part"), "label", "surest")
+        level = parts.join(below, ["part", "label"]).groupBy("tokens", "label", "confidence", "support")
+        level, _ = stage(level.agg(F.max("surest").alias("below")), "rules-of-a-size")
+        levels.append(
+            level.where((F.col("confidence") >= min_confidence) & (F.col("confidence") > F.col("below"))).drop("below")
         )
-        if not any(p and p.confidence >= rule.confidence for p in parts):
-            kept[rule.tokens, rule.verdict] = rule
-    return sorted(kept.values(), key=MinedRule.rank)
+        surest = level.select("tokens", "label", F.greatest("confidence", "below").alias("surest"))
+    return reduce(DataFrame.unionByName, levels)
 
 
 class RuleIndex:
