@@ -205,6 +205,16 @@ def test_encode_and_decode_odd_texts(odd_docs, encoding):
     assert byte_bpe.encode_bytes(odd_docs.limit(0), RANKS, split_pattern()).count() == 0
 
 
+def test_round_trip_decodes_through_the_stream(monkeypatch):
+    encoder, decoder, fed = byte_bpe.ByteEncoder(RANKS, split_pattern()), byte_bpe.ByteDecoder(RANKS), []
+    feed = byte_bpe.Utf8Stream.feed
+    monkeypatch.setattr(byte_bpe.Utf8Stream, "feed", lambda self, x: fed.append(x) or feed(self, x))
+    texts = ["plain", None, "日本語 \U0001f600 \u0378\U000e0041", *noise(11, 100)]
+    ids, _, decoded = byte_bpe._round_trip(encoder, decoder, pa.array(texts))
+    assert decoded.to_pylist() == [(t or "").encode() for t in texts]
+    assert fed and not all(decoder.whole[np.frombuffer(ids[2].as_py(), "<u4")])
+
+
 # --------------------------------------------------------------- token files
 
 

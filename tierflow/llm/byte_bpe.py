@@ -17,7 +17,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -380,22 +380,17 @@ def encode_bytes(docs: DataFrame, ranks: str, pattern: str, text: str = "text")
     return append(docs, IDS, make, text)
 
 
-def round_trip(docs: DataFrame, ranks: str, pattern: str, text: str = "text") -> DataFrame:
-    """``encode_bytes``, and ``decoded_bytes`` from the packed ids, in one Python worker."""
+def _round_trip(encoder: ByteEncoder, decoder: ByteDecoder, column: pa.Array) -> list[pa.Array]:
+    ids, counts = _packed(encoder, column)
+    decoded = [decoder.text(np.frombuffer(x, "<u4")) for x in ids]
+    return [pa.array(ids, pa.binary()), pa.array(counts, pa.int64()), pa.array(decoded, pa.binary())]
 
-    def make() -> Callable[[pa.Array], list[pa.Array]]:
-        encoder, decoder = _encoder(ranks, pattern), _decoder(ranks)
 
-        def step(column: pa.Array) -> list[pa.Array]:
-            ids, counts = _packed(encoder, column)
-            exact = [decoder.octets(np.frombuffer(x, "<u4")) for x in ids]
-            return [
-                pa.array(ids, pa.binary()),
-                pa.array(counts, pa.int64()),
-                pa.array(exact, pa.binary()),
-            ]
+def round_trip(docs: DataFrame, ranks: str, pattern: str, text: str = "text") -> DataFrame:
+    """``encode_bytes``, and ``decoded_bytes``, what the streaming decoder makes of the ids, in one Python worker."""
 
-        return step
+    def make() -> Callable[[pa.Array], list[pa.Array]]:
+        return partial(_round_trip, _encoder(ranks, pattern), _decoder(ranks))
 
     return append(docs, T.StructType([*IDS, DECODED[0]]), make, text)
 
