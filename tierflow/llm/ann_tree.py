@@ -4,8 +4,9 @@ The tree is fitted with numpy on a bounded sample and sent to the tasks. All
 distinct vectors are dealt to its leaves. A query walks the tree best bin
 first: a priority queue holds the branches not taken, ordered by the distance
 of their centres, and leaves are visited from its head. How many leaves is
-calibrated: on sample queries it is widened until recall against all rows
-reaches the target. Visits and leaves meet in one join of packed rows of bounded
+calibrated: on sample queries it is widened until recall against the rows of the
+sample reaches the target. Recall against all rows is not measured by a run, and
+vectors that the sample does not represent have no part in the calibration. Visits and leaves meet in one join of packed rows of bounded
 size, where products are exact in double precision.
 """
 
