@@ -5,6 +5,8 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
 
+from llm_support import LONG  # noqa: E402
+
 FOLDER = "/root/testdata/sf0.001"
 
 
@@ -15,9 +17,6 @@ def folder():
     return FOLDER
 
 
-LONG = "lorem ipsum dolor sit amet " * 40_000
-
-
 @pytest.fixture(scope="session")
 def odd_docs(spark):
     """Null, empty, blank, very long and repeated texts, null ids, clashing columns."""
@@ -38,9 +37,3 @@ def odd_docs(spark):
     for c in ("score", "fp", "ids", "n_hit", "host", "label", "packed"):
         docs = docs.selectExpr("*", f"tag AS {c}")
     return docs
-
-
-def plain(df, *columns):
-    """Rows as sorted tuples."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

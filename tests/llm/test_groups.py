@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from conftest import plain
+from llm_support import plain
 from tierflow.llm import ann_tree, decontaminate, simhash, url_rules
 from tierflow.llm.common import components
 from tierflow.llm.queries import ORACLES, QUERIES, URL_RULES

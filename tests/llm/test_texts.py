@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import LONG, plain
+from llm_support import LONG, plain
 from tierflow.llm import byte_bpe, chat_format, language_id, quality, token_file
 from tierflow.llm.common import Memory, segment_sums, slices
 from tierflow.llm.html_text import extract_text, html_text
