@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import explained, rows
+from support import explained, rows
 from tierflow.operators import columns as cols
 from tierflow.operators.dedupe import duplicate_counts, remove_duplicates
 

@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from tierflow.operators import timeseries as ts
 from tierflow.operators.observe import Watch
 from tierflow.plans import layers, turbine

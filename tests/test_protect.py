@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import rows
+from support import rows
 from tierflow.functions import protect
 
 KEY = b"0123456789abcdef0123456789abcdef"

@@ -4,7 +4,7 @@ from urllib.parse import urlparse
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from tierflow.operators import timeseries
 from tierflow.sinks import tables, upsert as ups
 from tierflow.sources.files import load_window, scan_files

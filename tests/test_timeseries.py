@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import explained, rows
+from support import explained, rows
 from tierflow.operators import timeseries as ts
 
 SCHEMA = (
