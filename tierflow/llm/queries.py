@@ -12,8 +12,10 @@ from tierflow.llm.byte_bpe import round_trip
 from tierflow.llm.chat_format import digest_conversations, format_conversations
 from tierflow.llm.common import crc_of_id, table
 from tierflow.llm.decontaminate import find_contamination
+from tierflow.llm.divergence import audit_sources
 from tierflow.llm.html_text import extract_text
 from tierflow.llm.language_id import fit_languages, identify_languages
+from tierflow.llm.piece_bpe import piece_round_trip
 from tierflow.llm.quality import fit_quality, score_quality
 from tierflow.llm.simhash import near_duplicates
 from tierflow.llm.token_file import read_token_file, write_token_file
@@ -226,3 +228,63 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+# Every kept term in every group, then all pairs of groups, term by term.
+DIVERGENCE_SQL = r"""
+WITH docs AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS d,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), said AS (SELECT d, lang, source, unnest(words) AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM said GROUP BY lang, term HAVING count(DISTINCT d) >= 3
+), sizes AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang
+), sources AS (SELECT DISTINCT lang, source FROM docs
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM said SEMI JOIN kept USING (lang, term)
+  GROUP BY lang, source, term
+), totals AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source
+), dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 1)) // (coalesce(t.total, 0) + s.v) AS p,
+    1 + (CAST(1000000000 AS HUGEINT) * (k.n + 1)) // (s.total + s.v) AS q
+  FROM sources g JOIN kept k USING (lang) JOIN sizes s USING (lang)
+  LEFT JOIN totals t USING (lang, source) LEFT JOIN counts c USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+), results AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM dense WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (
+    PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM results)
+WHERE part = 'pair' OR place <= 200
+"""
+
+
+@query("op11_source_divergence", DIVERGENCE_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("text", "lang", "source")
+    return audit_sources(docs, min_docs=3, top=200)
+
+
+@query("op13_piece_bpe")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    # Fixed value: the end id of the model.
+    coded = piece_round_trip(docs, tokenizer_path("piece_bpe_32k.model"), end_id=2)
+    decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(decimal.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
