@@ -16,6 +16,7 @@ from tierflow.llm.divergence import audit_sources
 from tierflow.llm.html_text import extract_text
 from tierflow.llm.language_id import fit_languages, identify_languages
 from tierflow.llm.piece_bpe import piece_round_trip
+from tierflow.llm.repair import digest_turns, repair_conversations
 from tierflow.llm.quality import fit_quality, score_quality
 from tierflow.llm.simhash import near_duplicates
 from tierflow.llm.token_file import read_token_file, write_token_file
@@ -276,6 +277,145 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return audit_sources(docs, min_docs=3, top=200)
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with the faults that the contract plants by a checksum of their keys."""
+    blank = F.lit(" ")
+    spelled = [F.coalesce(F.col(c).cast("string"), blank) for c in ("conv_id", "turn")]
+    fault = F.crc32(F.concat_ws(":", *spelled).cast("binary")) % 20
+    text, role = F.coalesce("text", blank), F.coalesce("role", blank)
+    without = F.translate(text, ".!?", "")
+    return (
+        turns.withColumn("fault", fault)
+        .where("fault <> 0")
+        .select(
+            "conv_id",
+            "turn",
+            F.when(F.col("fault") == 4, "user").otherwise(role).alias("role"),
+            F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, without).otherwise(text).alias("text"),
+            F.explode(F.array_repeat(F.lit(1), F.when(F.col("fault") == 3, 2).otherwise(1))),
+        )
+        .drop("col")
+    )
+
+
+def _repair_sql() -> str:
+    """The least ``cost || audit`` per state, turn by turn, costs in twelve digits."""
+
+    def grown(x: str, cost: str, letter: str) -> str:
+        spent = f"CAST({x}[1:12] AS BIGINT) + {cost}"
+        return f"lpad(CAST({spent} AS VARCHAR), 12, '0') || {x}[13:] || '{letter}'"
+
+    def least(*xs: str) -> str:
+        return f"least({', '.join(xs)})"
+
+    def dropped(q: str) -> str:
+        return grown(q, "4", "D")
+
+    def kept(q: str, initial: str) -> str:
+        return f"CASE WHEN live AND initial = '{initial}' THEN {grown(q, 'more', 'K')} END"
+
+    def renamed(q: str) -> str:
+        return f"CASE WHEN live THEN {grown(q, '3 + more', 'R')} END"
+
+    to_user = [f(q) for q in "esa" for f in (lambda q: kept(q, "u"), renamed)]
+    inserted = {q: grown(q, "3", "I") for q in ("e0", "s0", "a0", "u1")}
+    return rf"""
+WITH RECURSIVE faulty AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+  FROM conversations
+), drawn AS (
+  SELECT *, xor(4294967295, list_reduce(
+    list_transform(string_split(key, ''), lambda ch: CAST(ascii(ch) AS BIGINT)),
+    lambda crc, byte: list_reduce(CAST(range(8) AS BIGINT[]),
+      lambda x, bit: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END), xor(crc, byte)),
+    4294967295)) % 20 AS f
+  FROM faulty
+), after AS (
+  SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE f WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM drawn WHERE f <> 0
+), numbered AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS initial,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth
+  FROM after
+), turns AS (
+  SELECT *, said = '' AS blank, said <> '' AND nth > 1 AS duplicate,
+    said <> '' AND nth = 1 AND right(said, 1) NOT IN ('.', '!', '?') AS truncated,
+    said <> '' AND nth = 1 AS live,
+    CASE WHEN said <> '' AND nth = 1 AND right(said, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS more,
+    lead(initial) OVER (PARTITION BY conv_id ORDER BY i) AS following
+  FROM numbered
+), ids AS (SELECT DISTINCT conv_id FROM conversations
+), best AS (
+  SELECT conv_id, 0 AS i, repeat('0', 12) AS e, CAST(NULL AS VARCHAR) AS s,
+    '000000000003I' AS u, '000000000006II' AS a
+  FROM ids
+  UNION ALL
+  SELECT conv_id, i, e0, s0, {least("u1", inserted["a0"])}, {least("a0", inserted["u1"])}
+  FROM (
+    SELECT *, {least("u0", inserted["e0"], inserted["s0"])} AS u1 FROM (
+      SELECT b.conv_id, t.i, {dropped("e")} AS e0, {least(dropped("s"), kept("e", "s"))} AS s0,
+        {least(dropped("u"), *to_user)} AS u0,
+        {least(dropped("a"), kept("u", "a"), renamed("u"))} AS a0
+      FROM best b JOIN turns t ON b.conv_id IS NOT DISTINCT FROM t.conv_id AND t.i = b.i + 1))
+), ends AS (
+  SELECT conv_id, least(e, a) AS w FROM best
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1
+), letters AS (
+  SELECT conv_id, k, w[12 + k] AS letter FROM (
+    SELECT conv_id, w, unnest(range(1, length(w) - 11)) AS k FROM ends)
+), placed AS (
+  SELECT *, count(*) FILTER (letter <> 'I') OVER line AS i, count(*) FILTER (letter <> 'D') OVER line AS p
+  FROM letters WINDOW line AS (PARTITION BY conv_id ORDER BY k)
+), shown AS (
+  SELECT l.conv_id, l.p, l.letter, t.role, t.text, t.initial,
+    max(CASE WHEN l.p = 1 AND l.letter = 'K' AND t.initial = 's' THEN 1 ELSE 0 END)
+      OVER (PARTITION BY l.conv_id) AS shift
+  FROM placed l LEFT JOIN turns t
+    ON t.conv_id IS NOT DISTINCT FROM l.conv_id AND t.i = l.i AND l.letter <> 'I'
+  WHERE l.letter <> 'D'
+), repaired AS (
+  SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (p - shift) % 2 = 1 THEN 'user'
+    ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY p) AS lines
+  FROM shown GROUP BY conv_id
+), stats AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+    count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (following IS NOT NULL AND initial || following NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM turns GROUP BY conv_id
+)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(w[1:12] AS BIGINT) AS cost, w[13:] AS audit,
+  sha256(coalesce(lines, '')) AS repaired_sha256
+FROM ids d JOIN ends n ON d.conv_id IS NOT DISTINCT FROM n.conv_id
+LEFT JOIN stats z ON d.conv_id IS NOT DISTINCT FROM z.conv_id
+LEFT JOIN repaired r ON d.conv_id IS NOT DISTINCT FROM r.conv_id
+"""
+
+
+@query("op12_conversation_repair", _repair_sql())
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    repair = repair_conversations(damaged(turns))
+    ids = turns.select(F.col("conv_id").cast("long").alias("id")).distinct()
+    digests = digest_turns(repair.turns).withColumnsRenamed({"conv_id": "digested"})
+    known = ids.join(repair.reports, ids["id"].eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    found = known.join(digests, F.col("id").eqNullSafe(F.col("digested")), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return found.na.fill(0, counts).na.fill("", ["audit"]).select(
+        F.col("id").alias("conv_id"),
+        *counts,
+        "audit",
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 @query("op13_piece_bpe")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
