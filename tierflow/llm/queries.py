@@ -339,16 +339,17 @@ WITH RECURSIVE faulty AS (
 ), numbered AS (
   SELECT conv_id, turn, role, text, left(role, 1) AS initial,
     rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said,
-    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
-    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i
   FROM after
+), counted AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth FROM numbered
 ), turns AS (
   SELECT *, said = '' AS blank, said <> '' AND nth > 1 AS duplicate,
     said <> '' AND nth = 1 AND right(said, 1) NOT IN ('.', '!', '?') AS truncated,
     said <> '' AND nth = 1 AS live,
     CASE WHEN said <> '' AND nth = 1 AND right(said, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS more,
     lead(initial) OVER (PARTITION BY conv_id ORDER BY i) AS following
-  FROM numbered
+  FROM counted
 ), ids AS (SELECT DISTINCT conv_id FROM conversations
 ), best AS (
   SELECT conv_id, 0 AS i, repeat('0', 12) AS e, CAST(NULL AS VARCHAR) AS s,
