@@ -331,7 +331,8 @@ class Audit:
         above = above.select("g", "digest", "term", distance(F.col("p"), F.col("q")).alias("value"))
         place = F.row_number().over(Window.partitionBy("g").orderBy(F.desc("value")))
         first = above.select("g", "value", place.alias("place")).where(F.col("place") <= top)
-        last = first.groupBy("g").agg(F.min("value").alias("last"))
+        # One row per group; stored, so that its size decides how terms are held against it.
+        last, _ = stage(first.groupBy("g").agg(F.min("value").alias("last")), "last")
         named = above.join(last, "g").where("value >= last").join(self.texts.select("digest", "least"), "digest")
         items = named.select("g", F.coalesce("term", "least").alias("item"), "value")
         rank = F.row_number().over(Window.partitionBy("g").orderBy(F.desc("value"), "item"))
