@@ -1,0 +1,175 @@
+"""The source divergence audit against plain Python."""
+
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from llm_support import LONG, plain
+from tierflow.llm import divergence
+from tierflow.llm.divergence import Audit, audit_sources, proportion
+
+SCHEMA = "doc_id long, text string, lang string, source string"
+COLUMNS = ["lang", "source", "part", "item", "value", "rank"]
+
+
+def slow_terms(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    return re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", lowered)
+
+
+def slow_audit(rows, top=200):
+    """Every kept term in every group, one at a time."""
+    rows = [[x or "" for x in r] for r in rows]
+    found = defaultdict(Counter)
+    for text, lang, _ in rows:
+        found[lang].update(set(slow_terms(text)))
+    kept = {lang: sorted(t for t, n in c.items() if n >= 3) for lang, c in found.items()}
+    counts, totals = defaultdict(Counter), defaultdict(Counter)
+    for text, lang, source in rows:
+        counts[lang, source].update(slow_terms(text))
+        totals[lang].update(slow_terms(text))
+
+    def shares(counter, terms):
+        n = sum(counter[t] for t in terms)
+        return [1 + 10**9 * (counter[t] + 1) // (n + len(terms)) for t in terms]
+
+    out = []
+    for lang, source in counts:
+        terms = kept[lang]
+        p = shares(counts[lang, source], terms)
+        pairs = []
+        for other in (s for g, s in counts if g == lang and s != source):
+            q = shares(counts[lang, other], terms)
+            pairs.append((other, sum((a - b) ** 2 // b for a, b in zip(p, q))))
+        q = shares(totals[lang], terms)
+        above = [
+            (t, (a - b) ** 2 // b)
+            for t, a, b in zip(terms, p, q)
+            if counts[lang, source][t] and a > b
+        ]
+        for part, items in (("pair", pairs), ("term", above)):
+            items.sort(key=lambda x: (-x[1], x[0].encode()))
+            items = items if part == "pair" else items[:top]
+            out += [(lang, source, part, t, v, i + 1) for i, (t, v) in enumerate(items)]
+    return sorted(out)
+
+
+@pytest.fixture(scope="module")
+def odd_rows():
+    rng = np.random.default_rng(5)
+    words = [f"{a}{b}" for a in "abcdeÉß" for b in "xyzñ日"]
+    rows = [
+        (" ".join(rng.choice(words[: 5 + 10 * (k % 4)], size=rng.integers(0, 30))), "en" if k % 3 else "de", f"s{k % 5}")
+        for k in range(120)
+    ]
+    rows += [
+        (None, "en", "s1"),
+        ("", "fr", "only"),
+        ("123 -- !!", "fr", None),
+        ("Ax aX AX. ax,ax", None, "s1"),
+        ("ax ax", None, None),
+        ("ax by", "", ""),
+        ("İx ax ax \U0001f600ax", "en", "s2"),
+        (LONG, "en", "s3"),
+        *[("hot hot words here", "en", "s0")] * 60,
+    ]
+    return rows
+
+
+def documents(spark, rows):
+    """With columns of names that the operator uses."""
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], SCHEMA)
+    for c in ("digest", "term", "n", "g", "value"):
+        docs = docs.withColumn(c, F.lit("x"))
+    return docs
+
+
+def test_audit_against_brute_force(spark, odd_rows):
+    found = audit_sources(documents(spark, odd_rows), top=20)
+    assert plain(found, *COLUMNS) == slow_audit(odd_rows, top=20)
+
+
+def test_colliding_digests_are_split_by_text(spark, odd_rows):
+    audit = Audit(documents(spark, odd_rows), digest_bits=3)
+    assert audit.texts.where("least <> most").count() > 0
+    whole = Audit(documents(spark, odd_rows))
+    assert plain(audit.leading_terms(200)) == plain(whole.leading_terms(200))
+    assert plain(audit.source_pairs()) == plain(whole.source_pairs())
+
+
+def test_small_memories_give_the_same(spark, odd_rows, monkeypatch):
+    """Counts, sums and blocks that are handed on many times over."""
+    # Tasks take functions of an installed module by name, so they are called here.
+    texts = [(r[0] or "").encode() for r in odd_rows]
+    counts = divergence._Counts(64, True)
+    counts.terms.limit = 20
+    found = Counter()
+
+    def take():
+        for batch in counts.flush():
+            for row in batch.to_pylist():
+                found[row["lang"], row["source"], row["term"]] += row["n"]
+
+    for text, (_, lang, source) in zip(texts, odd_rows):
+        if len(counts.terms.index) > counts.terms.limit:
+            take()
+        counts.add([text], [lang or ""], [source or ""])
+    take()
+    expected = Counter()
+    for text, lang, source in odd_rows:
+        for term in slow_terms(text or ""):
+            expected[lang or "", source or "", term] += 1
+    assert found == expected
+
+
+@pytest.mark.parametrize("cells", [1, 7, 64])
+def test_shared_terms_in_blocks(cells, monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    rows = []
+    for _ in range(40):
+        groups = rng.choice(9, size=rng.integers(1, 9), replace=False)
+        rows.append([{"g": int(g), "p": int(rng.integers(50, 10**9)), "p0": 50 + int(g)} for g in groups])
+    kind = pa.list_(pa.struct([("g", pa.int64()), ("p", pa.int64()), ("p0", pa.int64())]))
+    batch = pa.RecordBatch.from_arrays([pa.array(rows, kind)], names=["sources"])
+    expected = Counter()
+    f = lambda p, q: (p - q) ** 2 // q
+    for row in rows:
+        if len(row) > 1:
+            for a in row:
+                for b in row:
+                    expected[a["g"], b["g"]] += (
+                        f(a["p"], b["p"]) - f(a["p"], b["p0"]) - f(a["p0"], b["p"]) + f(a["p0"], b["p0"])
+                    )
+    monkeypatch.setattr(divergence, "CELLS", cells)
+    pairs = divergence._Pairs
+    monkeypatch.setattr(divergence, "_Pairs", lambda: pairs(limit=3))
+    found = Counter()
+    for part in divergence._shared_terms(iter([batch.slice(0, 25), batch.slice(25)])):
+        for row in part.to_pylist():
+            found[row["a"], row["b"]] += row["s"]
+    assert found == expected
+
+
+def test_shares_of_any_size(spark):
+    cases = [(0, 0, 1), (5, 10, 3), (9 * 10**9, 10**10, 7), (10**10, 10**10, 5), (4 * 10**17, 4 * 10**17, 10**6), (0, 0, 0)]
+    df = spark.createDataFrame(cases, "n long, total long, kept long")
+    found = df.select(proportion(F.col("n"), F.col("total"), F.col("kept")).alias("p")).collect()
+    assert [r.p for r in found] == [1 + 10**9 * (n + 1) // max(1, t + k) for n, t, k in cases]
+
+
+def test_no_documents_and_no_kept_terms(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert audit_sources(empty).count() == 0
+    rare = spark.createDataFrame([(1, "one", "en", "a"), (2, "two", "en", "b"), (3, None, None, None)], SCHEMA)
+    assert plain(audit_sources(rare), *COLUMNS) == [("en", "a", "pair", "b", 0, 1), ("en", "b", "pair", "a", 0, 1)]
+
+
+def test_texts_are_joined_for_leading_terms_alone(spark, odd_rows):
+    audit = Audit(documents(spark, odd_rows))
+    assert audit.terms.where("term IS NOT NULL").count() == 0
+    assert dict(audit.terms.dtypes)["digest"] == "bigint"
