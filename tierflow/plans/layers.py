@@ -10,7 +10,7 @@ is counted by a query of its own instead.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any
@@ -121,6 +121,7 @@ def _write(
         partitions,
         destination.get("root"),
         destination.get("merge_schema", True),
+        destination.get("at_once", False),
     )
     return target
 
@@ -186,15 +187,33 @@ def _ingest_increment(spark: SparkSession, spec: Spec) -> Ingested:
         max_files_per_batch=source.get("max_files_per_batch"),
         table_format=destination.get("format", "parquet"),
         merge_schema=destination.get("merge_schema", True),
+        max_bytes_per_batch=source.get("max_bytes_per_batch"),
+        distinct_on=_told_apart_by if _dedupes_across_runs(transform) else None,
     )
 
 
+# Metadata that says when a row was loaded, which does not make it another row.
+RUN_METADATA = {"load_timestamp", "load_date", "load_run_id", "processed_at"}
+
+
+def _told_apart_by(columns: Sequence[str]) -> list[str]:
+    return [c for c in columns if c.lower() not in RUN_METADATA]
+
+
+def _dedupes_across_runs(transform: Spec) -> bool:
+    """Rows with an id of their own are never duplicates."""
+    wanted = transform.get("add_metadata_columns") or []
+    return bool(transform.get("remove_duplicates")) and "record_id" not in wanted
+
+
 def run_bronze(spark: SparkSession, spec: Spec) -> LayerResult:
     """Ingest files into the bronze table.
 
     With ``source.incremental`` only files that are new or have changed are read.
     Their rows are upserted if ``destination.keys`` is given, by the order
-    ``transform.duplicates_order`` where a file repeats a key, and added otherwise.
+    ``transform.duplicates_order`` where a file repeats a key, and added otherwise;
+    with ``transform.remove_duplicates`` rows that earlier runs added are left out,
+    so the table is that of one run over all files.
     """
     with _recorded(spark, "BRONZE", spec) as audit:
         transform = spec.get("transform", {})

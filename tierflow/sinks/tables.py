@@ -90,17 +90,28 @@ def save_table(
     partitions: Sequence[str] = (),
     root: str | None = None,
     merge_schema: bool = True,
+    at_once: bool = False,
 ) -> None:
     """Write ``df`` as the catalog table ``name``.
 
     ``root`` puts it at an external location below that folder. With
     ``merge_schema`` the stored table keeps columns that ``df`` lacks and gains
-    those it adds, in append as in overwrite mode.
+    those it adds, in append as in overwrite mode. With ``at_once`` readers of an
+    unpartitioned table that is overwritten see the old rows or the new, never
+    neither; see ``publish_snapshot``.
     """
+    from tierflow.sinks import snapshots
+
     spark = df.sparkSession
     exists = table_exists(spark, name)
+    at_once = at_once and exists and mode == "overwrite"
     if exists and merge_schema:
-        df = align_with_table(df, name, add_columns=mode == "append")
+        df = align_with_table(df, name, add_columns=mode == "append" or at_once)
+    if at_once:
+        snapshots.publish_snapshot(df, name)
+        return
+    if exists and mode == "overwrite":
+        snapshots.drop_earlier(spark, name)
     writer = df.write.format(file_format).mode(mode)
     if file_format == "delta" and merge_schema:
         writer = writer.option("mergeSchema", "true")

@@ -7,8 +7,9 @@ among the keys, or are given as expressions over them, the source alone names
 those partitions. Otherwise a row may have moved, so the keys of the whole target
 are read to find the partitions of matched rows.
 
-On a file table the new partitions are moved into place one after the other
-when the job commits, so a reader may see some before others.
+On a partitioned file table the new partitions are moved into place one after the
+other when the job commits, so a reader may see some before others. A table
+without partitions is published as a whole: readers see all of an upsert or none.
 """
 
 from __future__ import annotations
@@ -16,13 +17,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 from contextlib import nullcontext
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.operators.dedupe import remove_duplicates
+from tierflow.sinks.snapshots import publish_snapshot
 from tierflow.sinks.tables import (
     align_with_table,
     clear_partition,
@@ -33,7 +33,7 @@ from tierflow.sinks.tables import (
     stored_as,
     table_exists,
 )
-from tierflow.staging import keep, release, stage, staged
+from tierflow.staging import staged
 
 FILE_PROVIDERS = ("parquet", "orc", "csv", "json")
 
@@ -118,10 +118,7 @@ def upsert(
     if derived:
         df = df.withColumns(derived)
     if dedupe_source_on:
-        keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
-        df = remove_duplicates(df.where(keyed), keys, dedupe_source_on).unionByName(
-            df.where(~keyed)
-        )
+        df = remove_duplicates(df, keys, dedupe_source_on, null_keys_differ=True)
         keys_are_unique, source_is_stored = True, False
     with nullcontext(df) if source_is_stored else staged(df, "upsert-source") as source:
         if not keys_are_unique:
@@ -169,12 +166,5 @@ def _merge(
             for values in emptied:
                 clear_partition(spark, table, values.asDict())
     else:
-        # A whole table cannot be overwritten while it is being read, and its old
-        # files are gone when an overwrite fails: then the staged rows are kept.
-        merged, path = stage(merge_rows(target, source, keys), "upsert-result")
-        try:
-            merged.select(*target.columns).write.insertInto(table, overwrite=True)
-        except Exception as error:
-            keep(path)
-            raise RuntimeError(f"{table} was not written; all its rows are in {path}") from error
-        release(spark, path)
+        # Written once, beside the files that are read, and named in one step.
+        publish_snapshot(merge_rows(target, source, keys), table)

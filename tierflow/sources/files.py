@@ -45,6 +45,16 @@ def scan_files(
     return reader.load(path)
 
 
+def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Files of a folder or glob; their content is not read."""
+    return spark.read.format("binaryFile").load(path).select(
+        "path",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("modificationTime").alias("modified"),
+        F.col("length").alias("size"),
+    )
+
+
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
     """Read a catalog table, ``database.table`` or ``catalog.schema.table``."""
     return spark.table(name)
@@ -70,11 +80,14 @@ def load_window(
     return df.where(in_window(df, time_column, start, end))
 
 
-def in_window(df: DataFrame, column: str, start, end):
-    """Closed range condition, typed like the column."""
-    data_type = dict(df.dtypes)[column]
-    first, last = (
+def window_bounds(data_type: str, start, end):
+    """Both ends of a window, typed like the column."""
+    return tuple(
         F.lit(v.isoformat(sep=" ") if isinstance(v, datetime) else str(v)).cast(data_type)
         for v in (start, end)
     )
-    return F.col(column).between(first, last)
+
+
+def in_window(df: DataFrame, column: str, start, end):
+    """Closed range condition, typed like the column."""
+    return F.col(column).between(*window_bounds(dict(df.dtypes)[column], start, end))

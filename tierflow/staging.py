@@ -89,6 +89,17 @@ def release(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """What lies directly in a folder, hidden files aside; nothing if there is no such folder."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        return []
+    found = [s.getPath() for s in system.listStatus(target)]
+    return [f.toString() for f in found if not f.getName().startswith((".", "_"))]
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a file in place of what may be at ``target``."""
     release(spark, target)

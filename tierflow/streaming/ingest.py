@@ -13,14 +13,15 @@ import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tierflow.operators.dedupe import own_group
 from tierflow.operators.observe import Watch
+from tierflow.sinks.snapshots import compact_table
 from tierflow.sinks.tables import (
     align_with_table,
     clear_partition,
@@ -29,8 +30,9 @@ from tierflow.sinks.tables import (
     table_exists,
 )
 from tierflow.sinks.upsert import upsert
-from tierflow.sources.files import scan_files
-from tierflow.staging import staged
+from tierflow.sources.files import list_files, scan_files
+from tierflow.staging import stage, staged
+from tierflow.streaming.seen import RowIndex
 
 BATCH_COLUMN = "ingest_batch"
 FILE_COLUMN = "ingest_file"
@@ -51,37 +53,61 @@ def ledger_of(table: str) -> str:
     return f"{table}__ingested_files"
 
 
-def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Files of a folder or glob; their content is not read."""
-    return spark.read.format("binaryFile").load(path).select(
-        "path",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("modificationTime").alias("modified"),
-        F.col("length").alias("size"),
-    )
-
-
-def pending_files(spark: SparkSession, path: str | list[str], ledger: str) -> list[Row]:
-    """Files that the ledger lacks as they are now, oldest first.
-
-    The list comes to the driver, since a scan of named files is planned there.
-    """
+def pending_files(spark: SparkSession, path: str | list[str], ledger: str) -> DataFrame:
+    """Files that the ledger lacks as they are now."""
     listed = list_files(spark, path)
     if table_exists(spark, ledger):
         known = spark.table(ledger).where("done").select("file", "modified", "size")
         listed = listed.join(known, ["file", "modified", "size"], "left_anti")
-    return listed.orderBy("modified", "file").collect()
+    return listed
+
+
+def batches_of_files(
+    files: DataFrame, max_files: int | None = None, max_bytes: int | None = None
+) -> Iterator[list[Row]]:
+    """Files, oldest first, batch by batch; the driver holds the names of one batch.
+
+    A scan of named files is planned on the driver. With a limit the list is stored
+    and cut there, where a running count or sum of sizes passes a multiple of it, so
+    a batch exceeds ``max_bytes`` by less than its last file. Without a limit there
+    is one batch.
+    """
+    order = ["modified", "file"]
+    if not (max_files or max_bytes):
+        found = files.orderBy(*order).collect()
+        yield from [found] if found else []
+        return
+    spark = files.sparkSession
+    dealt = files.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+    with staged(dealt, "pending") as listed:
+        # Sums run within each range of files; a range begins where those before it end.
+        parts = listed.groupBy("part").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+        starts, n, size = [], 0, 0
+        for r in sorted(parts.collect()):
+            starts.append((r.part, n, size))
+            n, size = n + r.n, size + r.bytes
+        offsets = spark.createDataFrame(starts, "part int, n long, bytes long")
+        before = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        at_file = F.col("n") + F.count("*").over(before)
+        at_byte = F.col("bytes") + F.coalesce(F.sum("size").over(before), F.lit(0))
+        cut = listed.join(offsets, "part").select(
+            *files.columns,
+            F.floor(at_file / (max_files or 2**62)).alias("by_count"),
+            F.floor(at_byte / (max_bytes or 2**62)).alias("by_size"),
+        )
+        with staged(cut, "batches") as numbered:
+            for numbers in sorted(numbered.select("by_count", "by_size").distinct().collect()):
+                chosen = (F.col("by_count") == numbers.by_count) & (F.col("by_size") == numbers.by_size)
+                yield numbered.where(chosen).select(*files.columns).orderBy(*order).collect()
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Of rows that share a key those of the file that changed last.
 
-    Rows with a null key equal nothing and all stay.
+    Rows with a null key equal nothing and all stay. The rows are read once.
     """
-    keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    newest = Window.partitionBy(*keys).orderBy(F.desc(TIME_COLUMN), F.desc(FILE_COLUMN))
-    ranked = df.where(keyed).withColumn("file_rank", F.rank().over(newest))
-    return ranked.where("file_rank = 1").drop("file_rank").unionByName(df.where(~keyed))
+    newest = Window.partitionBy(*keys, own_group(keys)).orderBy(F.desc(TIME_COLUMN), F.desc(FILE_COLUMN))
+    return df.withColumn("file_rank", F.rank().over(newest)).where("file_rank = 1").drop("file_rank")
 
 
 class _Ledger:
@@ -104,12 +130,6 @@ class _Ledger:
         return [r.batch for r in found.where("done").select("batch").distinct().collect()]
 
 
-def _groups(files: list[Row], size: int | None) -> Iterator[list[Row]]:
-    size = size or max(1, len(files))
-    for at in range(0, len(files), size):
-        yield files[at : at + size]
-
-
 def _named(df: DataFrame) -> DataFrame:
     """The file columns under their own names, whatever a transform made of their case."""
     own = {c.lower(): c for c in (FILE_COLUMN, TIME_COLUMN)}
@@ -135,6 +155,8 @@ def ingest_new_files(
     max_files_per_batch: int | None = None,
     table_format: str = "parquet",
     merge_schema: bool = True,
+    max_bytes_per_batch: int | None = None,
+    distinct_on: Callable[[Sequence[str]], Sequence[str]] | None = None,
 ) -> Ingested:
     """Bring ``table`` up to date with files that are new or have changed.
 
@@ -148,17 +170,42 @@ def ingest_new_files(
     table. A table without its ledger takes no unkeyed files, as it could not be
     told which of them it holds. ``transform`` is given the columns
     ``ingest_file`` and ``ingest_file_time`` as well, and must keep them.
+
+    ``distinct_on``, for tables without keys, picks the columns that make two rows
+    the same. Then a row that the table has, from whatever file and run, is not
+    added again, as if all files had been read at once and their duplicates removed.
+    When a file changes, those are read again whose rows were left out for its sake;
+    a row that only a file no longer there could give back stays left out.
     """
     ledger = _Ledger(spark, table)
+    index = RowIndex(spark, table, ledger.name, FILE_COLUMN, BATCH_COLUMN) if distinct_on and not keys else None
     if not table_exists(spark, table):
         spark.sql(f"DROP TABLE IF EXISTS {ledger.name}")
+        if index:
+            index.clear()
     elif not keys and not table_exists(spark, ledger.name):
         raise ValueError(f"{table} exists without its ledger {ledger.name}")
     elif not keys:
         for batch in ledger.unfinished():
             clear_partition(spark, table, {BATCH_COLUMN: batch})
+    pending = pending_files(spark, path, ledger.name)
+    limits = max_files_per_batch, max_bytes_per_batch
+    dependents: list[DataFrame] = []
+
+    def batches() -> Iterator[list[Row]]:
+        for files in batches_of_files(pending, *limits):
+            # Found before the files' earlier states go, read once all new ones are in.
+            if index and index.exists() and ledger.batches_of(files):
+                names = spark.createDataFrame([(f.file,) for f in files], "file string")
+                dependents.append(stage(index.dependents(names), "dependents")[0])
+            yield files
+        if dependents:
+            names = reduce(DataFrame.union, dependents).distinct()
+            again = list_files(spark, path).join(names, "file", "left_semi").select(*pending.columns)
+            yield from batches_of_files(again, *limits)
+
     total = Ingested()
-    for files in _groups(pending_files(spark, path, ledger.name), max_files_per_batch):
+    for files in batches():
         scan = scan_files(spark, [f.path for f in files], file_format, options, schema)
         read = Watch.rows(
             scan.withColumns(
@@ -181,11 +228,21 @@ def ingest_new_files(
             df = df.drop(TIME_COLUMN).withColumn(BATCH_COLUMN, F.lit(batch).cast("long"))
             ledger.enter(files, batch, False)
             parts = [BATCH_COLUMN, *partition_by]
-            written = _add(ledger, df, files, table, parts, root, table_format, merge_schema)
+            if index:
+                own = {FILE_COLUMN, BATCH_COLUMN}
+                columns = distinct_on([c for c in df.columns if c not in own])
+                with staged(df, "ingest") as rows:
+                    df, entries = index.unseen(rows, columns, batch)
+                    written = _add(ledger, df, files, table, parts, root, table_format, merge_schema)
+                    index.add(entries)
+            else:
+                written = _add(ledger, df, files, table, parts, root, table_format, merge_schema)
         ledger.enter(files, batch, True)
         total = Ingested(
             total.files + len(files), total.source_count + read.row_count, total.target_count + written
         )
+    if total.files:
+        compact_table(spark, ledger.name)
     return total
 
 
