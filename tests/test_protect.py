@@ -29,6 +29,16 @@ def test_mapping_is_unique(spark):
 def test_masks(spark):
     assert rows(protect.mask_email(one(spark, "user@example.com"), "c")) == [("u***@e***.com",)]
     assert rows(protect.mask_phone(one(spark, "555-123-4567"), "c")) == [("XXX-XXX-4567",)]
+    for text, hidden in {
+        "write a@b.com or c@d.org": "write a***@b***.com or c***@d***.org",
+        "a@b.com,c@d.org": "a***@b***.com,c***@d***.org",
+        "a@b@c.de": "a***@b***@c.de",
+        "see (é.x@büro.de)!": "see (é***@b***.de)!",
+        "o'neil/x=1@host": "o***@h***",
+        "mail: x@[10.0.0.1].": "mail: x***@[1***.0.0.1].",
+        "x @ y.com": "x @ y.com",
+    }.items():
+        assert rows(protect.mask_email(one(spark, text), "c")) == [(hidden,)]
     untouched = one(spark, "no mail here", None)
     assert rows(protect.mask_email(untouched, "c")) == rows(untouched)
     many = protect.mask_phone(one(spark, "call 555-123-4567 or 555-999-0000"), "c")

@@ -83,9 +83,12 @@ def test_report_is_one_aggregation(spark):
 
 def test_validate_expectations_and_profile(spark):
     df = spark.createDataFrame([(1,), (9,)], "v int")
-    flagged, report = qual.validate_expectations(df, {"v": {"max_value": 5}})
-    assert rows(flagged) == [(1, True), (9, False)]
-    assert report.where("rule = 'max_value'").first()["violations"] == 1
+    checked = qual.validate_expectations(df, {"v": {"max_value": 5}}, ["v < 9 when v > 1"])
+    assert rows(checked.flagged) == [(1, True), (9, False)]
+    assert explained(checked.flagged).count("* Scan") == 1
+    # The report is of that pass; no other one is made for it.
+    report = {r["rule"]: r["violations"] for r in checked.report().collect()}
+    assert report["max_value"] == 1 and report["business_rule"] == 1 and report["row_count"] == 0
     profile = qual.table_profile(df, "l").first()
     assert tuple(profile) == ("l", 2, 1, "struct<v:int>")
 
@@ -103,6 +106,27 @@ def test_grains(spark, grain, start, kind):
     assert str(result.first()["agg_date"])[:13] == start
 
 
+@pytest.mark.parametrize(
+    ("text", "parts"),
+    [
+        ("v > 1", ("v > 1", None)),
+        ("v > 1 when w = 2", ("v > 1", "w = 2")),
+        ("v > 1  WHEN\nw = 2", ("v > 1", "w = 2")),
+        ("case when a then b end", ("case when a then b end", None)),
+        ("case when a then b end > 1 when c", ("case when a then b end > 1", "c")),
+        ("v > 1 when case when a then b else c end", ("v > 1", "case when a then b else c end")),
+        ("s = 'only when wet'", ("s = 'only when wet'", None)),
+        ("s = 'it''s when' when `a when b` = 1", ("s = 'it''s when'", "`a when b` = 1")),
+        ('s = "a when b" when t', ('s = "a when b"', "t")),
+        ("when > 3", ("when > 3", None)),
+        ("whenever > 3", ("whenever > 3", None)),
+        ("a when b when c", ("a", "b when c")),
+    ],
+)
+def test_rules_are_split_outside_quotes_and_cases(text, parts):
+    assert qual.split_rule(text) == parts
+
+
 def test_unknown_grain_or_column_adds_nothing(spark):
     df = spark.sql("select timestamp'2024-01-07 10:20:30' as t, 1 as v")
     assert met.add_grain(df, "yearly", "t").columns == ["t", "v"]

@@ -13,9 +13,13 @@ EMAIL_PATTERN = r"^(.)[^@]*@(.)[^.]*(\..*)$"
 EMAIL_MASK = "$1***@$2***$3"
 PHONE_MASK = "XXX-XXX-$1"
 
-# What is taken for an address or a number within a text: a whole value of the
-# form above keeps its exact mask, anything else has each address masked alike.
-EMAIL_IN_TEXT = r"([\w.%+-])[\w.%+-]*@([A-Za-z0-9])[A-Za-z0-9-]*((?:\.[A-Za-z0-9-]+)*)"
+# What is taken for an address within a text: any signs but separators before the
+# ``@``, and a host behind it. A whole value of the form above, with one ``@`` and no
+# white space, keeps its exact mask; anything else has each address masked alike.
+ONE_ADDRESS = r"^[^\x00-\x20@]+@[^\x00-\x20@]+$"
+_LOCAL = r"[^\x00-\x20@<>(),;:\"\[\]\\]"
+_HOST = r"[\p{L}\p{N}-]"
+EMAIL_IN_TEXT = rf"({_LOCAL}){_LOCAL}*@(\[?[\p{{L}}\p{{N}}]){_HOST}*((?:\.{_HOST}+)*)"
 PHONE_PATTERN = r"(?<!\d)(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-](\d{4})(?!\d)"
 
 # Key length in bytes of each cipher.
@@ -30,7 +34,7 @@ def token(value: Column, salt: str = "") -> Column:
 def masked_email(value: Column) -> Column:
     whole = F.regexp_replace(value, EMAIL_PATTERN, EMAIL_MASK)
     inside = F.regexp_replace(value, EMAIL_IN_TEXT, EMAIL_MASK)
-    return F.when(value.rlike(EMAIL_PATTERN), whole).otherwise(inside)
+    return F.when(value.rlike(ONE_ADDRESS) & value.rlike(EMAIL_PATTERN), whole).otherwise(inside)
 
 
 def masked_phone(value: Column) -> Column:

@@ -14,11 +14,12 @@ from functools import reduce
 from operator import and_
 from typing import Any
 
-from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
+from tierflow.operators.observe import Watch
+
 Rules = Mapping[str, Mapping[str, Any]]
 BusinessRule = str | tuple[str, str] | Mapping[str, str]
 
@@ -68,29 +69,28 @@ def add_data_quality_flag(df: DataFrame, rules: Rules) -> DataFrame:
 # --- business rules --------------------------------------------------------
 
 
-def _parses(text: str) -> bool:
-    """Whether a text is a SQL expression, be its columns known or not."""
-    nothing = SparkSession.active().range(0)
-    try:
-        nothing.select(F.expr(text)).schema  # noqa: B018
-    except ParseException:
-        return False
-    except AnalysisException:
-        pass
-    return True
+# Quoted texts and names are skipped; of the words only these count.
+_TOKENS = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|\b(?:case|when|end)\b", re.IGNORECASE | re.DOTALL)
 
 
 def split_rule(text: str) -> tuple[str, str | None]:
     """Check and condition of a rule given as text.
 
-    A text that is SQL as it stands is a plain rule. Otherwise it is cut at the
-    first ``when``, in either case, with SQL on both sides.
+    It is cut at the first ``when``, in either case, that stands outside quotes and
+    outside ``case … end`` with something on both sides. Without one the whole text
+    is a plain rule.
     """
-    if not _parses(text):
-        for found in re.finditer(r"\s+when\s+", text, re.IGNORECASE):
+    depth = 0
+    for found in _TOKENS.finditer(text):
+        word = found[0].lower()
+        if word == "case":
+            depth += 1
+        elif word == "end":
+            depth -= depth > 0
+        elif word == "when" and depth == 0:
             check, when = text[: found.start()], text[found.end() :]
-            if _parses(check) and _parses(when):
-                return check, when
+            if check.strip() and when.strip() and check[-1].isspace() and when[0].isspace():
+                return check.strip(), when.strip()
     return text, None
 
 
@@ -236,9 +236,29 @@ def quality_report(
     return expectations.report(df.agg(*expectations.metrics))
 
 
-def validate_expectations(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
-    """The table with its ``quality_flag``, and the report on the rules."""
-    return add_data_quality_flag(df, rules), quality_report(df, rules)
+class Validation:
+    """A table with its ``quality_flag``, whose rules are observed while it is read.
+
+    Write ``flagged``, or run any other action that reads all of it behind narrow
+    operators; the report is of that one pass.
+    """
+
+    def __init__(self, df: DataFrame, rules: Rules, business_rules: Sequence[BusinessRule] = ()):
+        self._expectations = Expectations(df, rules, business_rules)
+        self._source = df
+        self._watch = Watch(add_data_quality_flag(df, rules), self._expectations.metrics)
+        self.flagged = self._watch.df
+
+    def report(self) -> DataFrame:
+        """One row per (column, rule), as ``quality_report`` gives it; waits for the action."""
+        return self._expectations.report_observed(self._source.sparkSession, self._watch.values)
+
+
+def validate_expectations(
+    df: DataFrame, rules: Rules, business_rules: Sequence[BusinessRule] = ()
+) -> Validation:
+    """Flag the rows of a table and report on the rules, in one pass."""
+    return Validation(df, rules, business_rules)
 
 
 def null_percent(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

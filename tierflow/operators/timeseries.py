@@ -178,13 +178,15 @@ def on_grid(
     )
 
 
-def _presence(
-    readings: DataFrame, start: datetime, end: datetime, series: Series
+def presence(
+    readings: DataFrame, start: Instant, end: Instant, series: Series = TURBINES
 ) -> DataFrame:
     """Per entity and block: bitmap of the slots with a reading, and their number.
 
     Entities whose readings all lie off the grid keep a row, with no block.
+    ``shared_slots`` and ``missing_slots`` both follow from it; store it for both.
     """
+    start, end = _window(start, end)
     data_type = _time_type(readings, series)
     slot = _hours_since(F.col(series.time), _literal(start, data_type), data_type)
     return (
@@ -201,7 +203,11 @@ def _presence(
 
 
 def shared_slots(
-    readings: DataFrame, start: Instant, end: Instant, series: Series = TURBINES
+    readings: DataFrame,
+    start: Instant,
+    end: Instant,
+    series: Series = TURBINES,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """Entities, and when a block begins in which readings share a slot.
 
@@ -210,9 +216,9 @@ def shared_slots(
     """
     first, last = _window(start, end)
     data_type = _time_type(readings, series)
+    seen = presence(readings, first, last, series) if seen is None else seen
     return (
-        _presence(readings, first, last, series)
-        .where(F.col("readings") > F.bit_count("present"))
+        seen.where(F.col("readings") > F.bit_count("present"))
         .select(
             series.entity,
             _slot_time(
@@ -223,18 +229,25 @@ def shared_slots(
 
 
 def missing_slots(
-    readings: DataFrame, start: Instant, end: Instant, series: Series = TURBINES
+    readings: DataFrame,
+    start: Instant,
+    end: Instant,
+    series: Series = TURBINES,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
-    """The slots for which an entity has no reading: time, entity, hour."""
+    """The slots for which an entity has no reading: time, entity, hour.
+
+    ``seen`` is the stored ``presence`` of the readings, if there is one.
+    """
     first, last = _window(start, end)
     data_type = _time_type(readings, series)
     entity, start_at = F.col(series.entity), _literal(first, data_type)
     count = F.size(_slot_times(first, last, data_type)).cast("long")
-    seen = _presence(readings, first, last, series).drop("readings")
+    seen = presence(readings, first, last, series) if seen is None else seen
 
     # One row per entity holding its blocks: bounded by the days of the window.
     per_entity = (
-        _spread(seen, series.entity)
+        _spread(seen.drop("readings"), series.entity)
         .groupBy(entity)
         .agg(F.collect_list(F.struct("block", "present")).alias("blocks"))
     )
@@ -308,19 +321,21 @@ def impute(
     end: Instant,
     series: Series = TURBINES,
     profile: DataFrame | None = None,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """Complete the grid and fill its gaps from the hour-of-day profile.
 
     The profile is taken from the readings on the grid, since slots without a
     reading add nothing to a mean or a deviation. The readings are read three
     times, so give a stored table; pass ``profile`` to use one that is stored too,
-    which lets the join with it be planned on its real size.
+    which lets the join with it be planned on its real size, and their stored
+    ``presence`` as ``seen``.
     """
     placed = on_grid(readings, start, end, series)
     if profile is None:
         profile = hourly_profile(placed, series)
     completed = placed.unionByName(
-        missing_slots(readings, start, end, series), allowMissingColumns=True
+        missing_slots(readings, start, end, series, seen), allowMissingColumns=True
     )
     return fill_from_profile(attach_profile(completed, profile, series), series)
 
@@ -343,9 +358,10 @@ def process(
     end: Instant,
     series: Series = TURBINES,
     profile: DataFrame | None = None,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """Imputed and scored readings: the table all three outputs derive from."""
-    return add_zscores(impute(readings, start, end, series, profile), series)
+    return add_zscores(impute(readings, start, end, series, profile, seen), series)
 
 
 def replace_outliers(scored: DataFrame, series: Series = TURBINES) -> DataFrame:

@@ -15,7 +15,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.audit import Audit
@@ -30,8 +30,8 @@ from tierflow.operators.dedupe import remove_duplicates
 from tierflow.operators.metrics import add_grain, add_report_metadata, calculate_metrics
 from tierflow.operators.observe import Watch
 from tierflow.operators.quality import Expectations, add_rule_results
-from tierflow.sinks.tables import derive_partitions, publish_view, rebalance, save_table
-from tierflow.sources.files import scan_files, scan_table
+from tierflow.sinks.tables import derive_partitions, publish_view, rebalance, save_table, view_of
+from tierflow.sources.files import list_files, scan_files, scan_table
 from tierflow.staging import staged
 from tierflow.streaming.ingest import Ingested, ingest_new_files
 
@@ -378,8 +378,49 @@ def run_gold(spark: SparkSession, spec: Spec) -> LayerResult:
 # --- all -------------------------------------------------------------------
 
 
+def source_version(spark: SparkSession, spec: Spec) -> str:
+    """What the files of a bronze source are: their number, and a sum over names, times and sizes."""
+    files = list_files(spark, spec["source"]["path"])
+    state = F.xxhash64("file", "modified", "size").cast("decimal(38,0)")
+    n, total = files.agg(F.count("*"), F.sum(state)).first()
+    return f"{n}:{total or 0}"
+
+
+def _with_audit(spec: Spec, **values: str) -> Spec:
+    return {**spec, "audit": {**(spec.get("audit") or {}), **values}}
+
+
 def run_layers(
-    spark: SparkSession, bronze: Spec, silver: Spec, gold: Spec
+    spark: SparkSession, bronze: Spec, silver: Spec, gold: Spec, job_id: str | None = None
 ) -> tuple[LayerResult, LayerResult, LayerResult]:
-    """Bronze, silver and gold in turn; a failure stops the run."""
-    return run_bronze(spark, bronze), run_silver(spark, silver), run_gold(spark, gold)
+    """Bronze, silver and gold in turn; a failure stops the run.
+
+    With a ``job_id`` a run that failed can be run again: the audit table says which
+    layers the same job has finished on the same source, and those are not run
+    again. Bronze knows its source by its files, a later layer by the run of the
+    layer before, so all that follows a layer that is run again is run again, too.
+    """
+    steps = [("BRONZE", bronze, run_bronze), ("SILVER", silver, run_silver), ("GOLD", gold, run_gold)]
+    if job_id is None:
+        return tuple(run(spark, spec) for _, spec, run in steps)
+    results, version = [], source_version(spark, bronze)
+    for layer, spec, run in steps:
+        spec = _with_audit(spec, job_id=job_id, source_version=version)
+        done = Audit(spark, layer, spec["audit"]).completed()
+        if done is None:
+            results.append(run(spark, spec))
+            done = Audit(spark, layer, spec["audit"]).completed()
+        else:
+            log.info("%s of job %s is complete", layer, job_id)
+            results.append(_earlier(spec, done))
+        version = done.run_id
+    return tuple(results)
+
+
+def _earlier(spec: Spec, run: Row) -> LayerResult:
+    """What a finished run had returned, without its report."""
+    table, destination = _destination(spec), spec["destination"]
+    view = None
+    if destination.get("create_view"):
+        view = view_of(table, destination.get("view_name"))
+    return LayerResult(table, run.source_count, run.target_count, view=view)

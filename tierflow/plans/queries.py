@@ -658,7 +658,7 @@ def quality_report(spark, folder):
     AND l_discount >= 0 AND l_discount <= 1) AS quality_flag FROM lineitem) GROUP BY 1""",
 )
 def expectations_flagged(spark, folder):
-    flagged, _ = qual.validate_expectations(table(spark, folder, "lineitem"), LINE_RULES)
+    flagged = qual.validate_expectations(table(spark, folder, "lineitem"), LINE_RULES).flagged
     return rounded(
         flagged.groupBy("quality_flag").agg(
             F.count(F.lit(1)).alias("n_rows"), F.sum("l_quantity").alias("quantity")
@@ -865,13 +865,17 @@ def mask_phone_documents(spark, folder):
     )
 
 
-EMAIL_TEXT_SQL = r"([\w.%+-])[\w.%+-]*@([A-Za-z0-9])[A-Za-z0-9-]*((?:\.[A-Za-z0-9-]+)*)"
+_LOCAL_SQL = r"""[^\x00-\x20@<>(),;:"\[\]\\]"""
+EMAIL_TEXT_SQL = (
+    rf"({_LOCAL_SQL}){_LOCAL_SQL}*@(\[?[\p{{L}}\p{{N}}])[\p{{L}}\p{{N}}-]*((?:\.[\p{{L}}\p{{N}}-]+)*)"
+)
 
 
 @query(
     "mask_email_documents",
     f"""SELECT doc_id, md5(masked) AS masked, masked <> text AS changed FROM (
-    SELECT doc_id, text, CASE WHEN regexp_matches(text, '^(.)[^@]*@(.)[^.]*(\\..*)$')
+    SELECT doc_id, text, CASE WHEN regexp_matches(text, '^[^\\x00-\\x20@]+@[^\\x00-\\x20@]+$')
+      AND regexp_matches(text, '^(.)[^@]*@(.)[^.]*(\\..*)$')
       THEN regexp_replace(text, '^(.)[^@]*@(.)[^.]*(\\..*)$', '\\1***@\\2***\\3')
       ELSE regexp_replace(text, '{EMAIL_TEXT_SQL}', '\\1***@\\2***\\3', 'g') END AS masked
     FROM documents)""",
@@ -1132,7 +1136,7 @@ def upsert_new_column(spark, folder):
     return scan_table(spark, name)
 
 
-def _deliver(df: DataFrame, path: str, file: str) -> None:
+def deliver(df: DataFrame, path: str, file: str) -> None:
     """One Parquet file of this name, new or in place of an older one."""
     written, folder = stage(df.coalesce(1), "delivery")
     move(df.sparkSession, written.inputFiles()[0], f"{path}/{file}.parquet")
@@ -1144,7 +1148,7 @@ def ingest_two_sources(spark, folder):
     database, path = scratch_database(spark), new_path(spark, "deliveries")
     events = table(spark, folder, "events").select("event_id", "event_type")
     for source in ("odd", "even"):
-        _deliver(events.where(f"event_id % 2 = {int(source == 'odd')}"), path, source)
+        deliver(events.where(f"event_id % 2 = {int(source == 'odd')}"), path, source)
         for _ in range(2):
             ingest_new_files(spark, f"{path}/{source}.parquet", f"{database}.events", events.schema, "parquet")
     return scan_table(spark, f"{database}.events").select("event_id", "event_type")
@@ -1157,7 +1161,7 @@ def ingest_updated_file(spark, folder):
     events = table(spark, folder, "events").select("event_id", "event_type")
     for part in ("event_id % 3 = 0", "true"):
         for group in (0, 1):
-            _deliver(events.where(f"event_id % 2 = {group}").where(part), path, f"group{group}")
+            deliver(events.where(f"event_id % 2 = {group}").where(part), path, f"group{group}")
         ingest_new_files(spark, f"{path}/*", f"{database}.events", events.schema, "parquet")
     return scan_table(spark, f"{database}.events").select("event_id", "event_type")
 
@@ -1167,9 +1171,9 @@ def ingest_redelivered(spark, folder):
     """Two files of one run hold the same keys; the one written last counts."""
     database, path = scratch_database(spark), new_path(spark, "deliveries")
     events = table(spark, folder, "events").select("event_id", "event_type", "value")
-    _deliver(events.withColumn("value", F.lit(None).cast("double")), path, "b-first")
+    deliver(events.withColumn("value", F.lit(None).cast("double")), path, "b-first")
     time.sleep(1.1)
-    _deliver(events, path, "a-second")
+    deliver(events, path, "a-second")
     ingest_new_files(
         spark, f"{path}/*", f"{database}.events", events.schema, "parquet", keys=["event_id"]
     )
@@ -1185,7 +1189,7 @@ def ingest_audit(spark, folder):
     """Every row is there twice in its file; duplicates are dropped on the way."""
     database, path = scratch_database(spark), new_path(spark, "deliveries")
     events = table(spark, folder, "events").select("event_id", "event_type", "value")
-    _deliver(events.union(events), path, "twice")
+    deliver(events.union(events), path, "twice")
     bronze = {
         "source": {
             "path": f"{path}/twice.parquet", "format": "parquet", "schema": events.schema, "incremental": True,
@@ -1226,7 +1230,7 @@ def layered_errors(spark, folder):
     )
 
 
-def _layer_specs(database: str, folder: str) -> tuple[dict, dict, dict]:
+def layer_specs(database: str, folder: str) -> tuple[dict, dict, dict]:
     audit = {
         "audit_table": f"{database}.pipeline_audit",
         "error_table": f"{database}.pipeline_errors",
@@ -1304,7 +1308,7 @@ def _layer_specs(database: str, folder: str) -> tuple[dict, dict, dict]:
     FROM events GROUP BY 1, 2, 3, 7, 8""",
 )
 def layered_run(spark, folder):
-    _, _, gold = layers.run_layers(spark, *_layer_specs(scratch_database(spark), folder))
+    _, _, gold = layers.run_layers(spark, *layer_specs(scratch_database(spark), folder))
     return rounded(
         scan_table(spark, gold.view).drop("report_generated_at", "report_version")
     )
@@ -1320,7 +1324,7 @@ def layered_run(spark, folder):
 )
 def layered_audit(spark, folder):
     database = scratch_database(spark)
-    layers.run_layers(spark, *_layer_specs(database, folder))
+    layers.run_layers(spark, *layer_specs(database, folder))
     return scan_table(spark, f"{database}.pipeline_audit").select(
         "layer", "source_count", "target_count", "status"
     )
@@ -1353,7 +1357,7 @@ def layered_audit(spark, folder):
 )
 def layered_quality(spark, folder):
     database = scratch_database(spark)
-    bronze, silver, _ = _layer_specs(database, folder)
+    bronze, silver, _ = layer_specs(database, folder)
     layers.run_bronze(spark, bronze)
     layers.run_silver(spark, silver)
     return scan_table(spark, f"{database}.quality")

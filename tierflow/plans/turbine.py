@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tierflow.operators.dedupe import remove_duplicates
+from tierflow.operators.moments import store_moments, stored_profile
 from tierflow.operators.timeseries import (
     TURBINES,
     Instant,
@@ -18,12 +21,14 @@ from tierflow.operators.timeseries import (
     find_anomalies,
     hourly_profile,
     on_grid,
+    presence,
     process,
     replace_outliers,
     shared_slots,
 )
 from tierflow.sinks.upsert import upsert
 from tierflow.sources.files import load_window
+from tierflow.sources.zones import ZoneMap
 from tierflow.staging import staged
 
 Order = Sequence[Column | str] | None
@@ -39,6 +44,16 @@ class Outputs:
     file_format: str = "parquet"
     root: str | None = None
 
+    @property
+    def moments(self) -> str:
+        """Stored moments of each day, for the daily job."""
+        return f"{self.cleaned}__moments"
+
+    @property
+    def zones(self) -> str:
+        """The time ranges of source files, for the daily job."""
+        return f"{self.cleaned}__zones"
+
     @classmethod
     def within(cls, namespace: str, **options) -> Outputs:
         """The default table names inside ``catalog.schema`` or ``database``."""
@@ -154,16 +169,37 @@ def run_outputs(
         with staged(single, "single-readings") as stored:
             run_outputs(spark, stored, start, end, outputs, series)
         return
-    shared = shared_slots(readings, start, end, series).limit(1).collect()
-    if shared:
-        raise ValueError(f"several readings share one key: {shared[0].asDict()}")
     profile = hourly_profile(on_grid(readings, start, end, series), series)
-    with staged(profile, "profile") as stored_profile:
-        scored = process(readings, start, end, series, stored_profile)
-        with staged(scored, "scored") as stored:
-            cleaned = output_cleaned(spark, stored, outputs, series, keys_are_unique=True)
-            output_anomalies(spark, stored, outputs, series, keys_are_unique=True)
-            output_statistics(spark, cleaned, outputs, series)
+    with _single_presence(readings, start, end, series) as seen, staged(profile, "profile") as stored:
+        _score(spark, readings, start, end, outputs, series, stored, seen)
+
+
+@contextmanager
+def _single_presence(
+    readings: DataFrame, start: Instant, end: Instant, series: Series
+) -> Iterator[DataFrame]:
+    """The stored presence of readings, of which no two share a slot."""
+    with staged(presence(readings, start, end, series), "presence") as seen:
+        shared = shared_slots(readings, start, end, series, seen).limit(1).collect()
+        if shared:
+            raise ValueError(f"several readings share one key: {shared[0].asDict()}")
+        yield seen
+
+
+def _score(
+    spark: SparkSession,
+    readings: DataFrame,
+    start: Instant,
+    end: Instant,
+    outputs: Outputs,
+    series: Series,
+    profile: DataFrame,
+    seen: DataFrame,
+) -> None:
+    with staged(process(readings, start, end, series, profile, seen), "scored") as stored:
+        cleaned = output_cleaned(spark, stored, outputs, series, keys_are_unique=True)
+        output_anomalies(spark, stored, outputs, series, keys_are_unique=True)
+        output_statistics(spark, cleaned, outputs, series)
 
 
 def run_turbines(
@@ -183,3 +219,86 @@ def run_turbines(
     loaded = load_window(spark, path, start, end, schema, series.time)
     with staged(loaded.select(*series.columns), "readings") as readings:
         run_outputs(spark, readings, start, end, outputs, series, dedupe_source_on)
+
+
+# --- a day at a time -------------------------------------------------------
+
+
+@contextmanager
+def _readings_of(
+    spark: SparkSession,
+    path: str | list[str],
+    start: datetime,
+    end: datetime,
+    outputs: Outputs,
+    series: Series,
+    schema: StructType | str,
+    dedupe_source_on: Order,
+) -> Iterator[DataFrame]:
+    """Stored readings of ``[start, end)``, at most one per slot if an order is given."""
+    zones = ZoneMap(spark, outputs.zones, series.time)
+    with zones.window(path, start, end - timedelta(hours=1), schema) as found:
+        rows = found.rows.select(*series.columns)
+        if dedupe_source_on:
+            placed = on_grid(rows, start, end, series).select(*series.columns)
+            rows = remove_duplicates(placed, [series.entity, series.time], dedupe_source_on)
+        with staged(rows, "readings") as readings:
+            yield readings
+
+
+def refresh_moments(
+    spark: SparkSession,
+    path: str | list[str],
+    first: date,
+    last: date,
+    schema: StructType | str,
+    outputs: Outputs = Outputs(),
+    series: Series = TURBINES,
+    dedupe_source_on: Order = None,
+) -> None:
+    """Store the moments of the days from ``first`` to ``last``, both included.
+
+    For days that have come before the daily job began, or were corrected since.
+    """
+    start, end = _midnight(first), _midnight(last) + timedelta(days=1)
+    days = [first + timedelta(days=i) for i in range((last - first).days + 1)]
+    with (
+        _readings_of(spark, path, start, end, outputs, series, schema, dedupe_source_on) as readings,
+        _single_presence(readings, start, end, series),
+    ):
+        store_moments(spark, on_grid(readings, start, end, series), outputs.moments, days, series)
+
+
+def run_turbines_daily(
+    spark: SparkSession,
+    path: str | list[str],
+    day: date,
+    days: int,
+    schema: StructType | str,
+    outputs: Outputs = Outputs(),
+    series: Series = TURBINES,
+    dedupe_source_on: Order = None,
+) -> None:
+    """Bring the three tables up to date with one day, scored as part of its window.
+
+    The profile is that of the ``days`` days that end with ``day``, merged from
+    stored moments; readings are read of ``day`` alone, from the files that may hold
+    some. The rows of ``day`` are those that ``run_turbines`` over the whole window
+    gives; earlier days keep the scores they were given in their own run. Entities
+    that have readings on the grid anywhere in the window get a grid for the day.
+    """
+    start = _midnight(day)
+    end, first = start + timedelta(days=1), day - timedelta(days=days - 1)
+    with _readings_of(spark, path, start, end, outputs, series, schema, dedupe_source_on) as readings:
+        with _single_presence(readings, start, end, series) as seen:
+            store_moments(spark, on_grid(readings, start, end, series), outputs.moments, [day], series)
+            profile = stored_profile(spark, outputs.moments, first, day, series)
+            with staged(profile, "profile") as stored:
+                # Entities without a reading today are seen, in no block.
+                absent = stored.select(series.entity).distinct().join(seen, series.entity, "left_anti")
+                every = seen.unionByName(absent, allowMissingColumns=True)
+                _score(spark, readings, start, end, outputs, series, stored, every)
+
+
+def _midnight(day: date) -> datetime:
+    return datetime(day.year, day.month, day.day)

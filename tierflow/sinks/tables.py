@@ -183,11 +183,15 @@ def stored_as(spark: SparkSession, name: str) -> tuple[str, list[str]]:
     return provider, partitions
 
 
+def view_of(table: str, view_name: str | None = None) -> str:
+    *qualifier, short = table.split(".")
+    return ".".join([*qualifier, view_name or f"{short}_view"])
+
+
 def publish_view(
     spark: SparkSession, table: str, view_name: str | None = None
 ) -> str:
     """Create or replace a view over a table, by default ``{table}_view``."""
-    *qualifier, short = table.split(".")
-    view = ".".join([*qualifier, view_name or f"{short}_view"])
+    view = view_of(table, view_name)
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table}")
     return view

@@ -23,7 +23,7 @@ from tierflow.sinks.tables import table_exists
 from tierflow.staging import stage
 
 HASHES = ["row_hash", "row_check"]
-BUCKETS = 64
+BUCKETS = 32
 
 
 def row_hashes(columns: Sequence[str]) -> list[Column]:
