@@ -106,6 +106,11 @@ def user_readings(spark: SparkSession, folder: str) -> DataFrame:
     return _readings(spark, folder, "user_id")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Readings that come from an aggregation, for operators that read them several times."""
+    return stage(df, "readings")[0]
+
+
 def event_readings(spark: SparkSession, folder: str) -> DataFrame:
     """Every event is a reading: many copies per slot, and a few huge series."""
     return table(spark, folder, "events").select(
@@ -276,17 +281,17 @@ def hourly_profile(spark, folder):
 
 @query("imputed", series_sql(READINGS_SQL, IMPUTED_SELECT))
 def imputed(spark, folder):
-    return rounded(series.impute(readings(spark, folder), START, END))
+    return rounded(series.impute(stored(readings(spark, folder)), START, END))
 
 
 @query("user_imputed", series_sql(USER_READINGS_SQL, IMPUTED_SELECT))
 def user_imputed(spark, folder):
-    return rounded(series.impute(user_readings(spark, folder), START, END))
+    return rounded(series.impute(stored(user_readings(spark, folder)), START, END))
 
 
 @query("zscores", series_sql(READINGS_SQL, SCORED_SELECT))
 def zscores(spark, folder):
-    return rounded(series.process(readings(spark, folder), START, END))
+    return rounded(series.process(stored(readings(spark, folder)), START, END))
 
 
 @query("event_zscores", series_sql(EVENT_READINGS_SQL, SCORED_SELECT))
@@ -296,7 +301,7 @@ def event_zscores(spark, folder):
 
 @query("cleaned", series_sql(READINGS_SQL, CLEANED_SELECT))
 def cleaned(spark, folder):
-    scored = series.process(readings(spark, folder), START, END)
+    scored = series.process(stored(readings(spark, folder)), START, END)
     return rounded(series.replace_outliers(scored))
 
 
@@ -308,7 +313,7 @@ def event_cleaned(spark, folder):
 
 @query("anomalies", series_sql(READINGS_SQL, ANOMALIES_SELECT))
 def anomalies(spark, folder):
-    scored = series.process(readings(spark, folder), START, END)
+    scored = series.process(stored(readings(spark, folder)), START, END)
     return rounded(series.find_anomalies(scored))
 
 
@@ -320,13 +325,13 @@ def event_anomalies(spark, folder):
 
 @query("daily_statistics", series_sql(READINGS_SQL, DAILY_SELECT))
 def daily_statistics(spark, folder):
-    scored = series.process(readings(spark, folder), START, END)
+    scored = series.process(stored(readings(spark, folder)), START, END)
     return rounded(series.daily_statistics(series.replace_outliers(scored)))
 
 
 @query("user_daily_statistics", series_sql(USER_READINGS_SQL, DAILY_SELECT))
 def user_daily_statistics(spark, folder):
-    scored = series.process(user_readings(spark, folder), START, END)
+    scored = series.process(stored(user_readings(spark, folder)), START, END)
     return rounded(series.daily_statistics(series.replace_outliers(scored)))
 
 
