@@ -114,7 +114,7 @@ def test_small_memories_give_the_same(spark, odd_rows, monkeypatch):
                 found[row["lang"], row["source"], row["term"]] += row["n"]
 
     for text, (_, lang, source) in zip(texts, odd_rows):
-        if len(counts.terms.index) > counts.terms.limit:
+        if counts.terms.is_full:
             take()
         counts.add([text], [lang or ""], [source or ""])
     take()

@@ -23,7 +23,6 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierflow.llm.common import resident
+
 # Fixed values of the template, in the order of their reserved ids.
 BEGIN, END = "<s>", "</s>"
 USER, USER_END = "[INST]", "[/INST]"
@@ -97,9 +98,8 @@ class ChatEncoder:
         return "".join(out)
 
 
-@lru_cache(maxsize=2)
 def _encoder(ranks: str, pattern: str) -> ChatEncoder:
-    return ChatEncoder(ranks, pattern)
+    return resident(("chat", ranks, pattern), lambda: ChatEncoder(ranks, pattern))
 
 
 SCHEMA = T.StructType(

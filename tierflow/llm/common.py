@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -80,21 +81,24 @@ def append(
 
 def keep_where(
     docs: DataFrame,
-    added: list[str],
-    extend: Callable[[DataFrame, str], DataFrame],
-    condition: str,
+    make: Callable[[], Callable[[pa.Array], np.ndarray]],
     text: str = "text",
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
-    """Rows that satisfy ``condition`` on what ``extend`` adds, with their own columns.
+    """Rows for whose ``text`` the function that ``make`` gives says true, as they are.
 
-    Where a column of ``docs`` has the name of an added one, the rows travel as a
-    single struct, so that nothing of theirs is replaced.
+    Rows that go do not leave the worker, and no column is added on the way.
     """
-    if not {c.lower() for c in docs.columns} & {c.lower() for c in added}:
-        return extend(docs, text).where(condition).select(*[F.col(f"`{c}`") for c in docs.columns])
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    packed = docs.select(whole.alias("__whole"), F.col(text).alias("__text"))
-    return extend(packed, "__text").where(condition).select("__whole.*")
+    source = next(c for c in docs.columns if c.lower() == text.lower())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = make()
+        for batch in slices(batches, source, limit):
+            stay = step(batch.column(source))
+            if stay.any():
+                yield batch.filter(pa.array(stay))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def segment_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -118,17 +122,34 @@ def collector_paused() -> Iterator[None]:
 class Memory:
     """Numbers the pieces of texts; what is known of a piece is worked out once.
 
-    ``learn`` is called with the new pieces, in the order of their numbers. The
-    memory forgets everything, through ``forget``, before it outgrows ``limit``.
+    ``learn`` is called with the new pieces, in the order of their numbers. Before
+    the memory outgrows ``limit`` it forgets at least half of its pieces, those that
+    were met least; ``keep`` is called with the old numbers of those that stay, in
+    the order of their new ones.
     """
 
-    def __init__(self, learn, forget, limit: int = 500_000):
-        self.learn, self.forget, self.limit = learn, forget, limit
+    def __init__(self, learn, keep, limit: int = 150_000):
+        self.learn, self.keep, self.limit = learn, keep, limit
         self.index: dict = {}
+        self.met = np.zeros(0, np.int64)
+
+    @property
+    def is_full(self) -> bool:
+        """Whether the next call changes the numbers."""
+        return len(self.index) > self.limit
+
+    def forget(self) -> None:
+        met = self.met[: len(self.index)]
+        least = max(2, int(np.partition(met, len(met) // 2)[len(met) // 2]) + 1)
+        stay = np.flatnonzero(met >= least)
+        pieces = list(self.index)
+        self.index = {pieces[i]: n for n, i in enumerate(stay.tolist())}
+        # What was met long ago counts less and less.
+        self.met = met[stay] // 2
+        self.keep(stay)
 
     def numbers(self, pieces: list) -> np.ndarray:
-        if len(self.index) > self.limit:
-            self.index.clear()
+        if self.is_full:
             self.forget()
         known = map(self.index.get, pieces, repeat(-1))
         found = np.fromiter(known, np.int32, len(pieces))
@@ -141,9 +162,34 @@ class Memory:
             with collector_paused():
                 self.learn(new)
             found[missing] = [self.index[p] for p in unknown]
+        met = np.bincount(found, minlength=len(self.index))
+        met[: len(self.met)] += self.met
+        self.met = met
         return found
 
 
+# One thing per worker process: what the operator that ran last keeps between tasks.
+_resident: dict = {}
+
+
+def resident(key, make):
+    """What ``make`` gives, kept in this process until an operator asks for another key.
+
+    Workers go from one operator's tasks to the next one's; what the last one has
+    remembered goes back to the system then, and does not add up.
+    """
+    if key not in _resident:
+        if _resident:
+            _resident.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+        _resident[key] = make()
+    return _resident[key]
+
+
 class Rows:
     """A growing array of equal rows."""
 
@@ -167,6 +213,11 @@ class Rows:
     def view(self) -> np.ndarray:
         return self.data[: self.size]
 
+    def keep(self, numbers: np.ndarray) -> None:
+        """Only these rows, in this order."""
+        self.data = self.view()[numbers]
+        self.size = len(numbers)
+
 
 class Sequences:
     """A growing list of integer sequences of different lengths."""
@@ -186,6 +237,12 @@ class Sequences:
         self.ends.extend(np.cumsum(lengths) + self.values.size)
         self.values.extend(values)
 
+    def keep(self, numbers: np.ndarray) -> None:
+        """Only these sequences, in this order."""
+        values, lengths = self.gather(numbers)
+        self.clear()
+        self.extend_flat(values, lengths)
+
     def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The sequences of these numbers one after another, and their lengths."""
         ends = self.ends.view()

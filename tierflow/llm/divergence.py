@@ -69,7 +69,7 @@ class _Counts:
         self.shift, self.with_text = 64 - bits, with_text
         self.digests = Rows((), np.int64)
         self.fresh: list[tuple[list[bytes], np.ndarray]] = []
-        self.terms = Memory(self.learn, self.forget, 400_000)
+        self.terms = Memory(self.learn, self.keep, 300_000)
         self.names: list[bytes] = []
         self.groups: dict[tuple[str, str], int] = {}
         self.held: list[np.ndarray] = []
@@ -85,9 +85,10 @@ class _Counts:
         else:
             self.fresh.append((terms, digests))
 
-    def forget(self) -> None:
-        self.digests.clear()
-        self.names.clear()
+    def keep(self, numbers: np.ndarray) -> None:
+        self.digests.keep(numbers)
+        if self.with_text:
+            self.names = [self.names[i] for i in numbers.tolist()]
 
     def add(self, texts: list[bytes], langs: list[str], sources: list[str]) -> None:
         """The terms of some documents, each counted once per document and in all."""
@@ -155,8 +156,8 @@ def count_terms(docs: DataFrame, bits: int = DIGEST_BITS, with_text: bool = Fals
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = _Counts(bits, with_text)
         for batch in slices(batches, "text"):
-            # Numbers of terms hold until the memory forgets them.
-            if len(counts.terms.index) > counts.terms.limit:
+            # Numbers of terms hold until the memory forgets some.
+            if counts.terms.is_full:
                 yield from counts.flush()
             with collector_paused():
                 langs, sources = (batch.column(c).to_pylist() for c in ("lang", "source"))

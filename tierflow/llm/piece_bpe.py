@@ -14,14 +14,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tierflow.llm.common import Memory, Sequences, append, octets, segment_sums
+from tierflow.llm.common import Memory, Sequences, append, octets, resident, segment_sums
 
 MARK = "\N{LOWER ONE EIGHTH BLOCK}"
 _MARK = MARK.encode()
@@ -50,7 +49,7 @@ class PieceEncoder:
         self.opens = np.array([model.id_to_piece(i).startswith(MARK) for i in kinds])
         self.by_chunk = self._has_plain_markers()
         self.ids = Sequences()
-        self.chunks = Memory(self.learn, self.ids.clear, 300_000)
+        self.chunks = Memory(self.learn, self.ids.keep, 200_000)
 
     def _surface(self, i: int) -> bytes:
         model = self.library
@@ -112,9 +111,8 @@ class PieceEncoder:
         return self.library.decode(ids)
 
 
-@lru_cache(maxsize=2)
 def piece_encoder(path: str) -> PieceEncoder:
-    return PieceEncoder(path)
+    return resident(("pieces", path), lambda: PieceEncoder(path))
 
 
 IDS = T.StructType(
