@@ -27,6 +27,7 @@ from tierflow.llm.common import (
     append,
     keep_where,
     octets,
+    resident,
     segment_sums,
     share,
     slices,
@@ -35,6 +36,7 @@ from tierflow.llm.common import (
 BUCKETS = 1 << 16
 FOLLOWS, SEEN = BUCKETS, BUCKETS + 1
 SIZES = (1, 2, 3)
+PER_STEP = 20_000
 FIELDS = T.StructType(
     [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
 )
@@ -51,6 +53,42 @@ def word_buckets(word: bytes) -> list[int]:
     return found
 
 
+def _crc_table() -> np.ndarray:
+    """Steps of crc32 by byte."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = (table >> 1) ^ (np.uint32(0xEDB88320) * (table & 1))
+    return table
+
+
+_CRC = _crc_table()
+
+
+def all_buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """``word_buckets`` of many words, one after another, and how many each has.
+
+    The words lie in one array; the n-grams of a length are hashed at all places at
+    once, and those that cross the end of a word are left out.
+    """
+    marked = [b"<" + w + b">" for w in words]
+    sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+    data = np.frombuffer(b"".join(marked), np.uint8)
+    word = np.repeat(np.arange(len(marked)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(data))
+    found = [np.fromiter(map(zlib.crc32, marked), np.int64, len(marked)) % BUCKETS]
+    owner = [np.arange(len(marked))]
+    for n in SIZES:
+        places = np.flatnonzero(left >= n)
+        crc = np.full(len(places), ~np.uint32(n), np.uint32)
+        for k in range(n):
+            crc = _CRC[(crc ^ data[places + k]) & 0xFF] ^ (crc >> 8)
+        found.append((~crc % BUCKETS).astype(np.int64))
+        owner.append(word[places])
+    owners = np.concatenate(owner)
+    order = np.argsort(owners, kind="stable")
+    return np.concatenate(found)[order], np.bincount(owners, minlength=len(marked))
+
+
 def repetition(numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per document: words that follow themselves, and words that occurred before."""
     docs = np.repeat(np.arange(len(counts)), counts)
@@ -65,7 +103,7 @@ def repetition(numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each document's buckets with their counts."""
     index: dict[bytes, int] = {}
-    memory = Memory(lambda words: None, lambda: None)
+    memory = Memory(lambda words: None, lambda numbers: None)
     for batch in slices(batches, "text"):
         lists = [t.split() for t in octets(batch.column("text"))]
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
@@ -108,14 +146,29 @@ def train(
     batch: int = 32,
     seed: int = 7,
 ) -> QualityModel:
-    """Embeddings and output layer by gradient descent on the cross-entropy."""
+    """What embeddings and output layer, once trained, say of label 1 against label 0."""
     if len(set(labels.tolist())) < 2:
         sure = 0.0 if not len(labels) else (4.0 if labels[0] else -4.0)
         return QualityModel(np.zeros(BUCKETS + 2, np.float32), sure)
+    vectors, output, bias = train_embeddings(docs, labels, dim, epochs, rate, batch, seed)
+    gains = vectors @ (output[:, 1] - output[:, 0])
+    return QualityModel(gains.astype(np.float32), float(bias[1] - bias[0]))
+
+
+def train_embeddings(
+    docs: list[tuple[np.ndarray, np.ndarray]],
+    labels: np.ndarray,
+    dim: int,
+    epochs: int,
+    rate: float,
+    batch: int,
+    seed: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Embeddings, output layer and bias by gradient descent on the cross-entropy."""
     random = np.random.default_rng(seed)
     vectors = random.uniform(-1 / dim, 1 / dim, (BUCKETS + 2, dim)).astype(np.float32)
     output = np.zeros((dim, 2), np.float32)
-    # Both labels weigh the same in the gradient; their ratio goes into the bias.
+    # Each row weighs the same, so the ratio of the labels goes into the bias.
     bias = np.zeros(2, np.float32)
     shares = [
         (b, (w / max(1, w.sum())).astype(np.float32)) for b, w in docs
@@ -144,8 +197,7 @@ def train(
                 [np.bincount(inverse, pull[:, k], len(unique)) for k in range(dim)], axis=1
             )
             vectors[unique] -= (step * change).astype(np.float32)
-    gains = vectors @ (output[:, 1] - output[:, 0])
-    return QualityModel(gains.astype(np.float32), float(bias[1] - bias[0]))
+    return vectors, output, bias
 
 
 def fit_quality(
@@ -196,15 +248,15 @@ class _Scorer:
         self.model = model
         self.gains = model.gains.astype(np.float64)
         self.rows = Rows((2,), np.float64)
-        self.memory = Memory(self.learn, self.rows.clear)
+        self.memory = Memory(self.learn, self.rows.keep)
 
     def learn(self, words: list[bytes]) -> None:
-        buckets = [word_buckets(w) for w in words]
-        counts = np.fromiter(map(len, buckets), np.int64, len(buckets))
-        sums = segment_sums(self.gains[[b for x in buckets for b in x]], counts)
-        self.rows.extend(np.stack([sums, counts], axis=1))
+        for at in range(0, len(words), PER_STEP):
+            buckets, counts = all_buckets(words[at : at + PER_STEP])
+            sums = segment_sums(self.gains[buckets], counts)
+            self.rows.extend(np.stack([sums, counts], axis=1))
 
-    def __call__(self, column: pa.Array) -> list[pa.Array]:
+    def scores(self, column: pa.Array) -> np.ndarray:
         lists = [t.split() for t in octets(column)]
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         numbers = self.memory.numbers([w for x in lists for w in x])
@@ -213,11 +265,15 @@ class _Scorer:
             sums[:, 0] += self.gains[bucket] * times
             sums[:, 1] += times
         means = sums[:, 0] / np.maximum(1, sums[:, 1])
-        scores = (1 / (1 + np.exp(-(means + self.model.bias)))).round(6)
+        return (1 / (1 + np.exp(-(means + self.model.bias)))).round(6)
+
+    def __call__(self, column: pa.Array) -> list[pa.Array]:
+        scores = self.scores(column)
         return [pa.array(scores, pa.float64()), pa.array((scores >= 0.5).astype(np.int32), pa.int32())]
 
 
-_scorers: dict[str, _Scorer] = {}
+def _scorer(shared) -> _Scorer:
+    return resident(("quality", shared.value.key), lambda: _Scorer(shared.value))
 
 
 def score_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
@@ -227,23 +283,15 @@ def score_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> D
     Columns named like the result are replaced, others pass; nothing is shuffled.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def make():
-        key = shared.value.key
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = _Scorer(shared.value)
-        return _scorers[key]
-
-    return append(docs, FIELDS, make, text)
+    return append(docs, FIELDS, lambda: _scorer(shared), text)
 
 
 def keep_good(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
     """Documents that the classifier predicts label 1 for."""
-    return keep_where(
-        docs,
-        FIELDS.names,
-        lambda rows, column: score_quality(rows, model, column),
-        "predicted = 1",
-        text,
-    )
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        scorer = _scorer(shared)
+        return lambda column: scorer.scores(column) >= 0.5
+
+    return keep_where(docs, make, text)
