@@ -5,6 +5,16 @@ n-grams. A word of a text that the model knows is scored by its frequency in
 each language. An unknown word is scored at each of its positions by the
 longest known n-gram that starts there. Evidence adds up over the whole text;
 the score is the share of the chosen language in the posterior.
+
+A token is kept with the languages that have it, and by how much the log of its
+frequency there exceeds that of a token which a language lacks; what all
+languages share takes no part in the posterior. So a model is as large as its
+tokens, however many languages it knows.
+
+The posterior only weighs languages against each other. Whether a text is in any
+of them is told by its evidence: the mean over its words of how much of a word is
+covered by what the chosen language knows, 1 for a known word, else from 0 where
+single letters are all that is found at its places to 1 where the longest n-grams are.
 """
 
 from __future__ import annotations
@@ -18,15 +28,17 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow.llm.common import (
     Memory,
     Rows,
+    Sequences,
     append,
     keep_where,
+    resident,
     segment_sums,
     share_of_each,
     slices,
@@ -39,19 +51,32 @@ LONGEST_GRAM = 4
 LENGTHS = range(LONGEST_GRAM, 0, -1)
 UNDETERMINED = "und"
 FIELDS = T.StructType(
-    [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    [
+        T.StructField("lang_pred", T.StringType()),
+        T.StructField("score", T.DoubleType()),
+        T.StructField("evidence", T.DoubleType()),
+    ]
 )
+SLICE = 1 << 20
+
+
+@dataclass
+class Tokens:
+    """Tokens, and one after another the languages of each with its excess there."""
+
+    names: list[str]
+    lengths: np.ndarray
+    langs: np.ndarray
+    excess: np.ndarray
 
 
 @dataclass
 class LanguageModel:
-    """Tokens with one row of centred log frequencies per language."""
+    """Languages by the number of their documents, and what is known of them."""
 
     languages: list[str]
-    words: list[str]
-    word_scores: np.ndarray
-    grams: list[str]
-    gram_scores: np.ndarray
+    words: Tokens
+    grams: Tokens
     key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
@@ -81,38 +106,39 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _scores(pairs: pa.Table, languages: list[str]) -> tuple[list[str], np.ndarray]:
-    """Tokens, and per language the log frequency of each, centred over languages.
+def _tokens(pairs: pa.Table, languages: list[str]) -> Tokens:
+    """Tokens with their languages.
 
     What a language lacks has the same small frequency in each of them, so that
     languages with little text are not favoured.
     """
-    found = pairs["token"].to_pylist()
-    tokens = list(dict.fromkeys(found))
-    place = {t: i for i, t in enumerate(tokens)}
-    counts = np.zeros((len(tokens), len(languages)))
     column = {x: i for i, x in enumerate(languages)}
-    columns = [column[x] for x in pairs["lang"].to_pylist()]
-    counts[[place[t] for t in found], columns] = pairs["n"].to_numpy()
-    totals = np.maximum(1, counts.sum(axis=0))
-    logs = np.log(counts / totals + 0.5 / totals.max()) if tokens else counts
-    return tokens, logs - logs.mean(axis=1, keepdims=True) if tokens else logs
+    names = pairs["token"].combine_chunks().dictionary_encode()
+    tokens = np.asarray(names.indices, np.int64)
+    order = np.argsort(tokens, kind="stable")
+    langs = np.array([column[x] for x in pairs["lang"].to_pylist()], np.int64)[order]
+    counts = pairs["n"].to_numpy()[order].astype(np.float64)
+    totals = np.maximum(1, np.bincount(langs, counts, len(languages)))
+    floor = 0.5 / totals.max() if len(totals) else 1.0
+    excess = np.log(counts / totals[langs] + floor) - np.log(floor)
+    lengths = np.bincount(tokens, minlength=len(names.dictionary))
+    return Tokens(names.dictionary.to_pylist(), lengths, langs.astype(np.int32), excess)
 
 
 def fit_languages(
     labelled: DataFrame,
     key: str = "doc_id",
     max_docs: int = 1500,
-    max_tokens: int = 60_000,
+    max_tokens: int = 240_000,
 ) -> LanguageModel:
     """Learn from ``text`` and ``lang``; rows where either is null teach nothing.
 
     About ``max_docs`` rows of each language, chosen by a hash of ``key``, are read
-    whole; of the words and of the n-grams of each language the ``max_tokens`` most
-    frequent make the model, ties in the order of a hash, so its size has a bound
-    in the number of languages alone. Each language with a word among the rows
-    read is known. Without rows, or with none that has a word, the model knows no
-    language and predicts ``und``.
+    whole. A model has ``max_tokens`` words and as many n-grams at most, an equal
+    part for each language, of which the most frequent are taken, ties in the order
+    of a hash; so its size has a bound, whatever the number of languages. Each
+    language with a word among the rows read is known. Without rows, or with none
+    that has a word, the model knows no language and predicts ``und``.
     """
     rows, docs = share_of_each(
         labelled.where("text IS NOT NULL AND lang IS NOT NULL").select(key, "text", "lang"),
@@ -127,118 +153,177 @@ def fit_languages(
         .agg(F.sum("n").alias("n"))
     )
     counts, _ = stage(counts, "language-counts")
-    sizes = counts.groupBy("kind", "lang").count().collect()
-    languages = sorted({r.lang for r in sizes}, key=lambda x: (-docs[x], x))
+    found = {r[0] for r in counts.select("lang").distinct().collect()}
+    languages = sorted(found, key=lambda x: (-docs[x], x))
+    most = max_tokens // max(1, len(languages))
+    order = Window.partitionBy("kind", "lang").orderBy(F.desc("n"), F.xxhash64("token", F.lit(7)), "token")
+    taken = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max(1, most))
+    chosen = taken.select("kind", "lang", "token", "n").toArrow().sort_by([("token", "ascending"), ("lang", "ascending")])
+    kinds = np.array(chosen["kind"].to_pylist(), object)
+    words, grams = (
+        _tokens(chosen.filter(pa.array(kinds == kind, pa.bool_())), languages) for kind in ("word", "gram")
+    )
+    return LanguageModel(languages, words, grams)
 
-    def pairs(kind: str) -> pa.Table:
-        """All pairs of the languages within the bound, and the most frequent ones of each beyond."""
-        some = counts.where(F.col("kind") == kind).select("lang", "token", "n")
-        beyond = [r.lang for r in sizes if r.kind == kind and r["count"] > max_tokens]
-        found = [some.where(~F.col("lang").isin(beyond)).toArrow()]
-        for lang in beyond:
-            order = F.desc("n"), F.xxhash64("token", F.lit(7)), "token"
-            found.append(some.where(F.col("lang") == lang).orderBy(*order).limit(max_tokens).toArrow())
-        return pa.concat_tables(found)
 
-    words, word_scores = _scores(pairs("word"), languages)
-    grams, gram_scores = _scores(pairs("gram"), languages)
-    return LanguageModel(languages, words, word_scores, grams, gram_scores)
+class _Known:
+    """Looks tokens up, and lists the languages of some of them."""
+
+    def __init__(self, tokens: Tokens):
+        self.place = {t: i for i, t in enumerate(tokens.names)}
+        self.langs, self.excess = Sequences(np.int32), Sequences(np.float64)
+        self.langs.extend_flat(tokens.langs, tokens.lengths)
+        self.excess.extend_flat(tokens.excess, tokens.lengths)
+
+    def entries(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        langs, lengths = self.langs.gather(numbers)
+        return langs, self.excess.gather(numbers)[0], lengths
 
 
 class _Scorer:
     def __init__(self, model: LanguageModel):
-        self.model = model
-        self.words = {w: i for i, w in enumerate(model.words)}
-        self.grams = {g: i for i, g in enumerate(model.grams)}
-        width = len(model.languages)
-        self.scores, self.letters = Rows((width,), np.float64), Rows((), np.int64)
-        self.memory = Memory(self.learn, self.forget, 150_000)
-
-    def forget(self) -> None:
-        self.scores.clear()
-        self.letters.clear()
+        self.languages = model.languages
+        self.words, self.grams = _Known(model.words), _Known(model.grams)
+        # Per remembered word its languages, with the excess and the cover of each.
+        self.langs, self.values = Sequences(np.int32), Rows((2,), np.float64)
+        self.letters = Rows((), np.int64)
+        self.memory = Memory(self.learn, self.keep, 150_000)
+
+    def keep(self, numbers: np.ndarray) -> None:
+        places = self.places(numbers)[0]
+        self.langs.keep(numbers)
+        self.values.keep(places)
+        self.letters.keep(numbers)
+
+    def places(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the entries of some words lie, and how many each has."""
+        ends = self.langs.ends.view()
+        starts = np.concatenate([[0], ends[:-1]])[numbers]
+        lengths = ends[numbers] - starts
+        shift = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+        return np.arange(len(shift)) + shift, lengths
 
     def learn(self, words: list[str]) -> None:
-        known = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
-        scores = self.model.word_scores[known] if len(self.model.words) else known[:, None] * 0.0
-        unseen = np.flatnonzero(known < 0)
+        get = self.words.place.get
+        known = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
+        seen, unseen = np.flatnonzero(known >= 0), np.flatnonzero(known < 0)
+        langs, excess, lengths = self.words.entries(known[seen])
+        owner, cover = np.repeat(seen, lengths), np.ones(len(langs))
         found: list[int] = []
-        counts = [self.backoff(words[i], found) for i in unseen.tolist()]
+        sizes: list[int] = []
+        counts = np.array([self.backoff(words[i], found, sizes) for i in unseen.tolist()], np.int64)
         if found:
-            sums = segment_sums(self.model.gram_scores[found], np.array(counts))
             # Neighbouring grams overlap, so each character counts about once.
-            scores[unseen] = sums / LONGEST_GRAM
-        else:
-            scores[unseen] = 0.0
-        self.scores.extend(scores)
+            more, part, lengths = self.grams.entries(np.array(found))
+            span = np.array([len(words[i]) + 2 for i in unseen.tolist()])
+            shares = (np.array(sizes) - 1) / (LONGEST_GRAM - 1) / np.repeat(span, counts)
+            langs, excess = np.concatenate([langs, more]), np.concatenate([excess, part / LONGEST_GRAM])
+            owner = np.concatenate([owner, np.repeat(np.repeat(unseen, counts), lengths)])
+            cover = np.concatenate([cover, np.repeat(shares, lengths)])
+        width = max(1, len(self.languages))
+        keys, back = np.unique(owner * width + langs, return_inverse=True)
+        sums = [np.bincount(back, v, len(keys)) for v in (excess, cover)]
+        self.values.extend(np.stack(sums, axis=1))
+        self.langs.extend_flat(keys % width, np.bincount(keys // width, minlength=len(words)))
         self.letters.extend([w.isalpha() or any(map(str.isalpha, w)) for w in words])
 
-    def backoff(self, word: str, found: list[int]) -> int:
+    def backoff(self, word: str, found: list[int], sizes: list[int]) -> int:
         """Append the longest known n-gram at each position; how many there are."""
-        marked, before, get = f"<{word}>", len(found), self.grams.get
+        marked, before, get = f"<{word}>", len(found), self.grams.place.get
         for i in range(len(marked)):
             for n in LENGTHS:
                 row = get(marked[i : i + n])
                 if row is not None:
                     found.append(row)
+                    # A gram that reaches the end of the word could not be longer.
+                    sizes.append(LONGEST_GRAM if i + n >= len(marked) else n)
                     break
         return len(found) - before
 
-    def __call__(self, column: pa.Array) -> list[pa.Array]:
-        languages = self.model.languages
+    def judge(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per text the number of its language, or -1, the score, and the evidence."""
         texts = [WORD.findall(t.lower()) for t in strings(column)]
-        if not languages:
-            return [
-                pa.array([UNDETERMINED] * len(texts), pa.string()),
-                pa.array([0.0] * len(texts), pa.float64()),
-            ]
-        counts = np.fromiter(map(len, texts), np.int64, len(texts))
+        n, width = len(texts), len(self.languages)
+        if not width:
+            return np.full(n, -1), np.zeros(n), np.zeros(n)
+        counts = np.fromiter(map(len, texts), np.int64, n)
         numbers = self.memory.numbers([w for t in texts for w in t])
-        total = segment_sums(self.scores.view()[numbers], counts)
         letters = segment_sums(self.letters.view()[numbers], counts)
+        places, lengths = self.places(numbers)
+        cell = np.repeat(np.repeat(np.arange(n), counts) * width, lengths) + self.langs.values.view()[places]
+        values = self.values.view()[places]
+        total, cover = (
+            np.bincount(cell, values[:, k], n * width).reshape(n, width) for k in (0, 1)
+        )
         shares = np.exp(total - total.max(axis=1, keepdims=True))
         shares /= shares.sum(axis=1, keepdims=True)
         # Sums depend on the neighbours in the batch in their last digits.
         shares = shares.round(6)
         best = shares.argmax(axis=1)
         known = letters > 0
-        return [
-            pa.array([languages[b] if k else UNDETERMINED for b, k in zip(best, known)], pa.string()),
-            pa.array(np.where(known, shares.max(axis=1), 0.0), pa.float64()),
-        ]
+        evidence = (cover[np.arange(n), best] / np.maximum(1, counts)).round(6)
+        return np.where(known, best, -1), np.where(known, shares.max(axis=1), 0.0), np.where(known, evidence, 0.0)
+
+    def __call__(self, column: pa.Array) -> list[pa.Array]:
+        best, score, evidence = self.judge(column)
+        names = [self.languages[b] if b >= 0 else UNDETERMINED for b in best.tolist()]
+        return [pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(evidence, pa.float64())]
 
 
-_scorers: dict[str, _Scorer] = {}
+def _scorer(shared) -> _Scorer:
+    return resident(("language", shared.value.key), lambda: _Scorer(shared.value))
 
 
 def identify_languages(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """Add ``lang_pred`` and ``score`` (0 to 1) to each row; nothing is shuffled.
+    """Add ``lang_pred``, ``score`` and ``evidence`` (0 to 1) to each row; nothing is shuffled.
 
-    ``und`` with score 0 where the text is null or has no letter, or where the
-    model knows no language. A text without known words or n-grams goes to the
-    most frequent language with an even score. Columns named like the result
-    are replaced; all others, repeated rows and an empty table pass unchanged.
+    ``und`` with zeros where the text is null or has no letter, or where the model
+    knows no language. A text without known words or n-grams goes to the most
+    frequent language with an even score and no evidence. Columns named like the
+    result are replaced; all others, repeated rows and an empty table pass unchanged.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    return append(docs, FIELDS, lambda: _scorer(shared), text, SLICE)
 
-    def make():
-        key = shared.value.key
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = _Scorer(shared.value)
-        return _scorers[key]
 
-    return append(docs, FIELDS, make, text, limit=1 << 20)
+def least_evidence(
+    labelled: DataFrame,
+    model: LanguageModel,
+    key: str = "doc_id",
+    max_docs: int = 300,
+    share: float = 0.6,
+) -> float:
+    """The evidence that a text in one of the languages may be expected to have.
+
+    A ``share`` of the median over about ``max_docs`` labelled rows of each language:
+    prose varies by a few hundredths around that median, whatever the languages are,
+    while texts of other languages and random letters lie far below.
+    """
+    rows, _ = share_of_each(
+        labelled.where("text IS NOT NULL AND lang IS NOT NULL").select(key, "text", "lang"), key, "lang", max_docs
+    )
+    found = identify_languages(rows, model).where(f"lang_pred <> '{UNDETERMINED}'")
+    middle = found.agg(F.expr("percentile(evidence, 0.5)")).first()[0]
+    return share * (middle or 0.0)
 
 
 def keep_identified(
-    docs: DataFrame, model: LanguageModel, min_score: float = 0.3, text: str = "text"
+    docs: DataFrame,
+    model: LanguageModel,
+    min_score: float = 0.3,
+    min_evidence: float = 0.0,
+    text: str = "text",
 ) -> DataFrame:
-    """Documents whose language is determined with ``min_score`` at least."""
-    return keep_where(
-        docs,
-        FIELDS.names,
-        lambda rows, column: identify_languages(rows, model, column),
-        f"lang_pred <> '{UNDETERMINED}' AND score >= {min_score}",
-        text,
-    )
+    """Documents in one of the languages: determined with ``min_score`` and ``min_evidence`` at least."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        scorer = _scorer(shared)
+
+        def stays(column: pa.Array) -> np.ndarray:
+            best, score, evidence = scorer.judge(column)
+            return (best >= 0) & (score >= min_score) & (evidence >= min_evidence)
+
+        return stays
+
+    return keep_where(docs, make, text, SLICE)
