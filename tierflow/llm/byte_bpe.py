@@ -15,9 +15,8 @@ reused for all later text, and forgotten together when there are too many.
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Callable
-from functools import lru_cache, partial
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +24,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tierflow.llm.common import Memory, Sequences, append, octets, segment_sums
+from tierflow.llm.common import Memory, Sequences, append, octets, resident, segment_sums
 
 ROOT, DEAD, START, SETTLED = 0, -1, -1, -2
+SLICE = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -111,13 +111,13 @@ class Transducer:
             self.pairs[pair] = fits
         return fits
 
-    def build(self, state: int, byte: int) -> int:
-        """The next state, times two, plus one if tokens are settled on the way."""
+    def advance(self, state: int, byte: int) -> tuple[list, int]:
+        """The entries of a state after a byte, and the token that ends with it."""
         moved, candidates = [], []
-        child, accepts, inner = self.child, self.accepts, self.inner
+        child, accepts, inner = self.child.get, self.accepts, self.inner
         for back, last, node in self.states[state]:
             if node >= 0:
-                node = child.get(node << 8 | byte, DEAD)
+                node = child(node << 8 | byte, DEAD)
                 if node >= 0:
                     if accepts[node] >= 0:
                         candidates.append((last, accepts[node]))
@@ -127,11 +127,14 @@ class Transducer:
         if not candidates:
             raise ValueError("the vocabulary lacks a byte")
         # Exactly one candidate is right, so the last one needs no look.
-        chosen = candidates[-1][1]
         for last, token in candidates[:-1]:
             if self.fits(last, token):
-                chosen = token
-                break
+                return moved, token
+        return moved, candidates[-1][1]
+
+    def build(self, state: int, byte: int) -> int:
+        """The next state, times two, plus one if tokens are settled on the way."""
+        moved, chosen = self.advance(state, byte)
         moved.append((0, chosen, ROOT))
         oldest, lengths = moved[0][0], self.lengths
         followers: dict[int, int] = {}
@@ -172,14 +175,31 @@ class Transducer:
         self.rests[state] = tuple(reversed(found))
         return self.rests[state]
 
+    def finish(self, state: int, byte: int) -> list[int]:
+        """The tokens that are open when the text ends with a byte.
+
+        For a step that is not known: most are met once, at the end of a rare word,
+        and no state is made for what nothing follows.
+        """
+        moved, chosen = self.advance(state, byte)
+        place, lengths = {e[0]: e[1] for e in moved}, self.lengths
+        found, at = [chosen], lengths[chosen]
+        while at != moved[0][0]:
+            found.append(place[at])
+            at += lengths[place[at]]
+        found.reverse()
+        return found
+
     def encode(self, match: bytes) -> list[int]:
         whole = self.ranks.get(match)
         if whole is not None:
             return [whole]
         if len(self.steps) > self.max_transitions:
             self.reset()
+        if not match:
+            return []
         state, out, get = 0, [], self.steps.get
-        for byte in match:
+        for byte in match[:-1]:
             key = state << 8 | byte
             step = get(key)
             if step is None:
@@ -187,63 +207,38 @@ class Transducer:
             if step & 1:
                 out += self.settled[key]
             state = step >> 1
+        key = state << 8 | match[-1]
+        step = get(key)
+        if step is None:
+            return out + self.finish(state, match[-1])
+        if step & 1:
+            out += self.settled[key]
+        state = step >> 1
         rest = self.rests.get(state)
         return out + list(self.rest(state) if rest is None else rest)
 
 
-# White space other than blanks and line ends, or what might be taken for it.
-OTHER_SPACE = re.compile(
-    rb"[\x00-\x09\x0b-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e"
-    rb"|\xe2\x80[\x80-\x8f\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
-)
-# A match of the pattern has white space at its beginning only, so a text may be
-# cut before any white space that follows something else.
-CHUNK = re.compile(rb"[ \n]*[^ \n]+|[ \n]+")
-
-
 class ByteEncoder:
-    """Ids of texts; chunks and matches that have been met are remembered."""
+    """Ids of texts; matches that have been met are remembered."""
 
     def __init__(self, path: str, pattern: str):
         self.transducer = Transducer(read_ranks(path))
         self.pattern = regex.compile(pattern)
-        self.ids, self.match_ids = Sequences(), Sequences()
-        self.chunks = Memory(self.learn, self.ids.clear, 200_000)
-        self.matches = Memory(self.learn_matches, self.match_ids.clear, 250_000)
+        self.ids = Sequences()
+        self.matches = Memory(self.learn, self.ids.keep, 300_000)
 
-    def learn_matches(self, matches: list[str]) -> None:
+    def learn(self, matches: list[str]) -> None:
         encode = self.transducer.encode
-        self.match_ids.extend([encode(m.encode()) for m in matches])
+        self.ids.extend([encode(m.encode()) for m in matches])
 
-    def from_matches(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and how many each has."""
         find = self.pattern.findall
         lists = [find(t.decode()) for t in texts]
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
-        numbers = self.matches.numbers([m for x in lists for m in x])
-        values, lengths = self.match_ids.gather(numbers)
+        values, lengths = self.ids.gather(self.matches.numbers([m for x in lists for m in x]))
         return values, segment_sums(lengths, counts)
 
-    def learn(self, chunks: list[bytes]) -> None:
-        self.ids.extend_flat(*self.from_matches(chunks))
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after another, and how many each has."""
-        odd = [OTHER_SPACE.search(t) is not None for t in texts]
-        lists = [() if o else CHUNK.findall(t) for t, o in zip(texts, odd)]
-        counts = np.fromiter(map(len, lists), np.int64, len(lists))
-        values, lengths = self.ids.gather(self.chunks.numbers([c for x in lists for c in x]))
-        sizes = segment_sums(lengths, counts)
-        if any(odd):
-            others, other_sizes = self.from_matches([t for t, o in zip(texts, odd) if o])
-            parts, sizes_of = np.split(values, np.cumsum(sizes)[:-1]), iter(other_sizes.tolist())
-            at = 0
-            for i in np.flatnonzero(odd).tolist():
-                size = next(sizes_of)
-                parts[i], sizes[i] = others[at : at + size], size
-                at += size
-            values = np.concatenate(parts)
-        return values, sizes
-
 
 # ------------------------------------------------------------------ decoding
 
@@ -263,6 +258,10 @@ _NEXT = [
 REPLACEMENT = "\N{REPLACEMENT CHARACTER}".encode()
 
 
+# Ids whose bytes go to the stream at once.
+PER_PIECE = 1 << 16
+
+
 class Utf8Stream:
     """Turns bytes that come in pieces into whole characters.
 
@@ -275,8 +274,15 @@ class Utf8Stream:
         self.state, self.open = 0, b""
 
     def feed(self, piece: bytes) -> bytes:
-        if not self.open and piece.isascii():
-            return piece
+        if not self.open:
+            # What is whole already passes at once; the machine takes over where it is not.
+            try:
+                piece.decode()
+                return piece
+            except UnicodeDecodeError as error:
+                whole, piece = piece[: error.start], piece[error.start :]
+        else:
+            whole = b""
         out, state, begun = bytearray(), self.state, bytearray(self.open)
         for b in piece:
             target = _NEXT[state].get(b)
@@ -295,7 +301,7 @@ class Utf8Stream:
                 out += begun
                 begun.clear()
         self.state, self.open = state, bytes(begun)
-        return bytes(out)
+        return whole + bytes(out)
 
     def close(self) -> bytes:
         rest = REPLACEMENT if self.open else b""
@@ -304,46 +310,34 @@ class Utf8Stream:
 
 
 class ByteDecoder:
-    """Bytes and text of ids; tokens of whole characters need no look at their bytes."""
+    """Bytes and text of ids."""
 
     def __init__(self, path: str):
         self.tokens = {r: t for t, r in read_ranks(path).items()}
-        size = max(self.tokens, default=-1) + 1
-        self.whole = np.zeros(size, bool)
-        for rank, token in self.tokens.items():
-            stream = Utf8Stream()
-            self.whole[rank] = stream.feed(token) == token and not stream.open
 
     def octets(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
     def text(self, ids: np.ndarray) -> bytes:
         """UTF-8 of the decoded text, replacement characters for what is broken."""
-        if self.whole[ids].all():
-            return self.octets(ids)
-        stream, out, at = Utf8Stream(), [], 0
-        broken = np.flatnonzero(~self.whole[ids]).tolist()
-        for i in broken:
-            if i < at:
-                continue
-            out.append(self.octets(ids[at:i]))
-            at = i
-            while at < len(ids) and (at == i or stream.open or not self.whole[ids[at]]):
-                out.append(stream.feed(self.tokens[int(ids[at])]))
-                at += 1
-        out.append(self.octets(ids[at:]))
+        stream, out = Utf8Stream(), []
+        for at in range(0, len(ids), PER_PIECE):
+            out.append(stream.feed(self.octets(ids[at : at + PER_PIECE])))
         out.append(stream.close())
         return b"".join(out)
 
 
-@lru_cache(maxsize=2)
 def _encoder(path: str, pattern: str) -> ByteEncoder:
-    return ByteEncoder(path, pattern)
+    return resident(("bytes", path, pattern), lambda: ByteEncoder(path, pattern))
 
 
-@lru_cache(maxsize=2)
 def _decoder(path: str) -> ByteDecoder:
-    return ByteDecoder(path)
+    return resident(("octets", path), lambda: ByteDecoder(path))
+
+
+def _coder(path: str, pattern: str) -> tuple[ByteEncoder, ByteDecoder]:
+    """Both in one, where one worker does both."""
+    return resident(("both", path, pattern), lambda: (ByteEncoder(path, pattern), ByteDecoder(path)))
 
 
 IDS = T.StructType(
@@ -377,7 +371,7 @@ def encode_bytes(docs: DataFrame, ranks: str, pattern: str, text: str = "text")
 
         return step
 
-    return append(docs, IDS, make, text)
+    return append(docs, IDS, make, text, SLICE)
 
 
 def _round_trip(encoder: ByteEncoder, decoder: ByteDecoder, column: pa.Array) -> list[pa.Array]:
@@ -390,9 +384,9 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str, text: str = "text") ->
     """``encode_bytes``, and ``decoded_bytes``, what the streaming decoder makes of the ids, in one Python worker."""
 
     def make() -> Callable[[pa.Array], list[pa.Array]]:
-        return partial(_round_trip, _encoder(ranks, pattern), _decoder(ranks))
+        return partial(_round_trip, *_coder(ranks, pattern))
 
-    return append(docs, T.StructType([*IDS, DECODED[0]]), make, text)
+    return append(docs, T.StructType([*IDS, DECODED[0]]), make, text, SLICE)
 
 
 def decode_bytes(encoded: DataFrame, ranks: str, ids: str = "ids") -> DataFrame:
@@ -408,9 +402,7 @@ def decode_bytes(encoded: DataFrame, ranks: str, ids: str = "ids") -> DataFrame:
         def step(column: pa.Array) -> list[pa.Array]:
             lists = [np.frombuffer(x, "<u4") for x in octets(column)]
             exact = [decoder.octets(x) for x in lists]
-            clean = [
-                e if decoder.whole[x].all() else decoder.text(x) for x, e in zip(lists, exact)
-            ]
+            clean = [decoder.text(x) for x in lists]
             return [
                 pa.array(exact, pa.binary()),
                 pa.array(clean, pa.binary()).cast(pa.string()),
