@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.llm.common import append, keep_where, octets
+from tierflow.llm.common import append, keep_where, octets, resident
 from tierflow.staging import stage
 
 WINDOW = 10
@@ -214,18 +215,14 @@ def _rank(match: dict) -> tuple:
     return -match["length"], match["start"], item is None, item or 0, match["item_start"]
 
 
-_blocks: dict[str, TestSuffixes] = {}
+def _suffixes(shared) -> TestSuffixes:
+    name, rows = shared.value
+    return resident(("benchmark", name), lambda: TestSuffixes(rows))
 
 
-def _search_block(docs: DataFrame, items: list, text: str, key: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast((key, items))
-
+def _search_block(docs: DataFrame, shared, text: str) -> DataFrame:
     def make():
-        name, rows = shared.value
-        if name not in _blocks:
-            _blocks.clear()
-            _blocks[name] = TestSuffixes(rows)
-        suffixes = _blocks[name]
+        suffixes = _suffixes(shared)
 
         def step(column: pa.Array) -> list[pa.Array]:
             found = suffixes.search(octets(column))
@@ -238,17 +235,28 @@ def _search_block(docs: DataFrame, items: list, text: str, key: str) -> DataFram
     return append(docs, FIELDS, make, text)
 
 
-def benchmark_blocks(
-    benchmark: DataFrame, item: str = "item_id", text: str = "text", limit: int = BLOCK_BYTES
-) -> Iterator[list[tuple[int | None, bytes]]]:
-    """The items in blocks of about ``limit`` bytes; an item stays in one block."""
-    rows = benchmark.select(F.col(item).cast("long").alias("item_id"), F.col(text).alias("text"))
-    rows = rows.where("text IS NOT NULL")
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // limit))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    for k in range(blocks):
-        yield [(r.item_id, r.text.encode()) for r in rows.where(part == k).distinct().collect()]
+class Benchmark:
+    """The items in ``blocks`` blocks of about ``limit`` bytes; an item stays in one.
+
+    Several blocks are stored as a table, and the driver holds one of them at a time.
+    """
+
+    def __init__(self, items: DataFrame, limit: int = BLOCK_BYTES, item: str = "item_id", text: str = "text"):
+        rows = items.select(F.col(item).cast("long").alias("item_id"), F.col(text).alias("text"))
+        rows = rows.where("text IS NOT NULL")
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        self.blocks = max(1, -(-size // limit))
+        part = F.pmod(F.xxhash64("item_id", "text"), F.lit(self.blocks))
+        dealt = rows.distinct().withColumn("part", part)
+        self.rows = dealt if self.blocks == 1 else stage(dealt, "benchmark")[0]
+
+    def block(self, k: int):
+        """A block, broadcast under a name that its items give it."""
+        rows = self.rows.where(F.col("part") == k).select("item_id", "text").collect()
+        items = [(r.item_id, r.text.encode()) for r in rows]
+        items.sort(key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+        name = hashlib.sha256(repr(items).encode()).hexdigest()
+        return self.rows.sparkSession.sparkContext.broadcast((name, items))
 
 
 def _merged(lists: list[list[list[int]]]) -> list[list[int]]:
@@ -295,15 +303,19 @@ def find_contamination(
     table gives no hits or no rows. With one block nothing is shuffled.
     """
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
-    blocks = list(_named_blocks(benchmark, block_bytes))
-    if len(blocks) == 1:
-        return _search_block(rows, blocks[0][1], "text", blocks[0][0]).drop("text")
+    held = Benchmark(benchmark, block_bytes)
+    if held.blocks == 1:
+        return _search_block(rows, held.block(0), "text").drop("text")
     # Rows get a number of their own, since ids may be null or repeat.
     rows, _ = stage(rows.withColumn("row", F.expr("uuid()")), "decontaminate")
-    parts = [_search_block(rows, items, "text", key).drop("text") for key, items in blocks]
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
+    parts = []
+    for k in range(held.blocks):
+        shared = held.block(k)
+        found = _search_block(rows, shared, "text").drop("text")
+        # The first block gives every document its words, the others their hits.
+        parts.append(stage(found.where("n_hit > 0") if k else found, "hits")[0])
+        shared.destroy()
+    every = reduce(DataFrame.unionByName, parts)
     longest = F.struct(
         (-F.col("longest.length")).alias("rank"),
         F.col("longest.start").alias("at"),
@@ -323,20 +335,31 @@ def find_contamination(
     return merged.mapInArrow(_merge, schema).drop("row")
 
 
-def _named_blocks(benchmark: DataFrame, limit: int):
-    for items in benchmark_blocks(benchmark, limit=limit):
-        items.sort(key=lambda x: (x[0] is None, x[0] or 0, x[1]))
-        yield hashlib.sha256(repr(items).encode()).hexdigest(), items
-
-
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """Documents without a hit word, with all their columns; nothing is shuffled."""
-    for key, items in _named_blocks(benchmark, block_bytes):
+    """Documents without a hit word, with all their columns.
 
-        def search(rows: DataFrame, column: str, items=items, key=key) -> DataFrame:
-            return _search_block(rows, items, column, key)
-
-        docs = keep_where(docs, FIELDS.names, search, "n_hit = 0", text)
-    return docs
+    With one block nothing is shuffled. With several the documents are stored with a
+    number each, and the numbers of those that any block hits are taken out.
+    """
+    held = Benchmark(benchmark, block_bytes)
+
+    def clean(shared):
+        def make():
+            suffixes = _suffixes(shared)
+            return lambda column: np.array([f[1] == 0 for f in suffixes.search(octets(column))])
+
+        return make
+
+    if held.blocks == 1:
+        return keep_where(docs, clean(held.block(0)), text)
+    row = "__row"
+    rows, _ = stage(docs.withColumn(row, F.expr("uuid()")), "decontaminate")
+    hits = []
+    for k in range(held.blocks):
+        shared = held.block(k)
+        found = _search_block(rows.select(row, F.col(text).alias("__text")), shared, "__text")
+        hits.append(stage(found.where("n_hit > 0").select(row), "hits")[0])
+        shared.destroy()
+    return rows.join(reduce(DataFrame.union, hits).distinct(), row, "left_anti").drop(row)
