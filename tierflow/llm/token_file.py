@@ -11,6 +11,7 @@ shard.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.llm.common import Memory, Sequences, octets, segment_sums, slices
+from tierflow.llm.common import Memory, Sequences, octets, resident, segment_sums, slices
 
 # ---------------------------------------------------------------- Elias-Fano
 
@@ -106,13 +107,36 @@ class EliasFano:
 # ---------------------------------------------------------------- tokenizing
 
 # What the library does to these pieces is known without it: Latin letters are
-# lower-cased one by one, composed already, and split as in SPLIT. All other
-# pieces go to the library whole.
+# lower-cased one by one, composed already, and split as in SPLIT, if all of them are
+# still among its letters then. All other pieces go to the library whole, and all
+# pieces of a tokenizer that does not say that it splits and lower-cases like this.
 PLAIN = re.compile("[!-~À-ÖØ-öø-ɏ]+")
+LOWER = re.compile("[!-~ß-öø-ɏ]+")
+# The parts of a tokenizer file that say so.
+NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏªº]+|[0-9]|[^a-zß-öø-ɏ0-9]+")
 PER_CALL = 1000
 
 
+def splits_plainly(path: str) -> bool:
+    """Whether a tokenizer file normalizes and splits as SPLIT takes it to."""
+    with open(path, "rb") as file:
+        parts = json.load(file)
+    normalizer, splitter = parts.get("normalizer") or {}, parts.get("pre_tokenizer") or {}
+    first = (splitter.get("pretokenizers") or [{}])[0]
+    return (
+        normalizer.get("normalizers") == NORMALIZERS
+        and first.get("pattern") == {"Regex": SPLITTER}
+        and (first.get("behavior"), first.get("invert")) == ("Removed", True)
+        and [p.get("use_regex") for p in splitter["pretokenizers"][1:]] == [False]
+    )
+
+
 class WordEncoder:
     """Ids of texts by a tokenizer that drops white space and marks word ends.
 
@@ -131,19 +155,26 @@ class WordEncoder:
         self.is_end = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.is_end[i] = token.endswith("</w>")
+        self.splits_plainly = splits_plainly(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ids, self.word_ids = Sequences(), Sequences()
-        self.pieces = Memory(self.learn, self.ids.clear, 400_000)
-        self.words = Memory(self.learn_words, self.word_ids.clear, 600_000)
+        self.pieces = Memory(self.learn, self.ids.keep, 200_000)
+        self.words = Memory(self.learn_words, self.word_ids.keep, 300_000)
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def is_plain(self, piece: str) -> bool:
+        return (
+            self.splits_plainly
+            and PLAIN.fullmatch(piece) is not None
+            and LOWER.fullmatch(piece.lower()) is not None
+            and not any(s in piece for s in self.special)
+        )
+
     def learn(self, pieces: list[bytes]) -> None:
         texts = [p.decode() for p in pieces]
-        plain = [
-            PLAIN.fullmatch(t) is not None and not any(s in t for s in self.special) for t in texts
-        ]
+        plain = [self.is_plain(t) for t in texts]
         parts = [SPLIT.findall(t.lower()) if p else [] for t, p in zip(texts, plain)]
         counts = np.fromiter(map(len, parts), np.int64, len(parts))
         values, lengths = self.word_ids.gather(self.words.numbers([w for x in parts for w in x]))
@@ -177,13 +208,8 @@ class WordEncoder:
         return values, segment_sums(lengths, counts)
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def word_encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return resident(("words", path), lambda: WordEncoder(path))
 
 
 # -------------------------------------------------------------------- blocks
