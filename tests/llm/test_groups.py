@@ -332,7 +332,7 @@ def test_sql(spark, folder, name):
 
 
 def test_every_operator_has_a_query():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 def test_pipeline_stages(spark, folder):
