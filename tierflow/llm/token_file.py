@@ -106,12 +106,12 @@ class EliasFano:
 
 # ---------------------------------------------------------------- tokenizing
 
-# What the library does to these pieces is known without it: Latin letters are
+# What the library does to these texts is known without it: Latin letters are
 # lower-cased one by one, composed already, and split as in SPLIT, if all of them are
-# still among its letters then. All other pieces go to the library whole, and all
-# pieces of a tokenizer that does not say that it splits and lower-cases like this.
-PLAIN = re.compile("[!-~À-ÖØ-öø-ɏ]+")
-LOWER = re.compile("[!-~ß-öø-ɏ]+")
+# still among its letters then. Of all other texts the pieces between white space go
+# to the library whole, and so do those of a tokenizer that does not say that it splits and lower-cases like this.
+PLAIN = re.compile("[\\t-\\r -~À-ÖØ-öø-ɏ]*")
+LOWER = re.compile("[\\t-\\r -~ß-öø-ɏ]*")
 # The parts of a tokenizer file that say so.
 NORMALIZERS = [
     {"type": "NFC"},
@@ -119,7 +119,7 @@ NORMALIZERS = [
     {"type": "Lowercase"},
 ]
 SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏªº]+|[0-9]|[^a-zß-öø-ɏ0-9]+")
+SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏªº]+|[0-9]|[^\\t-\\r a-zß-öø-ɏ0-9]+")
 PER_CALL = 1000
 
 
@@ -140,9 +140,10 @@ def splits_plainly(path: str) -> bool:
 class WordEncoder:
     """Ids of texts by a tokenizer that drops white space and marks word ends.
 
-    White space separates what the tokenizer looks at, so a text's ids are those
-    of its pieces; each piece is encoded once and remembered. New words reach the
-    library many at a time and are told apart by their end-of-word tokens.
+    White space separates what the tokenizer looks at, so a text's ids are those of
+    its words, or, where these are not known, of its pieces; both are encoded once
+    and remembered. New words reach the library many at a time and are told apart
+    by their end-of-word tokens.
     """
 
     def __init__(self, path: str):
@@ -158,38 +159,39 @@ class WordEncoder:
         self.splits_plainly = splits_plainly(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ids, self.word_ids = Sequences(), Sequences()
-        self.pieces = Memory(self.learn, self.ids.keep, 200_000)
-        self.words = Memory(self.learn_words, self.word_ids.keep, 300_000)
+        self.pieces = Memory(self.learn, self.ids.keep, 100_000)
+        self.words = Memory(self.learn_words, self.word_ids.keep, 400_000)
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def is_plain(self, piece: str) -> bool:
-        return (
-            self.splits_plainly
-            and PLAIN.fullmatch(piece) is not None
-            and LOWER.fullmatch(piece.lower()) is not None
-            and not any(s in piece for s in self.special)
-        )
+    def plain_words(self, text: str) -> list[str] | None:
+        """The words of a text, if it is known what the library takes for them."""
+        if not self.splits_plainly or PLAIN.fullmatch(text) is None:
+            return None
+        lowered = text.lower()
+        if LOWER.fullmatch(lowered) is None or any(s in text for s in self.special):
+            return None
+        return SPLIT.findall(lowered)
 
     def learn(self, pieces: list[bytes]) -> None:
         texts = [p.decode() for p in pieces]
-        plain = [self.is_plain(t) for t in texts]
-        parts = [SPLIT.findall(t.lower()) if p else [] for t, p in zip(texts, plain)]
-        counts = np.fromiter(map(len, parts), np.int64, len(parts))
-        values, lengths = self.word_ids.gather(self.words.numbers([w for x in parts for w in x]))
-        sizes = segment_sums(lengths, counts)
-        if all(plain):
-            self.ids.extend_flat(values, sizes)
-            return
+        words = [self.plain_words(t) for t in texts]
+        values, sizes = self.of_words([w or [] for w in words])
         ends = np.cumsum(sizes)
         self.ids.extend(
             [
-                values[e - n : e].tolist() if p else self.whole(t)
-                for t, p, e, n in zip(texts, plain, ends.tolist(), sizes.tolist())
+                self.whole(t) if w is None else values[e - n : e].tolist()
+                for t, w, e, n in zip(texts, words, ends.tolist(), sizes.tolist())
             ]
         )
 
+    def of_words(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of lists of words one after another, and how many each list has."""
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        values, lengths = self.word_ids.gather(self.words.numbers([w for x in lists for w in x]))
+        return values, segment_sums(lengths, counts)
+
     def learn_words(self, words: list[str]) -> None:
         for at in range(0, len(words), PER_CALL):
             some = words[at : at + PER_CALL]
@@ -202,10 +204,18 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and how many each has."""
-        pieces = [t.split() for t in texts]
+        words = [self.plain_words(t.decode()) for t in texts]
+        odd = [i for i, w in enumerate(words) if w is None]
+        values, sizes = self.of_words([w or [] for w in words])
+        if not odd:
+            return values, sizes
+        pieces = [texts[i].split() for i in odd]
         counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        values, lengths = self.ids.gather(self.pieces.numbers([p for x in pieces for p in x]))
-        return values, segment_sums(lengths, counts)
+        others, lengths = self.ids.gather(self.pieces.numbers([p for x in pieces for p in x]))
+        # Texts of pieces have no ids of words, so theirs go where these would be.
+        places = np.repeat((np.cumsum(sizes) - sizes)[odd], segment_sums(lengths, counts))
+        sizes[odd] = segment_sums(lengths, counts)
+        return np.insert(values, places, others), sizes
 
 
 def word_encoder(path: str) -> WordEncoder:
