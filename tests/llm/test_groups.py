@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from itertools import combinations, product
 
 import duckdb
 import numpy as np
@@ -225,10 +226,71 @@ def test_no_rule_is_lost_to_a_limit(spark):
     assert found[frozenset({"h:weak"}), "block"] == 0.9
     assert found[frozenset(f"p:{c}" for c in five), "block"] == 1.0
     assert all(len(r.tokens) == 1 for r in rules if r.tokens & {"h:g0", "p:t0x0"})
+    (of_g0,) = (r for r in rules if "h:g0" in r.tokens)
+    assert of_g0.choices() == [{"h:g0", *(f"p:t0x{i}" for i in range(8))}]
     for r in rules:
         assert not any(s.tokens < r.tokens and s.verdict == r.verdict and s.confidence >= r.confidence for s in rules)
 
 
+def slow_rules(rows, least, min_confidence=0.8):
+    """Confidence of all rules that are surer than each part of theirs, by tokens and label."""
+    urls = [(frozenset(tokens), label) for tokens, label in rows]
+    every = {frozenset(c) for tokens, _ in urls for n in range(1, len(tokens) + 1) for c in combinations(sorted(tokens), n)}
+    sure = {}
+    for tokens in every:
+        of = [label for have, label in urls if tokens <= have]
+        for label in set(of):
+            if of.count(label) >= least:
+                sure[tokens, label] = of.count(label) / len(of)
+    return {
+        (t, label): c
+        for (t, label), c in sure.items()
+        if c >= min_confidence
+        and not any(sure[p, m] >= c for p, m in sure if m == label and p < t)
+    }
+
+
+def one_by_one(rules):
+    """Each choice of tokens of each rule."""
+    return {(frozenset(c), r.verdict): r.confidence for r in rules for c in product(*r.choices())}
+
+
+def test_mined_rules_against_brute_force(spark):
+    rng = random.Random(8)
+    for _ in range(4):
+        rows = []
+        for _ in range(60):
+            words = {w for w in "abcdef" if rng.random() < 0.5} | {"always"}
+            words |= {"b2"} if "b" in words else set()
+            words |= {"sure"} if rng.random() < 0.2 else set()
+            label = "block" if "sure" in words or ("a" in words and "c" in words) or rng.random() < 0.2 else "allow"
+            rows.append((sorted(words), label))
+        urls = [(f"://h/{'/'.join(words)}", label) for words, label in rows]
+        rules = url_rules.mine_rules(spark.createDataFrame(urls, "url string, label string"), min_support=0.1)
+        named = [(["h:h", *(f"p:{w}" for w in words)], label) for words, label in rows]
+        # What brute force takes for two rules of one set of rows is one rule with choices.
+        assert one_by_one(rules) == slow_rules(named, 6)
+
+
+def test_many_shared_parameters(spark):
+    """Forty parameters that URLs of two labels share are one token, not 2^40 combinations."""
+    shared = "&".join(f"k{i}=v{i}" for i in range(40))
+    rows = [(f"http://a.biz/win?{shared}", "block")] * 60 + [(f"http://a.biz/read?{shared}", "allow")] * 60
+    rows += [("http://b.biz/win", "allow")] * 20
+    rules = url_rules.mine_rules(spark.createDataFrame(rows, "url string, label string"))
+    expected = slow_rules([(["p:win", "h:a"], "block"), (["p:read", "h:a"], "allow")] * 60 + [(["p:win", "h:b"], "allow")] * 20, 2)
+    shape = {frozenset(min(c & {"p:win", "h:a", "p:read", "h:b"}, default="") for c in r.choices()): r for r in rules}
+    assert {(t, r.verdict): r.confidence for t, r in shape.items() if "" not in t} == expected
+    both = shape[frozenset({"p:win", "h:a"})]
+    assert {f"q:k{i}" for i in range(40)} <= set().union(*both.choices())
+    long = "&".join(f"x{i}=y" for i in range(20_000))
+    asked = [(1, f"http://a.biz/win?{long}"), (1, f"http://a.biz/win?{long}"), (2, "http://z.z/win?k7=v7")]
+    pages = spark.createDataFrame(asked, "page_id long, url string")
+    got = url_rules.judge_urls(pages, [], rules)
+    assert plain(got, "page_id", "verdict") == [(1, "block"), (1, "block"), (2, "block")]
+    assert url_rules.judge_urls(pages.limit(0), URL_RULES, rules).count() == 0
+
+
 def test_index_finds_the_best_rule_of_all():
     rng = random.Random(2)
     for _ in range(200):

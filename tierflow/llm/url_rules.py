@@ -3,6 +3,8 @@
 Spark's FP-growth mines frequent combinations of URL tokens together with the
 label of the URL. A combination becomes a rule for its more frequent label if
 its support and confidence suffice and no part of it says the same as surely.
+Before mining, tokens that stand in exactly the same URLs become one, and tokens
+that no combination can gain from are set aside: see ``_frequent_classes``.
 Rules are matched by an inverted index from tokens to rules: only rules that
 share a token with the URL are looked at, and one holds once all its tokens
 have been met.
@@ -10,6 +12,7 @@ have been met.
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from dataclasses import dataclass
 from functools import reduce
@@ -85,15 +88,36 @@ def url_tokens(url: Column) -> Column:
 
 @dataclass(frozen=True)
 class MinedRule:
+    """``verdict`` holds where each of ``tokens``, or one that it ``stands_for``, occurs.
+
+    ``stands_for`` has the tokens that occurred in exactly the same labelled URLs
+    as one of ``tokens``, by that token: the rule is one for each choice of them.
+    """
+
     tokens: frozenset[str]
     verdict: str
     confidence: float
     support: float
+    stands_for: tuple[tuple[str, tuple[str, ...]], ...] = ()
 
     def rank(self) -> tuple:
         """Surer rules first, then better supported, then shorter ones."""
         return -self.confidence, -self.support, len(self.tokens), sorted(self.tokens), self.verdict
 
+    def choices(self) -> list[set[str]]:
+        """For each of ``tokens`` those that may stand in its place, itself among them."""
+        others = dict(self.stands_for)
+        return [{t, *others.get(t, ())} for t in sorted(self.tokens)]
+
+
+@dataclass(frozen=True)
+class _TokenClass:
+    """Tokens of exactly the same labelled URLs: how many these are, by label and in all."""
+
+    tokens: list[str]
+    labels: dict[str, int]
+    count: int
+
 
 def mine_rules(
     labelled: DataFrame,
@@ -104,30 +128,88 @@ def mine_rules(
 ) -> list[MinedRule]:
     """Rules from the labels of URLs; all labelled rows count.
 
-    Every frequent combination of tokens may make a rule, whatever its length;
-    their number has a bound in ``min_support``, not in the rows, and none but
-    the redundant ones are left out. Rows without URL or label teach nothing;
-    without any there are no rules.
+    Every frequent combination of tokens may make a rule, whatever its length,
+    and none but the redundant ones are left out. Work grows with combinations of
+    tokens that occur in different sets of URLs, under more than one label;
+    however many tokens URLs share beyond that, they count as one. Rows without
+    URL or label teach nothing; without any there are no rules.
     """
     rows = labelled.where(f"{url} IS NOT NULL AND {label} IS NOT NULL").select(
-        F.concat(
-            url_tokens(F.col(url)), F.array(F.concat(F.lit(LABEL), F.col(label).cast("string")))
-        ).alias("items")
+        url_tokens(F.col(url)).alias("tokens"),
+        F.concat(F.lit(LABEL), F.col(label).cast("string")).alias("label"),
     )
+    rows, _ = stage(rows, "labelled-urls")
     total = rows.count()
     if not total:
         return []
-    mined = FPGrowth(itemsCol="items", minSupport=min_support).fit(rows)
-    rules, depth = _label_rules(mined.freqItemsets, total)
+    least = math.ceil(min_support * total)
+    classes = _frequent_classes(rows, least)
+    found = [
+        ((c.tokens[0],), label, n / c.count, n / total)
+        for c in classes
+        for label, n in c.labels.items()
+        if n >= least and n / c.count >= min_confidence
+    ]
+    # What one more token can make surer: not what is sure, nor what is in all URLs.
+    open_ = [c.tokens[0] for c in classes if c.count < total and max(c.labels.values()) < c.count]
+    if len(open_) > 1:
+        items = F.array_intersect("tokens", F.array(*map(F.lit, open_)))
+        mined = FPGrowth(itemsCol="items", minSupport=min_support).fit(
+            rows.select(F.concat(items, F.array("label")).alias("items"))
+        )
+        rules, depth = _label_rules(mined.freqItemsets, total)
+        found += map(tuple, _not_redundant(rules, depth, min_confidence).collect())
+    others = {c.tokens[0]: tuple(c.tokens[1:]) for c in classes if len(c.tokens) > 1}
     return sorted(
         (
-            MinedRule(frozenset(r.tokens), r.label[len(LABEL) :], r.confidence, r.support)
-            for r in _not_redundant(rules, depth, min_confidence).collect()
+            MinedRule(
+                frozenset(tokens),
+                label[len(LABEL) :],
+                confidence,
+                support,
+                tuple((t, others[t]) for t in sorted(tokens) if t in others),
+            )
+            for tokens, label, confidence, support in found
         ),
         key=MinedRule.rank,
     )
 
 
+def _frequent_classes(rows: DataFrame, least: int) -> list[_TokenClass]:
+    """Tokens that ``least`` rows of one label have, gathered by the rows they occur in.
+
+    Rows are told apart by hashes of their token lists, summed by token: two tokens
+    are of one class if they are in as many rows and two sums of 64-bit hashes agree.
+    As 1 / support tokens of a URL's length are frequent at most, their number does
+    not grow with rows.
+
+    A combination with two tokens of a class, or one token that is in all rows, is
+    met in the same rows without it. One with a token that has a single label
+    cannot be surer than that token. So no such combination makes a rule.
+    """
+    hashes = [F.xxhash64("tokens", F.lit(seed)).cast("decimal(38,0)") for seed in (1, 2)]
+    each = rows.select(F.explode("tokens").alias("token"), "label", *[h.alias(f"h{i}") for i, h in enumerate(hashes)])
+    counted = each.groupBy("token", "label").agg(
+        F.count("*").alias("n"), F.sum("h0").alias("h0"), F.sum("h1").alias("h1")
+    )
+    frequent = (
+        counted.groupBy("token")
+        .agg(
+            F.sum("n").alias("count"),
+            F.sum("h0").alias("h0"),
+            F.sum("h1").alias("h1"),
+            F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("labels"),
+            F.max("n").alias("most"),
+        )
+        .where(F.col("most") >= least)
+    )
+    classes: dict[tuple, _TokenClass] = {}
+    for r in frequent.orderBy("token").collect():
+        one = classes.setdefault((r["count"], r["h0"], r["h1"]), _TokenClass([], r["labels"], r["count"]))
+        one.tokens.append(r["token"])
+    return list(classes.values())
+
+
 def _label_rules(itemsets: DataFrame, total: int) -> tuple[DataFrame, int]:
     """``tokens`` (sorted), ``label``, ``confidence`` and ``support`` of all, and the longest size."""
     labels = F.filter("items", lambda x: x.startswith(LABEL))
@@ -150,14 +232,13 @@ def _label_rules(itemsets: DataFrame, total: int) -> tuple[DataFrame, int]:
 
 
 def _not_redundant(rules: DataFrame, depth: int, min_confidence: float) -> DataFrame:
-    """Rules of ``min_confidence`` that are surer than each part of theirs.
+    """Rules of ``min_confidence`` and of two tokens or more, surer than each part of theirs.
 
     All parts of a frequent combination are frequent, so the surest part of one
     is found among those with one token less and what was the surest in them.
     """
-    kept = rules.where("n = 1").select("tokens", "label", "confidence", "support")
-    levels = [kept.where(F.col("confidence") >= min_confidence)]
-    surest = kept.select("tokens", "label", F.col("confidence").alias("surest"))
+    levels = [rules.where("false").select("tokens", "label", "confidence", "support")]
+    surest = rules.where("n = 1").select("tokens", "label", F.col("confidence").alias("surest"))
     for n in range(2, depth + 1):
         parts = rules.where(F.col("n") == n).select(
             "tokens",
@@ -182,19 +263,21 @@ class RuleIndex:
     def __init__(self, rules: list[MinedRule], default: str):
         self.rules, self.default = rules, default
         self.sizes = [len(r.tokens) for r in rules]
-        self.postings: dict[str, list[int]] = defaultdict(list)
+        # Token to (rule, place): tokens that stand for each other share a place.
+        self.postings: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for i, rule in enumerate(rules):
-            for token in rule.tokens:
-                self.postings[token].append(i)
+            for place, choice in enumerate(rule.choices()):
+                for token in choice:
+                    self.postings[token].append((i, place))
 
     def verdict(self, tokens: set[str]) -> str:
-        met: dict[int, int] = defaultdict(int)
+        met: dict[int, set[int]] = defaultdict(set)
         best = len(self.rules)
         for token in tokens:
-            for i in self.postings.get(token, ()):
+            for i, place in self.postings.get(token, ()):
                 if i < best:
-                    met[i] += 1
-                    if met[i] == self.sizes[i]:
+                    met[i].add(place)
+                    if len(met[i]) == self.sizes[i]:
                         best = i
         return self.rules[best].verdict if best < len(self.rules) else self.default
 
