@@ -472,6 +472,31 @@ def test_odd_conversations(spark):
     assert chat_format.format_conversations(turns.limit(0), RANKS, split_pattern()).count() == 0
 
 
+def test_hot_conversation_is_encoded_where_it_is_read(spark):
+    """Most rows are one conversation; its turns are encoded by all tasks, and stay in order."""
+    roles = ["user", "assistant", "tool"]
+    rows = [(7, i // 2, roles[i % 3], f"turn {i} <s> " + "z" * (i % 50)) for i in range(3000)]
+    rows += [(i, 0, "user", "hello") for i in range(100, 130)] + [(8, 0, "assistant", LONG)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)
+    formatted = chat_format.format_conversations(turns, RANKS, split_pattern())
+    plan = formatted._jdf.queryExecution().executedPlan().toString()
+    assemble, sort, exchange, encode = (
+        plan.index("MapInArrow"), plan.index("Sort ["), plan.index("Exchange hash"), plan.rindex("MapInArrow"),
+    )
+    assert assemble < sort < exchange < encode
+    got = {r.conv_id: r for r in chat_format.digest_conversations(formatted, RANKS, split_pattern()).collect()}
+    said = sorted((r for r in rows if r[0] == 7), key=lambda r: r[1:])
+    everything = "".join(f"{role}\n{text}\n" for _, _, role, text in said)
+    assert got[7].n_turns == 3000
+    assert got[7].turns_sha256 == hashlib.sha256(everything.encode()).hexdigest()
+    assert got[8].loss_chars == len(LONG) and len(got) == 32
+    starts = formatted.where("conv_id = 7").orderBy("part").collect()
+    at = 0
+    for r in starts:
+        assert r.start == at
+        at += len(r.ids)
+
+
 # ---------------------------------------------------------------------- HTML
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.llm.common import resident
+from tierflow.llm.common import resident, slices
 
 # Fixed values of the template, in the order of their reserved ids.
 BEGIN, END = "<s>", "</s>"
@@ -67,8 +67,8 @@ class ChatEncoder:
         self.reserved = {c: first + i for i, c in enumerate(CONTROL)}
         self.control = {i: c for c, i in self.reserved.items()}
 
-    def turn(self, role: str, text: str) -> tuple[list[int], np.ndarray]:
-        """Ids of one turn, and 1 for each id of an assistant's text."""
+    def turn(self, role: str, text: str) -> tuple[list[int], int, int]:
+        """Ids of one turn, and where an assistant's text begins and ends among them."""
         body, at = self.encoding.encode_ordinary(escape(text)), self.reserved
         before, after = {
             "system": ([at[SYSTEM]], [at[SYSTEM_END]]),
@@ -78,11 +78,9 @@ class ChatEncoder:
             [at[ROLE], *self.encoding.encode_ordinary(escape(role)), at[ROLE_END]],
             [at[END]],
         )
-        edges = np.zeros(len(before) + len(body) + len(after) + 1, np.int8)
-        if role == "assistant":
-            edges[len(before)] += 1
-            edges[len(before) + len(body)] -= 1
-        return [*before, *body, *after], np.cumsum(edges[:-1], dtype=np.int8)
+        first = len(before)
+        last = first + len(body) if role == "assistant" else first
+        return [*before, *body, *after], first, last
 
     def render(self, ids: list[int]) -> str:
         """The formatted string of ids."""
@@ -98,10 +96,19 @@ class ChatEncoder:
         return "".join(out)
 
 
+def loss_mask(n_ids: int, first: int, last: int) -> np.ndarray:
+    """1 from ``first`` up to ``last``, as the prefix sum of both edges."""
+    edges = np.zeros(n_ids + 1, np.int8)
+    edges[first] += 1
+    edges[last] -= 1
+    return np.cumsum(edges[:-1], dtype=np.int8)
+
+
 def _encoder(ranks: str, pattern: str) -> ChatEncoder:
     return resident(("chat", ranks, pattern), lambda: ChatEncoder(ranks, pattern))
 
 
+ENCODED = ["conv_id", "turn", "role", "text", "packed", "first", "last"]
 SCHEMA = T.StructType(
     [
         T.StructField("conv_id", T.LongType()),
@@ -117,8 +124,10 @@ def format_conversations(turns: DataFrame, ranks: str, pattern: str) -> DataFram
     """Conversations as token ids with a loss mask, one row per turn, in order.
 
     Takes ``conv_id``, ``turn``, ``role``, ``text``; other columns are not read.
-    Turns are encoded where they are read and then dealt by conversation and
-    sorted; ``part`` counts a conversation's turns and ``start`` the ids before
+    Turns are encoded where they are read, before any shuffle, so the turns of one
+    conversation are encoded by as many tasks as read them. Ids, the edges of the
+    loss and, for the order of equal turns, texts are then dealt by conversation
+    and sorted; ``part`` counts a conversation's turns and ``start`` the ids before
     this one, both carried along the sorted stream, so that a conversation of any
     length passes through in bounded memory. A null text or role is empty; null
     turns come first; turns that repeat a number are ordered by role, then text,
@@ -132,19 +141,31 @@ def format_conversations(turns: DataFrame, ranks: str, pattern: str) -> DataFram
         F.coalesce("text", F.lit("")).alias("text"),
     )
     order = [F.col("conv_id"), F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
-    dealt = spoken.repartition("conv_id").sortWithinPartitions(*order)
 
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks, pattern)
+        for batch in slices(batches, "text"):
+            packed, first, last = [], [], []
+            for role, text in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist()):
+                ids, a, b = encoder.turn(role, text)
+                packed.append(np.array(ids, "<u4").tobytes())
+                first.append(a)
+                last.append(b)
+            added = [pa.array(packed, pa.binary()), pa.array(first, pa.int32()), pa.array(last, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=ENCODED)
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin = _encoder(ranks, pattern).reserved[BEGIN]
         now, part, start = object(), 0, 0
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("conv_id", "role", "text")]
+        for batch in slices(batches, "packed"):
+            columns = [batch.column(c).to_pylist() for c in ("conv_id", "packed", "first", "last")]
             rows: list[list] = [[], [], [], [], []]
-            for conv, role, text in zip(*columns):
-                ids, mask = encoder.turn(role, text)
+            for conv, packed, first, last in zip(*columns):
+                ids = np.frombuffer(packed, "<u4").astype(np.int32)
+                mask = loss_mask(len(ids), first, last)
                 if conv != now:
                     now, part, start = conv, 0, 0
-                    ids, mask = [encoder.reserved[BEGIN], *ids], np.append(np.int8(0), mask)
+                    ids, mask = np.append(np.int32(begin), ids), np.append(np.int8(0), mask)
                 for column, value in zip(rows, (conv, part, start, ids, mask)):
                     column.append(value)
                 part, start = part + 1, start + len(ids)
@@ -153,7 +174,11 @@ def format_conversations(turns: DataFrame, ranks: str, pattern: str) -> DataFram
                 [pa.array(r, k) for r, k in zip(rows, kinds)], names=SCHEMA.names
             )
 
-    return dealt.mapInArrow(assemble, SCHEMA)
+    kinds = ["long", "long", "string", "string", "binary", "int", "int"]
+    encoded = spoken.mapInArrow(encode, ", ".join(map(" ".join, zip(ENCODED, kinds))))
+    # Texts have had their part once rows are sorted.
+    dealt = encoded.repartition("conv_id").sortWithinPartitions(*order)
+    return dealt.select("conv_id", "packed", "first", "last").mapInArrow(assemble, SCHEMA)
 
 
 class _Reader:
