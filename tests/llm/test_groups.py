@@ -141,6 +141,36 @@ def test_recall_against_brute_force(spark, folder):
         assert [(-round(r.score, 9), r.vec_id) for r in mine] == sorted((-round(r.score, 9), r.vec_id) for r in mine)
         hits += len({i for _, i in best} & {r.vec_id for r in mine})
     assert hits >= 0.9 * 20 * len(truth)
+    (recall,) = {r.recall for r in got}
+    assert recall >= 0.95
+
+
+def test_calibration_counts_neighbours_among_all_rows(spark):
+    """Visits are widened by rows of all, of which the fitted sample holds a part."""
+    random_ = np.random.default_rng(4)
+    x = random_.normal(size=(900, 6))
+    tree = ann_tree.build_tree(x[:200], 16)
+    copies = random_.integers(1, 4, len(x))
+    leaves = tree.assign(x)
+    rows = [
+        (bytearray(v.astype("<f8").tobytes()), list(range(n)), int(leaf))
+        for v, n, leaf in zip(x, copies.tolist(), leaves)
+    ]
+    dealt = spark.createDataFrame(rows, "packed binary, ids array<long>, leaf long").repartition(5)
+    queries = x[:40]
+    truth = ann_tree.true_neighbours(dealt, queries, 20)
+    for i, (q, found) in enumerate(zip(queries, truth)):
+        order = [j for j in np.argsort(-(x @ q)) if j != i]
+        near = [leaves[j] for j in order for _ in range(copies[j])][:20]
+        assert [leaf for leaf, n in found for _ in range(n)] == near
+    for target in (0.3, 0.9, 1.0):
+        visits, recall = ann_tree.calibrate(tree, queries, truth, target)
+        shares = [
+            np.mean([leaf in tree.walk(q, v) for q, t in zip(queries, truth) for leaf, n in t for _ in range(n)])
+            for v in (visits - 1, visits)
+        ]
+        assert shares[0] < target <= recall + 1e-12 and abs(shares[1] - recall) < 1e-12
+    assert ann_tree.calibrate(tree, queries[:1], [[]], 0.9) == (tree.n_leaves, 1.0)
 
 
 def test_neighbours_of_odd_vectors(spark):

@@ -4,9 +4,10 @@ The tree is fitted with numpy on a bounded sample and sent to the tasks. All
 distinct vectors are dealt to its leaves. A query walks the tree best bin
 first: a priority queue holds the branches not taken, ordered by the distance
 of their centres, and leaves are visited from its head. How many leaves is
-calibrated: on sample queries it is widened until recall against the rows of the
-sample reaches the target. Recall against all rows is not measured by a run, and
-vectors that the sample does not represent have no part in the calibration. Visits and leaves meet in one join of packed rows of bounded
+calibrated in each run: the exact neighbours of some fixed queries among all rows
+are found by a partial top-k in each task, and visits are widened until the share
+of them that lies in visited leaves reaches the target. That share is handed out
+as ``recall``. Visits and leaves meet in one join of packed rows of bounded
 size, where products are exact in double precision.
 """
 
@@ -163,32 +164,69 @@ def nearest_pairs(
     return i, j, np.einsum("ij,ij->i", q[i], x[j])
 
 
+def true_neighbours(dealt: DataFrame, queries: np.ndarray, k: int) -> list[list[tuple[int, int]]]:
+    """For each query its nearest vectors of all, itself left out, as (leaf, rows that count).
+
+    ``dealt`` has ``packed``, ``ids`` and ``leaf``. Each task keeps the ``k`` best that it
+    met for each query, so what is shuffled grows with tasks and what comes back with
+    queries alone. The rows of a vector count until there are ``k``.
+    """
+    asked = dealt.sparkSession.sparkContext.broadcast(queries)
+
+    def best_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries, kept = asked.value, None
+        number = {q.tobytes(): i for i, q in enumerate(queries)}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = _matrix(batch.column("packed"))
+            scores = queries @ x.T
+            for j, packed in enumerate(batch.column("packed").to_pylist()):
+                if packed in number:
+                    scores[number[packed], j] = -np.inf
+            leaves = np.broadcast_to(batch.column("leaf").to_numpy(), scores.shape)
+            rows = np.broadcast_to(batch.column("ids").value_lengths().to_numpy(), scores.shape)
+            met = (scores, leaves, rows)
+            if kept is not None:
+                met = tuple(np.concatenate(both, axis=1) for both in zip(kept, met))
+            best = np.argsort(-met[0], axis=1, kind="stable")[:, :k]
+            kept = tuple(np.take_along_axis(m, best, axis=1) for m in met)
+        if kept is not None:
+            query = np.repeat(np.arange(len(queries)), kept[0].shape[1])
+            columns = [query, *(m.ravel() for m in kept)]
+            names = ["query", "score", "leaf", "rows"]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    found = dealt.mapInArrow(best_of_task, "query long, score double, leaf long, rows int")
+    nearest = Window.partitionBy("query").orderBy(F.desc("score"), "leaf", "rows")
+    top = found.where(F.col("score") > float("-inf")).withColumn("nth", F.row_number().over(nearest))
+    out: list[list[tuple[int, int]]] = [[] for _ in queries]
+    for r in top.where(F.col("nth") <= k).orderBy("query", "nth").collect():
+        of = out[r["query"]]
+        left = k - sum(n for _, n in of)
+        if left > 0:
+            of.append((r["leaf"], min(left, r["rows"])))
+    asked.unpersist()
+    return out
+
+
 def calibrate(
-    tree: Tree,
-    sample: np.ndarray,
-    chosen: np.ndarray,
-    k: int = NEIGHBOURS,
-    target: float = 0.95,
-) -> tuple[float, float]:
-    """Share of the leaves to visit, and its recall, for ``chosen`` rows of the sample.
+    tree: Tree, queries: np.ndarray, truth: list[list[tuple[int, int]]], target: float = 0.95
+) -> tuple[int, float]:
+    """Leaves to visit, and the share of the true neighbours that lie in them.
 
-    Each is searched among all other rows. Visits are widened, leaf by leaf in the
-    order of the walk, until ``target`` of the true neighbours are found.
+    Visits are widened, leaf by leaf in the order of the walk, until ``target`` is reached.
     """
-    queries = sample[chosen]
-    leaf, scores = tree.assign(sample), queries @ sample.T
-    scores[np.arange(len(chosen)), chosen] = -np.inf
-    k = min(k, len(sample) - 1)
-    truth = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-    ranks = np.full((len(queries), tree.n_leaves), tree.n_leaves)
-    for i, q in enumerate(queries):
-        order = tree.walk(q, tree.n_leaves)
-        ranks[i, order] = np.arange(len(order))
-    needed = np.sort(np.take_along_axis(ranks, leaf[truth], axis=1).ravel())
-    if not len(needed):
-        return 1.0, 1.0
-    visits = int(needed[min(len(needed) - 1, math.ceil(target * len(needed)))]) + 1
-    return visits / tree.n_leaves, float((needed < visits).mean())
+    hits = np.zeros(tree.n_leaves)
+    for q, near in zip(queries, truth):
+        place = {leaf: n for n, leaf in enumerate(tree.walk(q, tree.n_leaves))}
+        for leaf, rows in near:
+            hits[place[leaf]] += rows
+    if not hits.sum():
+        return tree.n_leaves, 1.0
+    reached = np.cumsum(hits) / hits.sum()
+    visits = int(np.argmax(reached >= min(target, reached[-1]))) + 1
+    return visits, float(reached[visits - 1])
 
 
 def nearest_neighbours(
@@ -198,8 +236,9 @@ def nearest_neighbours(
     sample_rows: int = 8000,
     max_leaves: int = 128,
     target: float = 0.95,
+    calibration_queries: int = 128,
 ) -> DataFrame:
-    """``query_id``, ``rank``, ``vec_id``, ``score`` of the ``k`` nearest found.
+    """``query_id``, ``rank``, ``vec_id``, ``score`` of the ``k`` nearest found, and ``recall``.
 
     Takes ``vec_id`` and ``embedding``; queries are the rows whose id is divisible
     by ``every``, candidates all rows but the query's own. Nearest is the largest
@@ -212,7 +251,9 @@ def nearest_neighbours(
     Equal vectors are one vector with its k + 1 smallest ids, which is all that k
     nearest can need, so a vector that a third of the rows share costs no more
     than others. The tree has one leaf per 64 distinct vectors, ``max_leaves`` at
-    most, and is fitted on about ``sample_rows`` of them.
+    most, and is fitted on about ``sample_rows`` of them. ``calibration_queries`` of the
+    sample are compared with all rows; ``recall`` is the share of their true neighbours
+    that the leaves visited hold, ``target`` or more, the same in each row of one width.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     packed, _ = stage(rows.mapInArrow(_pack, "vec_id long, packed binary"), "vectors")
@@ -221,16 +262,16 @@ def nearest_neighbours(
     for width in sorted(widths):
         part = _search(
             packed.where(F.octet_length("packed") == width),
-            every, k, sample_rows, max_leaves, target,
+            every, k, sample_rows, max_leaves, target, calibration_queries,
         )
         found = part if found is None else found.unionByName(part)
     if found is None:
-        schema = "query_id long, rank int, vec_id long, score double"
+        schema = "query_id long, rank int, vec_id long, score double, recall double"
         return vectors.sparkSession.createDataFrame([], schema)
     return found
 
 
-def _search(packed, every, k, sample_rows, max_leaves, target) -> DataFrame:
+def _search(packed, every, k, sample_rows, max_leaves, target, calibration_queries) -> DataFrame:
     spark = packed.sparkSession
     # Row numbers are limited before the exchange, so a common vector stays small.
     order = Window.partitionBy("packed").orderBy("vec_id")
@@ -247,8 +288,6 @@ def _search(packed, every, k, sample_rows, max_leaves, target) -> DataFrame:
     sample, sample_ids = _matrix(drawn.column("packed")), drawn.column("ids").combine_chunks()
     leaves = max(1, min(max_leaves, total // 64, len(sample) // 4))
     tree = build_tree(sample, leaves)
-    fraction, _ = calibrate(tree, sample, np.arange(0, len(sample), max(1, len(sample) // 200)), k, target)
-    visits = max(1, math.ceil(fraction * tree.n_leaves))
     # The sample's own best rows are candidates, so that none of the k can be missing,
     # and bound from below what the neighbours of a query score; the query itself may
     # be among them, so one more is asked for than k + 1.
@@ -305,6 +344,8 @@ def _search(packed, every, k, sample_rows, max_leaves, target) -> DataFrame:
         return dealt.groupBy("leaf", "block").agg(F.collect_list(F.struct(*columns)).alias("rows"))
 
     dealt, _ = stage(distinct.mapInArrow(to_leaves, "packed binary, ids array<long>, leaf long"), "leaves")
+    chosen = sample[np.unique(np.linspace(0, len(sample) - 1, calibration_queries).astype(int))]
+    visits, recall = calibrate(tree, chosen, true_neighbours(dealt, chosen, k), target)
     asked = packed.where(F.pmod("vec_id", F.lit(every)) == 0)
     queries = asked.select("packed").distinct()
     walked, _ = stage(queries.mapInArrow(to_visits, "packed binary, leaf long, bound double"), "visits")
@@ -366,5 +407,6 @@ def _search(packed, every, k, sample_rows, max_leaves, target) -> DataFrame:
             (F.col("at") + 1).cast("int").alias("rank"),
             F.col("one.i").alias("vec_id"),
             (-F.col("one.s")).alias("score"),
+            F.lit(recall).alias("recall"),
         )
     )
