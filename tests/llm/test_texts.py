@@ -514,6 +514,24 @@ a  b
     ]
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<ol reversed><li>a<li>b<ol><li>x<li>y</ol><li><li>c</ol>z", "4. a\n3. b\n  1. x\n  2. y\n1. c\n\nz"),
+        ("<ol reversed start=9><li>a<li>b<li value=3>c<li>d</ol>", "9. a\n8. b\n3. c\n2. d"),
+        ("<ol reversed><li>a<li value=7>b<li>c</ol>", "3. a\n7. b\n6. c"),
+        ("<table><tr><td><ol reversed><li>a<li>b</ol><td>q</table>", "2. a  q\n1. b"),
+        ("<ol reversed><li hidden>a<li>b", "1. b"),
+        ("a<p>x<plaintext><b>&amp;</plaintext> </b>\n  y", "a\n\nx\n\n<b>&amp;</plaintext> </b>\n  y"),
+        ("<ruby>漢<rp>(<rt>kan<rp>)</ruby> <ruby>字<rp>(</rp><rt>ji</rt><rp>)</rp></ruby>", "漢kan 字ji"),
+        ("<plaintext>", ""),
+        ("<ol reversed></ol>", ""),
+    ],
+)
+def test_reversed_lists_plain_text_and_ruby(page, text):
+    assert html_text(page) == text
+
+
 def test_spans_and_visibility():
     page = "<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td colspan=2>wide<td>d</table>"
     assert html_text(page).split("\n") == ["a  b", "   c", "wide  d"]

@@ -31,14 +31,14 @@ HIDDEN = set(
     "datalist".split()
 )
 SPACED = set(
-    "p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure fieldset menu".split()
+    "p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre plaintext table figure fieldset menu".split()
 )
 BLOCKS = SPACED | set(
     "html body address article aside center dd details dialog dir div dt figcaption footer form "
     "header hgroup hr legend li main nav optgroup option search section summary caption tr td th "
     "thead tbody tfoot xmp textarea select".split()
 )
-CLOSES_P = (BLOCKS | {"plaintext"}) - set(
+CLOSES_P = BLOCKS - set(
     "html body option optgroup select textarea caption tr td th thead tbody tfoot legend".split()
 )
 PARTS = {"thead", "tbody", "tfoot"}
@@ -68,6 +68,8 @@ IMPLIED = {
     "thead": ({*PARTS, "caption", "colgroup"}, {"table"}),
     "tbody": ({*PARTS, "caption", "colgroup"}, {"table"}),
     "tfoot": ({*PARTS, "caption", "colgroup"}, {"table"}),
+    "rp": ({"rp", "rt"}, {"ruby"}),
+    "rt": ({"rp", "rt"}, {"ruby"}),
     "a": ({"a"}, BLOCKS),
     "button": ({"button"}, BLOCKS),
 }
@@ -144,6 +146,10 @@ def scan(html: str, foreign=lambda: False):
         yield "open", tag, attributes
         if alone and (tag in FOREIGN or within and tag not in BREAKS):
             yield "close", tag
+        elif tag == "plaintext" and not within:
+            # Nothing ends it.
+            yield "text", html[at:]
+            return
         elif tag in RAW and not within:
             stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(html, at)
             inside = html[at : stop.start() if stop else size]
@@ -161,7 +167,8 @@ class Flow:
         self.open: list[str] = []
         self.gap = False
         self.indent = 0
-        self.mark = ""
+        # What the next line begins with, or the list and place that its number follows from.
+        self.mark: str | tuple[Element, int] = ""
 
     def add(self, text: str) -> None:
         self.open.append(text)
@@ -181,7 +188,13 @@ class Flow:
         self.gap = False
         shift = 2 * min(self.indent, MAX_INDENT)
         if self.mark:
-            line = " " * max(0, shift - 2) + self.mark + line
+            pad = max(0, shift - 2)
+            if isinstance(self.mark, tuple):
+                of, place = self.mark
+                of.later.append((len(self.lines), pad, place))
+                line = " " * pad + line
+            else:
+                line = " " * pad + self.mark + line
             self.mark = ""
         elif shift:
             line = " " * shift + line
@@ -238,6 +251,7 @@ class Table:
 class Element:
     __slots__ = (
         "name", "shown", "visible", "flow", "table", "number", "spans", "pre", "listed", "between", "foreign",
+        "step", "relative", "items", "later",
     )
 
     def __init__(self, name, shown, visible, flow, table, pre):
@@ -245,9 +259,11 @@ class Element:
         self.number, self.spans, self.pre, self.listed = None, (1, 1), pre, False
         # In a table but in no cell of it; in svg or math but in no HTML within.
         self.between = self.foreign = False
+        # Of lists: numbers go up or down, from a number known at the end alone, with the lines that wait for it.
+        self.step, self.relative, self.items, self.later = 1, False, 0, []
 
 
-def _count(attributes: dict, name: str, default: int = 1, most: int = MAX_SPAN) -> int:
+def _count(attributes: dict, name: str, default: int | None = 1, most: int = MAX_SPAN) -> int | None:
     digits = re.match(r"\s*(-?\d{1,9})", attributes.get(name, ""))
     return min(int(digits[1]), most) if digits else default
 
@@ -274,6 +290,9 @@ class Renderer:
             element.flow.gap = element.flow.gap or element.name in SPACED
         if element.name in APART and top.foreign:
             element.flow.add(" ")
+        for at, pad, place in element.later:
+            line = element.flow.lines[at]
+            element.flow.lines[at] = f"{line[:pad]}{element.items + place}. {line[pad:]}"
         if element.listed:
             element.flow.indent -= 1
             element.flow.mark = ""
@@ -367,6 +386,7 @@ class Renderer:
         style = attributes.get("style", "")
         shown = top.shown and not (
             name in HIDDEN
+            or name == "rp"
             or "hidden" in attributes
             or NOT_DISPLAYED.search(style)
             or (name == "dialog" and "open" not in attributes)
@@ -374,7 +394,7 @@ class Renderer:
         )
         seen = VISIBILITY.search(style)
         visible = top.visible if seen is None else seen[1].lower() == "visible"
-        element = Element(name, shown, visible, top.flow, top.table, top.pre or name in ("pre", "xmp", "textarea"))
+        element = Element(name, shown, visible, top.flow, top.table, top.pre or name in ("pre", "plaintext", "xmp", "textarea"))
         element.between = name == "table" or top.between and name not in ("td", "th", "caption")
         element.foreign = name in FOREIGN
         if name == "details":
@@ -403,16 +423,22 @@ class Renderer:
             top.flow.end_line(exact=top.pre)
             top.flow.gap = top.flow.gap or (name in SPACED and not nested)
             if name == "ol":
-                element.number = _count(attributes, "start", 1, 10**9)
+                start = _count(attributes, "start", None, 10**9)
+                element.step = -1 if "reversed" in attributes else 1
+                element.relative = start is None and element.step < 0
+                element.number = 0 if element.relative else 1 if start is None else start
             if name in ("li", "dd"):
                 element.flow.indent += 1
                 element.listed = True
             if name == "li":
                 element.flow.mark = "- "
                 if top.name == "ol":
-                    top.number = _count(attributes, "value", top.number, 10**9)
-                    element.flow.mark = f"{top.number}. "
-                    top.number += 1
+                    value = _count(attributes, "value", None, 10**9)
+                    if value is not None:
+                        top.number, top.relative = value, False
+                    element.flow.mark = (top, top.number) if top.relative else f"{top.number}. "
+                    top.number += top.step
+                    top.items += 1
 
     def end(self, name: str) -> None:
         if name == "br":
