@@ -66,6 +66,8 @@ class ChatEncoder:
         first = max(table.values()) + 2
         self.reserved = {c: first + i for i, c in enumerate(CONTROL)}
         self.control = {i: c for c, i in self.reserved.items()}
+        # How ids are packed while they are dealt.
+        self.packed = np.dtype("<u2") if first + len(CONTROL) <= 1 << 16 else np.dtype("<u4")
 
     def turn(self, role: str, text: str) -> tuple[list[int], int, int]:
         """Ids of one turn, and where an assistant's text begins and ends among them."""
@@ -148,20 +150,21 @@ def format_conversations(turns: DataFrame, ranks: str, pattern: str) -> DataFram
             packed, first, last = [], [], []
             for role, text in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist()):
                 ids, a, b = encoder.turn(role, text)
-                packed.append(np.array(ids, "<u4").tobytes())
+                packed.append(np.array(ids, encoder.packed).tobytes())
                 first.append(a)
                 last.append(b)
             added = [pa.array(packed, pa.binary()), pa.array(first, pa.int32()), pa.array(last, pa.int32())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=ENCODED)
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begin = _encoder(ranks, pattern).reserved[BEGIN]
+        encoder = _encoder(ranks, pattern)
+        begin = encoder.reserved[BEGIN]
         now, part, start = object(), 0, 0
         for batch in slices(batches, "packed"):
             columns = [batch.column(c).to_pylist() for c in ("conv_id", "packed", "first", "last")]
             rows: list[list] = [[], [], [], [], []]
             for conv, packed, first, last in zip(*columns):
-                ids = np.frombuffer(packed, "<u4").astype(np.int32)
+                ids = np.frombuffer(packed, encoder.packed).astype(np.int32)
                 mask = loss_mask(len(ids), first, last)
                 if conv != now:
                     now, part, start = conv, 0, 0
