@@ -95,7 +95,7 @@ def ingest_duplicates_across_runs(spark, folder):
         ("first", "event_id % 2 = 0"), ("second", "event_id % 3 <> 1"), ("third", "true"),
         ("first", "event_id % 5 = 0"),
     ):
-        deliver(events.where(condition).drop("event_id"), path, name)
+        deliver(events.where(condition).drop("event_id"), path, name, files=1)
         layers.run_bronze(spark, bronze)
     return scan_table(spark, f"{database}.pairs").select("user_id", "event_type")
 

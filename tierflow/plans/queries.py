@@ -8,6 +8,7 @@ would send either way, so both sides add a small amount first.
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Callable
@@ -22,10 +23,11 @@ from tierflow.operators import quality as qual
 from tierflow.operators import timeseries as series
 from tierflow.operators.dedupe import duplicate_counts, remove_duplicates
 from tierflow.plans import layers, turbine
+from tierflow.sinks.snapshots import files_below
 from tierflow.sinks.tables import derive_partitions, publish_view, save_table
 from tierflow.sinks.upsert import upsert
 from tierflow.sources.files import in_window, load_window, scan_files, scan_table
-from tierflow.staging import move, new_path, release, stage
+from tierflow.staging import children, move, new_path, release, stage
 from tierflow.streaming.ingest import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1141,11 +1143,32 @@ def upsert_new_column(spark, folder):
     return scan_table(spark, name)
 
 
-def deliver(df: DataFrame, path: str, file: str) -> None:
-    """One Parquet file of this name, new or in place of an older one."""
-    written, folder = stage(df.coalesce(1), "delivery")
-    move(df.sparkSession, written.inputFiles()[0], f"{path}/{file}.parquet")
-    release(df.sparkSession, folder)
+DELIVERED_BYTES = 8 << 20
+
+
+def deliver(df: DataFrame, path: str, name: str, files: int | None = None) -> None:
+    """Parquet files of one delivery, new or in place of those of an older one.
+
+    There are as many as the files that ``df`` reads have parts of ``DELIVERED_BYTES``, so
+    neither their writer nor a task that reads them has more rows when there are more in
+    all. Rows are dealt by their first column: a key is in the file of the same number,
+    with all its copies, in every delivery of that name.
+    """
+    spark = df.sparkSession
+    if files is None:
+        size = sum(length for f in df.inputFiles() for _, length in files_below(spark, f))
+        files = 1 + size // DELIVERED_BYTES
+    written, folder = stage(df.repartition(files, df.columns[0]), "delivery")
+    target = f"{path}/{name}.parquet"
+    moved = []
+    for file in written.inputFiles():
+        number = re.search(r"part-(\d+)", file.rpartition("/")[2])[1]
+        move(spark, file, f"{target}/{number}.parquet")
+        moved.append(f"{number}.parquet")
+    for file in children(spark, target):
+        if file.rpartition("/")[2] not in moved:
+            release(spark, file)
+    release(spark, folder)
 
 
 @query("ingest_two_sources", "SELECT event_id, event_type FROM events")
