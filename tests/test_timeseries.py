@@ -237,3 +237,26 @@ def test_only_presence_bitmaps_are_shuffled(spark, tmp_path):
     plan = explained(gaps)
     assert plan.count("Exchange (") == 2
     assert "ReadSchema: struct<timestamp:timestamp_ntz,turbine_id:string>" in plan
+
+
+def test_slots_are_made_after_the_profile_is_joined(spark):
+    """No join sorts or shuffles the slots without a reading, which may be many to a reading."""
+    data = [(at(d, h), e, float(d * h)) for d, h, e in ((0, 5, "a"), (1, 5, "a"), (2, 7, "b"))]
+    data += [(at(0, 5, 30), "off", 1.0), (at(1, 5), None, 1.0)]
+    result = scored(spark, data, 3)
+    depths, joins = [], 0
+    for line in result._jdf.queryExecution().optimizedPlan().toString().splitlines():
+        name = line.lstrip(" :+-")
+        depth = len(line) - len(name)
+        depths = [d for d in depths if d < depth]
+        if name.startswith("Join"):
+            depths.append(depth)
+            joins += 1
+        assert not (name.startswith("Generate") and depths)
+    assert joins == 2
+    found = {(r.turbine_id, r.timestamp): r.power_output for r in result.collect()}
+    assert len(found) == result.count() == 4 * 72
+    for (entity, time), value in found.items():
+        hours = {("a", 5): 2.5, ("b", 7): 14.0}
+        if (time, entity) not in {(t, e) for t, e, _ in data}:
+            assert value == hours.get((entity, time.hour))

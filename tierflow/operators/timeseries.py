@@ -239,6 +239,18 @@ def missing_slots(
 
     ``seen`` is the stored ``presence`` of the readings, if there is one.
     """
+    return _empty_slots(readings, start, end, series, seen).drop("carried")
+
+
+def _empty_slots(
+    readings: DataFrame,
+    start: Instant,
+    end: Instant,
+    series: Series,
+    seen: DataFrame | None,
+    carried: DataFrame | None = None,
+) -> DataFrame:
+    """``missing_slots`` with what ``carried`` has for their entity, or null, beside them."""
     first, last = _window(start, end)
     data_type = _time_type(readings, series)
     entity, start_at = F.col(series.entity), _literal(first, data_type)
@@ -251,6 +263,10 @@ def missing_slots(
         .groupBy(entity)
         .agg(F.collect_list(F.struct("block", "present")).alias("blocks"))
     )
+    if carried is None:
+        per_entity = per_entity.withColumn("carried", F.lit(None))
+    else:
+        per_entity = per_entity.join(carried, series.entity, "left")
     used = F.filter("blocks", lambda b: b["block"].isNotNull())
     all_blocks = F.filter(
         F.sequence(F.lit(0).cast("long"), F.floor(count / BLOCK)),
@@ -260,7 +276,7 @@ def missing_slots(
         F.array_except(all_blocks, F.transform(used, lambda b: b["block"])),
         lambda b: F.struct(b.alias("block"), F.lit(0).cast("long").alias("present")),
     )
-    blocks = per_entity.select(entity, F.explode(F.concat(used, unused)).alias("b"))
+    blocks = per_entity.select(entity, "carried", F.explode(F.concat(used, unused)).alias("b"))
 
     offset = F.col("b")["block"] * BLOCK
     empty = F.filter(
@@ -268,12 +284,13 @@ def missing_slots(
         lambda i: (F.getbit(F.col("b")["present"], i) == 0) & (offset + i < count),
     )
     return (
-        blocks.select(entity, offset.alias("offset"), F.explode(empty).alias("i"))
+        blocks.select(entity, "carried", offset.alias("offset"), F.explode(empty).alias("i"))
         .select(
             _slot_time(F.col("offset") + F.col("i"), start_at, data_type).alias(series.time),
             entity,
+            "carried",
         )
-        .select(series.time, series.entity, F.hour(series.time).alias("hour"))
+        .select(series.time, series.entity, F.hour(series.time).alias("hour"), "carried")
     )
 
 
@@ -308,6 +325,36 @@ def attach_profile(
     return df.join(profile, on=[series.entity, "hour"], how="left")
 
 
+def _profiled_slots(
+    readings: DataFrame,
+    start: Instant,
+    end: Instant,
+    series: Series,
+    profile: DataFrame,
+    seen: DataFrame | None,
+) -> DataFrame:
+    """The missing slots with the profile of their entity and hour.
+
+    The profile is joined as one row per entity, before its slots are made, so that
+    slots are neither shuffled nor sorted, however many there are to a reading.
+    """
+    names = [c for c in profile.columns if c not in (series.entity, "hour")]
+    hours = profile.groupBy(series.entity).agg(
+        F.collect_list(F.struct("hour", *names)).alias("hours")
+    )
+    by_hour = F.transform(
+        F.sequence(F.lit(0), F.lit(23)),
+        lambda i: F.get(F.filter("hours", lambda h: h["hour"] == i), F.lit(0)),
+    )
+    slots = _empty_slots(
+        readings, start, end, series, seen, hours.select(series.entity, by_hour.alias("carried"))
+    )
+    own = F.get("carried", F.col("hour"))
+    return slots.select(
+        series.time, series.entity, "hour", *[own[c].alias(c) for c in names]
+    )
+
+
 def fill_from_profile(df: DataFrame, series: Series = TURBINES) -> DataFrame:
     """Put the profile mean where a measure is null."""
     return df.withColumns(
@@ -334,10 +381,10 @@ def impute(
     placed = on_grid(readings, start, end, series)
     if profile is None:
         profile = hourly_profile(placed, series)
-    completed = placed.unionByName(
-        missing_slots(readings, start, end, series, seen), allowMissingColumns=True
+    completed = attach_profile(placed, profile, series).unionByName(
+        _profiled_slots(readings, start, end, series, profile, seen), allowMissingColumns=True
     )
-    return fill_from_profile(attach_profile(completed, profile, series), series)
+    return fill_from_profile(completed, series)
 
 
 def add_zscores(df: DataFrame, series: Series = TURBINES) -> DataFrame:
