@@ -1,8 +1,8 @@
 """A training-data pipeline over ``documents``; each stage reads what the last one kept.
 
-Classifiers are fitted as in their own queries: on a bounded sample of rows that
-are not in the held-out fold. A stage keeps all columns of the documents but the
-last, which gives token ids and what they decode to.
+Classifiers are fitted as in their own queries, on rows that are not in the
+held-out fold: languages on all of them, quality on a bounded sample. A stage keeps
+all columns of the documents but the last, which gives token ids and what they decode to.
 """
 
 from __future__ import annotations

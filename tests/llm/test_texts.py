@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from llm_support import LONG, plain
 from tierflow.llm import byte_bpe, chat_format, language_id, quality, token_file
-from tierflow.llm.common import Memory, Rows, Sequences, resident, segment_sums, slices
+from tierflow.llm.common import Memory, Rows, Sequences, resident, segment_sums, share, slices
 from tierflow.llm.html_text import extract_text, html_text
 from tierflow.llm.queries import QUERIES, held_out, split_pattern, tokenizer_path
 
@@ -606,3 +606,53 @@ def test_odd_pages(spark):
     assert extract_text(pages.limit(0)).count() == 0
     assert Counter(extract_text(pages).columns) == Counter(["page_id", "html", "text"])
     assert len(LONG) == len(html_text(LONG)) + 1
+
+
+# --------------------------------------------------------- whole tables are read
+
+
+def test_languages_are_learned_from_every_row(spark):
+    """More rows of a language than a sample would hold: each counts."""
+    rows = [(i, f"shared only{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}", "x") for i in range(2000)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit_languages(labelled.repartition(3))
+    assert set(model.words.names) == {w for _, text, _ in rows for w in text.split()}
+    top = dict(zip(model.words.names, model.words.excess.tolist()))
+    floor = 0.5 / 4000
+    assert top["shared"] == pytest.approx(np.log(0.5 + floor) - np.log(floor))
+
+
+def test_words_of_a_task_are_handed_on_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "DISTINCT_WORDS", 3)
+    monkeypatch.setattr(language_id, "ROWS_PER_BATCH", 2)
+    texts = ["ab cd ab", None, "", "ef gh ij", "ab ef"]
+    schema = pa.schema({"text": pa.string(), "lang": pa.string()})
+    batches = [
+        pa.RecordBatch.from_pydict({"text": [t], "lang": ["x" if i % 2 else "y"]}, schema) for i, t in enumerate(texts)
+    ]
+    expected = {"word": Counter(), "gram": Counter()}
+    for i, t in enumerate(texts):
+        for w in (t or "").split():
+            expected["word"]["x" if i % 2 else "y", w] += 1
+            for g in language_id.grams_of(w):
+                expected["gram"]["x" if i % 2 else "y", g] += 1
+    words = list(language_id._count_words(iter(batches)))
+    for kind, parts in (("word", words), ("gram", list(language_id._count_grams(iter(words))))):
+        found = Counter()
+        for r in (r for b in parts for r in b.to_pylist()):
+            found[r["lang"], r["token"]] += r["n"]
+        assert found == expected[kind] and max(b.num_rows for b in parts) == 2
+
+
+def test_least_evidence_is_of_every_row(spark):
+    """Rows that a sample would draw are half covered; most rows are covered whole."""
+    known = [(i, "alpha beta", "x") for i in range(50)]
+    names = "doc_id long, text string, lang string"
+    model = language_id.fit_languages(spark.createDataFrame(known, names))
+    ids = spark.range(3000).withColumnRenamed("id", "doc_id")
+    drawn = [r.doc_id for r in share(ids, "doc_id", 300).collect()]
+    text = F.when(F.col("doc_id").isin(drawn), "alpha ЖЖЖ").otherwise("alpha beta")
+    labelled = ids.select("doc_id", text.alias("text"), F.lit("x").alias("lang"))
+    assert len(drawn) < 600
+    assert language_id.least_evidence(labelled, model) == pytest.approx(0.6)
+    assert language_id.least_evidence(labelled, model, max_docs=300) < 0.5

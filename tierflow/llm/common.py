@@ -268,15 +268,15 @@ def share(df: DataFrame, key: str, wanted: int) -> DataFrame:
     )
 
 
-def share_of_each(df: DataFrame, key: str, group: str, wanted: int) -> tuple[DataFrame, dict]:
+def share_of_each(df: DataFrame, key: str, group: str, wanted: int | None) -> tuple[DataFrame, dict]:
     """As ``share``, about ``wanted`` rows of each ``group``; and the rows that each has in all.
 
-    Groups are few: their sizes pass through the driver.
+    Without ``wanted`` it is all rows. Groups are few: their sizes pass through the driver.
     """
     sizes = {r[0]: r[1] for r in df.groupBy(group).count().collect()}
     scale = 1_000_000_000
     drawn = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(scale))
-    large = {g: int(wanted / n * scale) for g, n in sizes.items() if n > wanted}
+    large = {g: int(wanted / n * scale) for g, n in sizes.items() if wanted and n > wanted}
     if not large:
         return df, sizes
     limits = F.create_map(*[F.lit(x) for pair in large.items() for x in pair])

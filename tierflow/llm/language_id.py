@@ -44,7 +44,7 @@ from tierflow.llm.common import (
     slices,
     strings,
 )
-from tierflow.staging import stage
+from tierflow.staging import staged
 
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST_GRAM = 4
@@ -58,6 +58,10 @@ FIELDS = T.StructType(
     ]
 )
 SLICE = 1 << 20
+# What a task counts before it hands on: some 15 MB.
+DISTINCT_WORDS = 80_000
+ROWS_PER_BATCH = 10_000
+COUNTED = "lang string, token string, n long"
 
 
 @dataclass
@@ -80,30 +84,56 @@ class LanguageModel:
     key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
-def grams_of(word: str) -> Iterator[str]:
+def grams_of(word: str) -> list[str]:
     marked = f"<{word}>"
-    for n in range(1, LONGEST_GRAM + 1):
-        for i in range(len(marked) - n + 1):
-            yield marked[i : i + n]
+    size = len(marked) + 1
+    return [marked[i : i + n] for n in range(1, LONGEST_GRAM + 1) for i in range(size - n)]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words with their languages; a task's copies are added up first.
+
+    What is added up goes on, and is begun anew, beyond ``DISTINCT_WORDS``. What another
+    operator has kept in this process goes before.
+    """
+    words: dict[str, Counter] = resident("language counts", dict)
+    words.clear()
     for batch in slices(batches, "text"):
-        words: Counter = Counter()
         for text, lang in zip(strings(batch.column("text")), batch.column("lang").to_pylist()):
-            words.update((lang, w) for w in WORD.findall(text.lower()))
-        grams: Counter = Counter()
-        for (lang, word), n in words.items():
-            for g in grams_of(word):
-                grams[lang, g] += n
-        rows = [("word", *k, n) for k, n in words.items()]
-        rows += [("gram", *k, n) for k, n in grams.items()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(),) * 3 + (pa.int64(),))]
-            if rows
-            else [pa.array([], t) for t in (pa.string(),) * 3 + (pa.int64(),)],
-            names=["kind", "lang", "token", "n"],
-        )
+            words.setdefault(lang, Counter()).update(WORD.findall(text.lower()))
+        if sum(map(len, words.values())) > DISTINCT_WORDS:
+            yield from _counted(words)
+    yield from _counted(words)
+
+
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """N-grams of counted words, added up likewise."""
+    grams: dict[str, Counter] = resident("language counts", dict)
+    grams.clear()
+    for batch in batches:
+        for token, lang, n in zip(*(batch.column(c).to_pylist() for c in ("token", "lang", "n"))):
+            counts = grams.setdefault(lang, Counter())
+            if n == 1:
+                counts.update(grams_of(token))
+            else:
+                for g in grams_of(token):
+                    counts[g] += n
+        if sum(map(len, grams.values())) > DISTINCT_WORDS:
+            yield from _counted(grams)
+    yield from _counted(grams)
+
+
+def _counted(tokens: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+    """All that is added up, which is forgotten."""
+    while tokens:
+        lang, counts = tokens.popitem()
+        names, numbers = list(counts), list(counts.values())
+        for at in range(0, len(names), ROWS_PER_BATCH):
+            token = pa.array(names[at : at + ROWS_PER_BATCH], pa.string())
+            n = pa.array(numbers[at : at + ROWS_PER_BATCH], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(token), pa.string()), token, n], names=["lang", "token", "n"]
+            )
 
 
 def _tokens(pairs: pa.Table, languages: list[str]) -> Tokens:
@@ -125,16 +155,20 @@ def _tokens(pairs: pa.Table, languages: list[str]) -> Tokens:
     return Tokens(names.dictionary.to_pylist(), lengths, langs.astype(np.int32), excess)
 
 
+def _added_up(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("lang", "token").agg(F.sum("n").alias("n"))
+
+
 def fit_languages(
     labelled: DataFrame,
     key: str = "doc_id",
-    max_docs: int = 1500,
+    max_docs: int | None = None,
     max_tokens: int = 240_000,
 ) -> LanguageModel:
     """Learn from ``text`` and ``lang``; rows where either is null teach nothing.
 
-    About ``max_docs`` rows of each language, chosen by a hash of ``key``, are read
-    whole. A model has ``max_tokens`` words and as many n-grams at most, an equal
+    All rows are counted; given ``max_docs``, about so many of each language, chosen by
+    a hash of ``key``. A model has ``max_tokens`` words and as many n-grams at most, an equal
     part for each language, of which the most frequent are taken, ties in the order
     of a hash; so its size has a bound, whatever the number of languages. Each
     language with a word among the rows read is known. Without rows, or with none
@@ -146,19 +180,19 @@ def fit_languages(
         "lang",
         max_docs,
     )
-    counts = (
-        rows.select("text", "lang")
-        .mapInArrow(_count, "kind string, lang string, token string, n long")
-        .groupBy("kind", "lang", "token")
-        .agg(F.sum("n").alias("n"))
-    )
-    counts, _ = stage(counts, "language-counts")
-    found = {r[0] for r in counts.select("lang").distinct().collect()}
-    languages = sorted(found, key=lambda x: (-docs[x], x))
-    most = max_tokens // max(1, len(languages))
-    order = Window.partitionBy("kind", "lang").orderBy(F.desc("n"), F.xxhash64("token", F.lit(7)), "token")
-    taken = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max(1, most))
-    chosen = taken.select("kind", "lang", "token", "n").toArrow().sort_by([("token", "ascending"), ("lang", "ascending")])
+    counted = _added_up(rows.select("text", "lang").mapInArrow(_count_words, COUNTED))
+    with staged(counted, "language-words") as words:
+        # N-grams come from each distinct word once, however often and wherever it occurs.
+        counted = _added_up(words.mapInArrow(_count_grams, COUNTED))
+        with staged(counted, "language-grams") as grams:
+            counts = words.withColumn("kind", F.lit("word")).unionByName(grams.withColumn("kind", F.lit("gram")))
+            found = {r[0] for r in words.select("lang").distinct().collect()}
+            languages = sorted(found, key=lambda x: (-docs[x], x))
+            most = max_tokens // max(1, len(languages))
+            order = Window.partitionBy("kind", "lang").orderBy(F.desc("n"), F.xxhash64("token", F.lit(7)), "token")
+            taken = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max(1, most))
+            chosen = taken.select("kind", "lang", "token", "n").toArrow()
+    chosen = chosen.sort_by([("token", "ascending"), ("lang", "ascending")])
     kinds = np.array(chosen["kind"].to_pylist(), object)
     words, grams = (
         _tokens(chosen.filter(pa.array(kinds == kind, pa.bool_())), languages) for kind in ("word", "gram")
@@ -290,19 +324,21 @@ def least_evidence(
     labelled: DataFrame,
     model: LanguageModel,
     key: str = "doc_id",
-    max_docs: int = 300,
+    max_docs: int | None = None,
     share: float = 0.6,
 ) -> float:
     """The evidence that a text in one of the languages may be expected to have.
 
-    A ``share`` of the median over about ``max_docs`` labelled rows of each language:
-    prose varies by a few hundredths around that median, whatever the languages are,
-    while texts of other languages and random letters lie far below.
+    A ``share`` of the median over the labelled rows, or given ``max_docs`` over about so
+    many of each language, chosen by a hash of ``key``: prose varies by a few hundredths
+    around that median, whatever the languages are, while texts of other languages and
+    random letters lie far below.
     """
     rows, _ = share_of_each(
         labelled.where("text IS NOT NULL AND lang IS NOT NULL").select(key, "text", "lang"), key, "lang", max_docs
     )
     found = identify_languages(rows, model).where(f"lang_pred <> '{UNDETERMINED}'")
+    # Evidence has six places, so few distinct values are gathered.
     middle = found.agg(F.expr("percentile(evidence, 0.5)")).first()[0]
     return share * (middle or 0.0)
 
