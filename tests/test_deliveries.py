@@ -3,9 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from support import rows
+from support import explained, rows
 from tierflow.plans import queries
-from tierflow.staging import children
+from tierflow.sinks import snapshots
+from tierflow.sinks.upsert import check_unique, repeated_keys
+from tierflow.staging import children, stage, staged
+from tierflow.streaming import ingest
+from tierflow.streaming.ingest import FILE_COLUMN, TIME_COLUMN, newest_per_key
 
 N = 4000
 
@@ -60,3 +64,75 @@ def test_unkeyed_files(spark, folder, name):
     found = queries.QUERIES[name](spark, folder)
     expected = queries.table(spark, folder, "events").where("event_id IS NOT NULL")
     assert rows(found) == rows(expected, "event_id", "event_type")
+
+
+@pytest.fixture
+def small_parts(monkeypatch):
+    monkeypatch.setattr(snapshots, "PART_BYTES", 1000)
+
+
+def test_files_of_a_run_are_dealt_by_their_size_and_sorted_once(spark, small_parts):
+    delivered = spark.createDataFrame(
+        [
+            (1, "old", "b", 1), (1, "new", "a", 2), (1, "copy", "a", 2), (2, "tie", "a", 2), (2, "last", "b", 2),
+            (3, "alone", "b", 1), (None, "x", "b", 1), (None, "y", "a", 2), (None, "y", "a", 2),
+        ],
+        f"id long, text string, {FILE_COLUMN} string, {TIME_COLUMN} int",
+    )
+    expected = [
+        (1, "copy"), (1, "new"), (2, "last"), (3, "alone"), (None, "x"), (None, "y"), (None, "y"),
+    ]
+    for size, parts in ((0, 1), (999, 1), (6500, 7)):
+        newest = newest_per_key(delivered, ["id"], size)
+        assert newest.columns == delivered.columns
+        assert rows(newest, "id", "text") == expected
+        assert explained(newest).count("Sort (") == 1
+        assert newest.rdd.getNumPartitions() == parts
+    assert rows(newest_per_key(delivered, ["id"]), "id", "text") == expected
+    assert rows(newest_per_key(delivered.limit(0), ["id"], 0)) == []
+
+
+def test_an_ingest_with_keys_sorts_no_rows_where_it_reads_them(spark, folder, small_parts, monkeypatch):
+    plans = []
+
+    def recorded(df, label):
+        plans.append(explained(df))
+        return staged(df, label)
+
+    monkeypatch.setattr(ingest, "staged", recorded)
+    found = queries.QUERIES["ingest_redelivered"](spark, folder).where("event_id IS NOT NULL")
+    assert rows(found) == rows(queries.table(spark, folder, "events").where("event_id IS NOT NULL"))
+    assert len(plans) == 1 and "REPARTITION_BY_NUM" in plans[0]
+    assert plans[0].count("Sort (") == plans[0].count("Exchange (") == 1
+
+
+def test_rows_of_a_task_do_not_grow_with_the_files_of_a_run(spark, folder, small_parts):
+    events = queries.table(spark, folder, "events").select("event_id", "value")
+    delivered = events.withColumns({FILE_COLUMN: F.lit("a"), TIME_COLUMN: F.lit(1)})
+    most = []
+    for copies in (1, 8):
+        many = delivered.crossJoin(spark.range(copies)).withColumn("event_id", F.expr("event_id * 8 + id"))
+        found = newest_per_key(many.where("event_id IS NOT NULL"), ["event_id"], 6500 * copies)
+        most.append(max(r[1] for r in found.groupBy(F.spark_partition_id()).count().collect()))
+    assert most[1] < 1.3 * most[0]
+
+
+def test_repeated_keys_of_stored_rows_are_found_in_parts_of_their_size(spark, small_parts):
+    once = spark.range(N).select(F.when(F.col("id") > 0, F.col("id")).alias("a"), F.lit("x").alias("b"))
+    nulls = spark.range(5).select(F.lit(None).cast("long").alias("a"), F.lit("x").alias("b"))
+    stored, _ = stage(once.union(nulls), "once")
+    parts = snapshots.parts_for(snapshots.stored_bytes(stored))
+    assert parts > 4
+    assert f", {parts}), REPARTITION_BY_NUM" in explained(repeated_keys(stored, ["a", "b"]))
+    check_unique(stored, ["a", "b"])
+    twice, _ = stage(once.union(once.where("a = 7 OR a IS NULL")), "twice")
+    assert rows(repeated_keys(twice, ["a", "b"])) == [(7, "x", 2)]
+    for found in (twice, once.union(once)):
+        with pytest.raises(ValueError, match="several source rows share one key"):
+            check_unique(found, ["a", "b"])
+
+
+def test_the_number_of_parts_is_bounded():
+    assert snapshots.parts_for(0) == 1
+    assert snapshots.parts_for(snapshots.PART_BYTES * 3) == 4
+    assert snapshots.parts_for(1 << 60) == snapshots.MOST_PARTS

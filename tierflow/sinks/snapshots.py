@@ -21,6 +21,9 @@ from tierflow.staging import children, release
 # Locations of later states: beside the first one, named so that they sort by age.
 BESIDE = "__snapshots"
 FILE_BYTES = 128 << 20
+# Rows that a task must sort or group at once, as they are stored. Shuffles of very
+# many parts cost more than tasks that spill, so beyond 40 GB parts grow instead.
+PART_BYTES, MOST_PARTS = 4 << 20, 10_000
 
 
 def table_location(spark: SparkSession, table: str) -> str:
@@ -91,6 +94,17 @@ def compact_table(spark: SparkSession, table: str, most_files: int = 64) -> bool
     return True
 
 
+def parts_for(size: int) -> int:
+    """Tasks to deal stored rows of ``size`` bytes to, so that each holds its share in memory."""
+    return min(1 + size // PART_BYTES, MOST_PARTS)
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """Size of the folders whose files ``df`` reads; 0 if it reads none."""
+    folders = {f.rpartition("/")[0] for f in df.inputFiles()}
+    return sum(size for folder in folders for _, size in files_below(df.sparkSession, folder))
+
+
 def files_below(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """Files directly in a folder, with their sizes."""
     jvm = spark.sparkContext._jvm

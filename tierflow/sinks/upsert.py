@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.operators.dedupe import remove_duplicates
-from tierflow.sinks.snapshots import publish_snapshot
+from tierflow.sinks.snapshots import parts_for, publish_snapshot, stored_bytes
 from tierflow.sinks.tables import (
     align_with_table,
     clear_partition,
@@ -45,16 +45,21 @@ def merge_statement(target: str, source: str, keys: Sequence[str]) -> str:
     )
 
 
+def repeated_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that several rows share, with their number; null keys equal nothing.
+
+    Keys of stored rows are hardly ever repeated, so they are dealt before they are
+    grouped, to as many tasks as the files ask for.
+    """
+    held = source.dropna(subset=list(keys)).select(*keys)
+    if size := stored_bytes(source):
+        held = held.repartition(parts_for(size), *keys)
+    return held.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
+
+
 def check_unique(source: DataFrame, keys: Sequence[str]) -> None:
     """Raise if two source rows share a key; null keys equal nothing."""
-    repeated = (
-        source.dropna(subset=list(keys))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .where(F.col("rows") > 1)
-        .limit(1)
-        .collect()
-    )
+    repeated = repeated_keys(source, keys).limit(1).collect()
     if repeated:
         raise ValueError(f"several source rows share one key: {repeated[0].asDict()}")
 

@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 
 from tierflow.operators.dedupe import own_group
 from tierflow.operators.observe import Watch
-from tierflow.sinks.snapshots import compact_table
+from tierflow.sinks.snapshots import compact_table, parts_for
 from tierflow.sinks.tables import (
     align_with_table,
     clear_partition,
@@ -101,13 +101,22 @@ def batches_of_files(
                 yield numbered.where(chosen).select(*files.columns).orderBy(*order).collect()
 
 
-def newest_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def newest_per_key(df: DataFrame, keys: Sequence[str], size: int | None = None) -> DataFrame:
     """Of rows that share a key those of the file that changed last.
 
-    Rows with a null key equal nothing and all stay. The rows are read once.
+    Rows with a null key equal nothing and all stay. The rows are read once. With
+    the ``size`` of the files in bytes they are dealt by key as they are read, and
+    sorted once, in tasks that hold no more when there are more files. A key has at
+    most a row of each file, or the copies in it, so nothing is gained from sorting
+    the rows of a task that reads them.
     """
-    newest = Window.partitionBy(*keys, own_group(keys)).orderBy(F.desc(TIME_COLUMN), F.desc(FILE_COLUMN))
-    return df.withColumn("file_rank", F.rank().over(newest)).where("file_rank = 1").drop("file_rank")
+    df = df.withColumn("__own_group", own_group(keys))
+    groups = [*keys, "__own_group"]
+    if size is not None:
+        df = df.repartition(parts_for(size), *groups)
+    newest = Window.partitionBy(*groups).orderBy(F.desc(TIME_COLUMN), F.desc(FILE_COLUMN))
+    ranked = df.withColumn("file_rank", F.rank().over(newest)).where("file_rank = 1")
+    return ranked.drop("file_rank", "__own_group")
 
 
 class _Ledger:
@@ -218,7 +227,8 @@ def ingest_new_files(
         df = _named(transform(read.df) if transform else read.df)
         batch = time.time_ns() // 1000
         if keys:
-            with staged(newest_per_key(df, keys).drop(FILE_COLUMN, TIME_COLUMN), "ingest") as rows:
+            newest = newest_per_key(df, keys, sum(f.size for f in files))
+            with staged(newest.drop(FILE_COLUMN, TIME_COLUMN), "ingest") as rows:
                 written = rows.count()
                 upsert(
                     spark, rows, table, keys, partition_by, table_format, root,
