@@ -320,6 +320,30 @@ def test_tokens_are_settled_early():
     assert max(map(len, transducer.states)) < 40
 
 
+def test_a_long_match_keeps_states_up_to_the_limit(encoding):
+    transducer = byte_bpe.Transducer(byte_bpe.read_ranks(RANKS), max_transitions=1000)
+    text = "".join(random.Random(21).choices("abcdefghijklmnopqrstuvwxyz", k=8000))
+    assert transducer.encode(text.encode()) == encoding.encode_ordinary(text)
+    assert len(transducer.steps) <= 1001 and len(transducer.states) <= 1001
+
+
+def test_words_met_once_keep_few_states_and_frequent_ones_all(encoding):
+    transducer, rng = byte_bpe.Transducer(byte_bpe.read_ranks(RANKS)), random.Random(22)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(3000)]
+    for word in words:
+        assert transducer.encode(word.encode()) == encoding.encode_ordinary(word)
+    # Of 24,000 steps, one in four of those that leave the known states.
+    assert len(transducer.states) <= len(transducer.steps) + 1 < 3000
+    for _ in range(100):
+        transducer.encode(words[0].encode())
+    steps = len(transducer.steps)
+    transducer.encode(words[0].encode() * 2)
+    assert len(transducer.steps) <= steps + 1
+    state = 0
+    for byte in words[0].encode()[:-1]:
+        state = transducer.steps[state << 8 | byte] >> 1
+
+
 def test_streaming_decoder_agrees_with_python():
     decoder, rng = byte_bpe.ByteDecoder(RANKS), random.Random(5)
     for _ in range(2000):

@@ -8,8 +8,9 @@ the vocabulary's prefix tree that the bytes since then lead to. Positions no
 open token begins at are dropped; once all that remain share their first
 tokens, these are settled and given out, after a lookahead bounded by the
 vocabulary. What is kept is relative to the current byte, so equal situations
-are one state. States and their transitions are built when first met and
-reused for all later text, and forgotten together when there are too many.
+are one state. Some of the transitions that leave the known states are kept and
+reused for all later text, so that those met often are known soon; the others lead
+on without a state. All are forgotten together when there are too many.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ from pyspark.sql import types as T
 
 from tierflow.llm.common import Memory, Sequences, append, octets, resident, segment_sums
 
-ROOT, DEAD, START, SETTLED = 0, -1, -1, -2
+ROOT, DEAD, START, SETTLED, OFF = 0, -1, -1, -2, -1
+# Bytes of a match beyond which it is held to repeat itself.
+LONG_MATCH = 64
 SLICE = 1 << 20
 
 
@@ -39,7 +42,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Encodes one match of the split pattern, given as bytes."""
 
-    def __init__(self, ranks: dict[bytes, int], max_transitions: int = 300_000):
+    def __init__(
+        self,
+        ranks: dict[bytes, int],
+        max_transitions: int = 200_000,
+        keep_one_in: int = 4,
+        max_pairs: int = 300_000,
+    ):
         self.ranks = ranks
         self.bytes = {r: t for t, r in ranks.items()}
         self.child: dict[int, int] = {}
@@ -57,7 +66,7 @@ class Transducer:
                 node = self.child[key]
             self.accepts[node] = rank
         self.lengths = {r: len(t) for r, t in self.bytes.items()}
-        self.max_transitions = max_transitions
+        self.max_transitions, self.keep_one_in, self.max_pairs = max_transitions, keep_one_in, max_pairs
         self.pairs: dict[int, bool] = {}
         self.proper: dict[int, bool] = {}
         self.reset()
@@ -67,6 +76,7 @@ class Transducer:
         # and all others follow from it, so its token is settled.
         begin = ((0, START, ROOT),)
         self.states, self.known = [begin], {begin: 0}
+        self.left = 0
         self.steps: dict[int, int] = {}
         self.settled: dict[int, tuple[int, ...]] = {}
         self.rests: dict[int, tuple[int, ...]] = {}
@@ -104,18 +114,18 @@ class Transducer:
         pair = last << 32 | token
         fits = self.pairs.get(pair)
         if fits is None:
-            if len(self.pairs) > self.max_transitions:
+            if len(self.pairs) > self.max_pairs:
                 self.pairs.clear()
             first = self.bytes[last]
             fits = self.merges(first + self.bytes[token], len(first)) == [first, self.bytes[token]]
             self.pairs[pair] = fits
         return fits
 
-    def advance(self, state: int, byte: int) -> tuple[list, int]:
-        """The entries of a state after a byte, and the token that ends with it."""
+    def advance(self, entries: tuple, byte: int) -> tuple[list, int]:
+        """The entries after a byte, and the token that ends with it."""
         moved, candidates = [], []
         child, accepts, inner = self.child.get, self.accepts, self.inner
-        for back, last, node in self.states[state]:
+        for back, last, node in entries:
             if node >= 0:
                 node = child(node << 8 | byte, DEAD)
                 if node >= 0:
@@ -132,9 +142,9 @@ class Transducer:
                 return moved, token
         return moved, candidates[-1][1]
 
-    def build(self, state: int, byte: int) -> int:
-        """The next state, times two, plus one if tokens are settled on the way."""
-        moved, chosen = self.advance(state, byte)
+    def move(self, entries: tuple, byte: int) -> tuple[tuple, tuple[int, ...]]:
+        """The entries of the next state, and the tokens settled on the way."""
+        moved, chosen = self.advance(entries, byte)
         moved.append((0, chosen, ROOT))
         oldest, lengths = moved[0][0], self.lengths
         followers: dict[int, int] = {}
@@ -154,15 +164,15 @@ class Transducer:
         settled = tuple(e[1] for e in kept[1 : first + 1])
         # Nothing can follow a dead entry directly, so its own token is no matter.
         back, last, node = kept[first]
-        key = ((back, last if node >= 0 else SETTLED, node), *kept[first + 1 :])
-        target = self.known.get(key)
-        if target is None:
-            target = self.known[key] = len(self.states)
-            self.states.append(key)
-        step = self.steps[state << 8 | byte] = target << 1 | bool(settled)
-        if settled:
-            self.settled[state << 8 | byte] = settled
-        return step
+        return ((back, last if node >= 0 else SETTLED, node), *kept[first + 1 :]), settled
+
+    def number(self, entries: tuple) -> int:
+        """The number of a state, which is kept from now on."""
+        found = self.known.get(entries)
+        if found is None:
+            found = self.known[entries] = len(self.states)
+            self.states.append(entries)
+        return found
 
     def rest(self, state: int) -> tuple[int, ...]:
         """The tokens that are open when the text ends in this state."""
@@ -175,13 +185,13 @@ class Transducer:
         self.rests[state] = tuple(reversed(found))
         return self.rests[state]
 
-    def finish(self, state: int, byte: int) -> list[int]:
+    def finish(self, entries: tuple, byte: int) -> list[int]:
         """The tokens that are open when the text ends with a byte.
 
         For a step that is not known: most are met once, at the end of a rare word,
         and no state is made for what nothing follows.
         """
-        moved, chosen = self.advance(state, byte)
+        moved, chosen = self.advance(entries, byte)
         place, lengths = {e[0]: e[1] for e in moved}, self.lengths
         found, at = [chosen], lengths[chosen]
         while at != moved[0][0]:
@@ -194,29 +204,58 @@ class Transducer:
         whole = self.ranks.get(match)
         if whole is not None:
             return [whole]
-        if len(self.steps) > self.max_transitions:
+        if len(self.steps) > self.max_transitions or len(self.states) > self.max_transitions:
             self.reset()
         if not match:
             return []
-        state, out, get = 0, [], self.steps.get
+        # Off the states that are kept its number is -1, and no step has a negative key.
+        state, out, get, entries = 0, [], self.steps.get, ()
         for byte in match[:-1]:
             key = state << 8 | byte
             step = get(key)
             if step is None:
-                step = self.build(state, byte)
+                before = entries if state < 0 else self.states[state]
+                entries, settled = self.move(before, byte)
+                out += settled
+                if self.is_kept(state, match):
+                    target = self.number(entries)
+                    if state >= 0:
+                        self.steps[key] = target << 1 | bool(settled)
+                        if settled:
+                            self.settled[key] = settled
+                    state = target
+                else:
+                    state = self.known.get(entries, OFF)
+                continue
             if step & 1:
                 out += self.settled[key]
             state = step >> 1
         key = state << 8 | match[-1]
         step = get(key)
         if step is None:
-            return out + self.finish(state, match[-1])
+            return out + self.finish(entries if state < 0 else self.states[state], match[-1])
         if step & 1:
             out += self.settled[key]
         state = step >> 1
         rest = self.rests.get(state)
         return out + list(self.rest(state) if rest is None else rest)
 
+    def is_kept(self, state: int, match: bytes) -> bool:
+        """Whether a step from a state that is met now is kept.
+
+        Most are met once, within rare words: of those that leave the states that are
+        kept, one in some is, so that what is met often is known soon. A long match may
+        repeat itself, and keeps all. None is kept beyond the limit, also within a match.
+        """
+        if len(self.steps) > self.max_transitions or len(self.states) > self.max_transitions:
+            return False
+        if len(match) > LONG_MATCH:
+            return True
+        if state < 0:
+            return False
+        self.left += 1
+        return self.left % self.keep_one_in == 0
+
 
 class ByteEncoder:
     """Ids of texts; matches that have been met are remembered."""

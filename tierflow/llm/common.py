@@ -62,7 +62,8 @@ def append(
     """Add ``fields``, computed from ``column``; they replace columns of their names.
 
     ``make`` runs once per task and gives the function from a slice of the
-    column to the arrays of the new fields. Rows stay where they are.
+    column to the arrays of the new fields. Rows stay where they are. What a task no
+    longer needs goes back to the system at its end, as its worker stays.
     """
     new = {f.name.lower() for f in fields}
     kept = [f for f in df.schema if f.name.lower() not in new]
@@ -75,6 +76,8 @@ def append(
         for batch in slices(batches, source, limit):
             arrays = [batch.column(f.name) for f in kept] + step(batch.column(source))
             yield pa.RecordBatch.from_arrays(arrays, names=names)
+        batch = arrays = None
+        give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -97,6 +100,8 @@ def keep_where(
             stay = step(batch.column(source))
             if stay.any():
                 yield batch.filter(pa.array(stay))
+        batch = None
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -168,6 +173,14 @@ class Memory:
         return found
 
 
+def give_back() -> None:
+    """Memory that is free in this process goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 # One thing per worker process: what the operator that ran last keeps between tasks.
 _resident: dict = {}
 
@@ -182,10 +195,7 @@ def resident(key, make):
         if _resident:
             _resident.clear()
             gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim is not None:
-                trim(0)
+            give_back()
         _resident[key] = make()
     return _resident[key]
 

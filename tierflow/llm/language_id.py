@@ -57,7 +57,8 @@ FIELDS = T.StructType(
         T.StructField("evidence", T.DoubleType()),
     ]
 )
-SLICE = 1 << 20
+# Each word of a slice has an entry for each of its languages in several arrays.
+SLICE = 1 << 18
 # What a task counts before it hands on: some 15 MB.
 DISTINCT_WORDS = 80_000
 ROWS_PER_BATCH = 10_000

@@ -37,6 +37,7 @@ BUCKETS = 1 << 16
 FOLLOWS, SEEN = BUCKETS, BUCKETS + 1
 SIZES = (1, 2, 3)
 PER_STEP = 20_000
+SLICE = 1 << 19
 FIELDS = T.StructType(
     [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
 )
@@ -283,7 +284,7 @@ def score_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> D
     Columns named like the result are replaced, others pass; nothing is shuffled.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return append(docs, FIELDS, lambda: _scorer(shared), text)
+    return append(docs, FIELDS, lambda: _scorer(shared), text, SLICE)
 
 
 def keep_good(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
@@ -294,4 +295,4 @@ def keep_good(docs: DataFrame, model: QualityModel, text: str = "text") -> DataF
         scorer = _scorer(shared)
         return lambda column: scorer.scores(column) >= 0.5
 
-    return keep_where(docs, make, text)
+    return keep_where(docs, make, text, SLICE)
